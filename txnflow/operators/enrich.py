@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 1000
+SALTS = 4096
 
 CUSTOMER_COLUMNS = ("segment", "risk_score", "home_province", "home_lat", "home_lon")
 
@@ -36,15 +37,10 @@ def lookup(
     hot = dim.join(F.broadcast(hot_keys), key, "left_semi").select(key, F.struct(*added).alias("_hot"))
     marked = rows.join(F.broadcast(hot), key, "left")
     apart = F.col("_hot").isNotNull() | F.col(key).isNull()
-    # Rows set apart get a join key no dimension row has.
-    marked = marked.withColumn("_join", F.when(apart, F.struct(F.lit(None).cast("string").alias("k"), F.col(spread).alias("s"))).otherwise(F.struct(F.col(key).cast("string").alias("k"), F.lit(None).cast(rows.schema[spread].dataType).alias("s"))))
-    cold = dim.select(
-        F.struct(
-            F.col(key).cast("string").alias("k"), F.lit(None).cast(rows.schema[spread].dataType).alias("s")
-        ).alias("_join"),
-        F.struct(*added).alias("_cold"),
-    )
-    joined = marked.join(cold, "_join", "left")
+    # Dimension rows have salt 0, so rows set apart are spread and match nothing.
+    salt = F.when(apart, F.pmod(F.xxhash64(spread), F.lit(SALTS)) + 1).otherwise(0)
+    cold = dim.select(key, F.lit(0).cast("bigint").alias("_salt"), F.struct(*added).alias("_cold"))
+    joined = marked.withColumn("_salt", salt.cast("bigint")).join(cold, [key, "_salt"], "left")
     values = [F.coalesce(F.col(f"_hot.{c}"), F.col(f"_cold.{c}")).alias(c) for c in added]
     return joined.select(*rows.columns, *values)
 

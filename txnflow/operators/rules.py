@@ -34,6 +34,8 @@ from txnflow.session import ensure_checkpoint_dir
 ACCOUNT = "account_masked"
 ID = "transaction_id"
 RULE = "rule_triggered"
+# What the rules read of a row.
+HISTORY = (ID, ACCOUNT, "event_ts", "timestamp", "amount", "merchant_id", "merchant_lat", "merchant_lon")
 
 
 # ---- who takes part in a rule -----------------------------------------------
@@ -172,7 +174,7 @@ def off_hours_alerts(txn: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFra
 # ---- cascade ----------------------------------------------------------------
 
 
-def _single_pass(cfg: RuleConfig) -> bool:
+def single_pass(cfg: RuleConfig) -> bool:
     """Can the cascade run as windows over velocity's survivors?
 
     Velocity must come before the other stateful rules.  Its survivors hold at
@@ -189,21 +191,28 @@ def _single_pass(cfg: RuleConfig) -> bool:
     return cfg.velocity_count == 3 and cfg.velocity_ms >= 2 * cfg.duplicate_ms
 
 
+def lookback_ms(cfg: RuleConfig) -> int:
+    """How far back a verdict of the single pass can depend on other rows.
+
+    A rule's verdict needs earlier rows within its window, and for each of
+    those the verdicts of the rules before it, hence the sum.
+    """
+    windows = {VELOCITY: cfg.velocity_ms, GEO: cfg.geo_ms, DUPLICATE: cfg.duplicate_ms}
+    return sum(windows.get(rule, 0) for rule in cfg.rule_order)
+
+
 def score(txn: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
-    """First rule to fire per row: (transaction_id, rule_triggered, dist_km).
+    """Verdicts of the single pass: (transaction_id, rule_triggered, dist_km).
 
-    Rows that velocity stops are absent when the single pass applies;
-    ``apply_cascade`` puts them back.
+    Rows that velocity stops are absent; ``apply_cascade`` puts them back.
     """
     rows = rule_input(txn, off_hours_large(cfg=cfg).alias("_off_hours"))
     rows = rows.filter(velocity_applies())
-    stateful = [r for r in cfg.rule_order if r != OFF_HOURS]
-    if OFF_HOURS in cfg.rule_order and cfg.rule_order[0] == OFF_HOURS:
+    if cfg.rule_order[0] == OFF_HOURS:
         # Rows the first rule takes never reach the state of the others.
         rows = rows.filter(~F.col("_off_hours"))
-    halo = sum({VELOCITY: cfg.velocity_ms, GEO: cfg.geo_ms, DUPLICATE: cfg.duplicate_ms}[r] for r in stateful)
     heads = first_per_instant(rows, ACCOUNT, cfg.velocity_count - 1)
-    blocked = with_halo(heads, halo)
+    blocked = with_halo(heads, lookback_ms(cfg))
     order = Window.partitionBy(ACCOUNT, BLOCK).orderBy("t", ID)
     alive = blocked.withColumn("_fires", _velocity_fires(cfg, order)).filter(~F.col("_fires")).drop("_fires")
     tagged = alive.withColumn(RULE, F.lit(None).cast("string")).withColumn(
@@ -251,22 +260,33 @@ def _tag_duplicate(rows: DataFrame, cfg: RuleConfig) -> DataFrame:
     )
 
 
-def apply_cascade(txn: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
+def apply_cascade(
+    txn: DataFrame, cfg: RuleConfig = DEFAULT_RULES, history: DataFrame | None = None
+) -> DataFrame:
     """Input rows plus rule_triggered, severity, alert_id, fraud_flag, dist_km.
 
     The rules run on narrow rows; full rows are shuffled once, by their unique
-    id, to meet their verdicts.
+    id, to meet their verdicts.  ``history`` holds earlier rows (the
+    ``HISTORY`` columns) that count as context and are not returned; it must
+    reach back ``lookback_ms`` before the first input row.
     """
     unknown = set(cfg.rule_order) - set(SEVERITY)
-    if unknown:
-        raise ValueError(f"unknown rules: {sorted(unknown)}")
-    judged = _join_verdicts(txn, cfg) if _single_pass(cfg) else _rule_by_rule(txn, cfg)
-    return stamp(judged)
-
-
-def _join_verdicts(txn: DataFrame, cfg: RuleConfig) -> DataFrame:
-    verdicts = score(txn, cfg).withColumn("_judged", F.lit(True))
-    before, _, after = _around_velocity(cfg.rule_order)
+    if unknown or len(set(cfg.rule_order)) < len(cfg.rule_order):
+        raise ValueError(f"rules must be known and named once: {cfg.rule_order}")
+    if single_pass(cfg):
+        return stamp(_join_verdicts(txn, cfg, history))
+    if history is not None:
+        raise ValueError("history needs velocity (3 within twice the duplicate window) to come first")
+    return stamp(_rule_by_rule(txn, cfg))
+
+
+def _join_verdicts(txn: DataFrame, cfg: RuleConfig, history: DataFrame | None) -> DataFrame:
+    context = txn.select(*HISTORY)
+    if history is not None:
+        context = context.unionByName(history.select(*HISTORY))
+    verdicts = score(context, cfg).withColumn("_judged", F.lit(True))
+    at = cfg.rule_order.index(VELOCITY)
+    before, after = cfg.rule_order[:at], cfg.rule_order[at + 1 :]
     off = off_hours_large(cfg=cfg)
     rule = F.when(F.col("_judged"), F.col(RULE))
     if OFF_HOURS in before:
@@ -281,11 +301,6 @@ def _join_verdicts(txn: DataFrame, cfg: RuleConfig) -> DataFrame:
     return txn.join(verdicts, ID, "left").withColumn(RULE, rule).drop("_judged")
 
 
-def _around_velocity(order: tuple[str, ...]) -> tuple[tuple[str, ...], str, tuple[str, ...]]:
-    i = order.index(VELOCITY)
-    return order[:i], VELOCITY, order[i + 1 :]
-
-
 def _rule_by_rule(txn: DataFrame, cfg: RuleConfig) -> DataFrame:
     """Any order and any thresholds: each rule sees what the earlier ones left.
 
@@ -293,8 +308,7 @@ def _rule_by_rule(txn: DataFrame, cfg: RuleConfig) -> DataFrame:
     all earlier ones again.
     """
     ensure_checkpoint_dir(txn.sparkSession)
-    fields = [ID, ACCOUNT, "event_ts", "timestamp", "amount", "merchant_id", "merchant_lat", "merchant_lon"]
-    tagged = txn.select(*fields).withColumns(
+    tagged = txn.select(*HISTORY).withColumns(
         {RULE: F.lit(None).cast("string"), "dist_km": F.lit(None).cast("double")}
     )
     for rule in cfg.rule_order:
