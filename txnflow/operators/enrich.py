@@ -14,7 +14,7 @@ CUSTOMER_COLUMNS = ("segment", "risk_score", "home_province", "home_lat", "home_
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate, an upper bound for plain scans and projections."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def lookup(

@@ -119,9 +119,9 @@ def insert_new(incoming: DataFrame, path: str, key: str) -> int:
 
 
 def export_channels(rows: DataFrame, folder: str) -> None:
-    """CSV for ATM and POS, JSON for mobile and internet, and one CSV of all.
+    """CSV for ATM and POS, JSON lines for mobile and internet, one CSV of all.
 
-    The combined file is sorted by time in ranges, not in one task.
+    The combined table is sorted by time in ranges, not in one task.
     """
     for channel in CSV_CHANNELS:
         rows.filter(F.col("channel") == channel).write.csv(channel_path(folder, channel), header=True, mode="overwrite")

@@ -103,7 +103,7 @@ def run_batch(
     judged = apply_cascade(tag_context(accepted, cfg), cfg)
     scored = stored(enrich_customers(judged, house.customers), "scored")
     store_facts(scored, house, cfg)
-    alert_messages(scored).select("value").write.text(house.path("txn_alert"), mode="append")
+    alert_messages(scored).select("value").write.mode("append").text(house.path("txn_alert"))
     if audit:
         insert_if_absent(audit_log(scored), house.path("audit_log"), "flowfile_uuid")
     return scored
@@ -124,5 +124,5 @@ def replay(dead: DataFrame, raw_path: str | None = None) -> DataFrame:
     key = F.col("key") if "key" in dead.columns else F.lit(None).cast("string")
     messages = dead.select(key.alias("key"), "value")
     if raw_path is not None:
-        messages.select("value").write.text(raw_path, mode="append")
+        messages.select("value").write.mode("append").text(raw_path)
     return messages

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from txnflow.functions import percent
 
-HOUR = F.expr("interval 1 hour")
-
 
 def _count(condition: Column | None = None) -> Column:
     return F.count("*") if condition is None else F.count_if(condition)
@@ -31,7 +29,7 @@ def on_day(column: str, day) -> Column:
 
 
 def trailing_hour(column: str, as_of) -> Column:
-    return F.col(column) > _as_of(as_of) - HOUR
+    return F.col(column) > _as_of(as_of) - F.expr("interval 1 hour")
 
 
 # ---- end of day -------------------------------------------------------------
@@ -234,7 +232,7 @@ def hour_label_matrix(txn: DataFrame) -> DataFrame:
     return (
         txn.groupBy(F.hour("event_ts").alias("hour"))
         .pivot("fraud_label", [0, 1])
-        .agg(F.count("*"))
+        .agg(F.count(F.lit(1)))
         .na.fill(0)
         .select("hour", F.col("0").alias("normal"), F.col("1").alias("fraud"))
     )

@@ -33,15 +33,20 @@ def read_json_array(spark: SparkSession, path: str, schema=GENERATED_TXN) -> Dat
     return spark.read.json(path, schema=schema, multiLine=True)
 
 
+def read_json_lines(spark: SparkSession, path: str, schema=GENERATED_TXN) -> DataFrame:
+    return spark.read.json(path, schema=schema)
+
+
 def channel_path(folder: str, channel: str) -> str:
     suffix = "csv" if channel in CSV_CHANNELS else "json"
     return f"{folder}/txn_{channel.lower()}.{suffix}"
 
 
-def read_channel_files(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def read_channel_files(spark: SparkSession, folder: str, arrays: bool = True) -> dict[str, DataFrame]:
+    """One table per channel; ``arrays`` tells JSON arrays from JSON lines."""
+    read_json = read_json_array if arrays else read_json_lines
     tables = {c: read_csv(spark, channel_path(folder, c), GENERATED_TXN) for c in CSV_CHANNELS}
-    tables |= {c: read_json_array(spark, channel_path(folder, c)) for c in JSON_CHANNELS}
-    return tables
+    return tables | {c: read_json(spark, channel_path(folder, c)) for c in JSON_CHANNELS}
 
 
 def read_customers(spark: SparkSession, path: str) -> DataFrame:

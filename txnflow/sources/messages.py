@@ -69,7 +69,8 @@ def parse(messages: DataFrame, *carry: str) -> DataFrame:
     is_array = F.startswith(F.ltrim(text), F.lit("["))
     message = F.when(is_array, F.get(listed, F.lit(0))).otherwise(single)
     carried = [c for c in ("value", *carry) if c in messages.columns]
-    return messages.select(*carried, message.alias("_m")).select(*carried, "_m.*")
+    # As a generator, the JSON is parsed once per message and not once per field.
+    return messages.select(*carried, F.inline(F.array(message)))
 
 
 def to_messages(df: DataFrame, *fields: str) -> DataFrame:

@@ -87,7 +87,7 @@ class CascadeSink:
         judged = apply_cascade(tag_context(accepted, cfg), cfg, history)
         scored = self._write(enrich_customers(judged, house.customers), "stream_stage/scored", batch_id)
         store_facts(scored, house, cfg, prune=True)
-        alert_messages(scored).select("value").write.text(self._batch("txn_alert", batch_id), mode="overwrite")
+        alert_messages(scored).select("value").write.mode("overwrite").text(self._batch("txn_alert", batch_id))
         self._keep_history(history, accepted, batch_id)
 
     def _keep_history(self, history: DataFrame, accepted: DataFrame, batch_id: int) -> None:

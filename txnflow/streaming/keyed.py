@@ -45,7 +45,7 @@ class CascadeProcessor(StatefulProcessor):
         self.place = handle.getValueState("place", "t bigint, lat double, lon double")
         self.anchors = handle.getMapState("anchors", "amount bigint, merchant string", "t bigint")
 
-    def handleInputRows(self, key, rows, timer_values):
+    def handleInputRows(self, key, rows, timerValues):
         batch = pd.concat(list(rows), ignore_index=True).sort_values(["t", "transaction_id"], ignore_index=True)
         recent = [r[0] for r in self.times.get()]
         place = self.place.get() if self.place.exists() else None
@@ -105,7 +105,7 @@ class CascadeProcessor(StatefulProcessor):
         # Nothing is remembered longer than the longest window.
         self.handle.registerTimer(now + max(self.cfg.velocity_ms, self.cfg.geo_ms, self.cfg.duplicate_ms) + 1)
 
-    def handleExpiredTimer(self, key, timer_values, expired_timer_info):
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.times.clear()
         self.place.clear()
         self.anchors.clear()
