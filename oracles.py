@@ -452,8 +452,8 @@ UNION ALL SELECT 'dim_time', (SELECT count(*) FROM dim_time)
 UNION ALL SELECT 'fact_txn', (SELECT count(*) FROM facts)
 UNION ALL SELECT 'fact_alert', (SELECT count(*) FROM alerts)""",
     "latency_percentiles": _HOUSE
-    + f"""SELECT round(quantile_cont({_LATENCY}, 0.5) / 1e6, 3) AS p50_s,
-  round(quantile_cont({_LATENCY}, 0.95) / 1e6, 3) AS p95_s FROM alerts""",
+    + f"""SELECT round(quantile_disc({_LATENCY}, 0.5) / 1e6, 3) AS p50_s,
+  round(quantile_disc({_LATENCY}, 0.95) / 1e6, 3) AS p95_s FROM alerts""",
     "load_completeness": _HOUSE
     + """SELECT count(*) AS arrived, round((epoch_us(max(loaded_at)) - epoch_us(min(loaded_at))) / 1e6, 3) AS elapsed_s,
   round(count(*) / ((epoch_us(max(loaded_at)) - epoch_us(min(loaded_at))) / 1e6), 4) AS rows_per_s,

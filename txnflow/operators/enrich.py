@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 10 * 1024 * 1024
 HOT_SHARE = 1000
 SALTS = 4096
 
@@ -13,7 +13,7 @@ CUSTOMER_COLUMNS = ("segment", "risk_score", "home_province", "home_lat", "home_
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, an upper bound for plain scans and projections."""
+    """Catalyst's size estimate: of files, their size on disk; unknown is huge."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 

@@ -37,7 +37,8 @@ def normalise_channels(tables: dict[str, tuple[DataFrame, dict[str, str]]]) -> D
 
 def whole_number(c: Column) -> Column:
     """Text or number to bigint; null unless it is a whole number."""
-    exact = c.try_cast("decimal(38,6)")
+    # Wide enough for a bigint, and for comparing without rounding.
+    exact = c.try_cast("decimal(37,18)")
     return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
 
 

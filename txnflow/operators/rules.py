@@ -215,9 +215,7 @@ def score(txn: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
     blocked = with_halo(heads, lookback_ms(cfg))
     order = Window.partitionBy(ACCOUNT, BLOCK).orderBy("t", ID)
     alive = blocked.withColumn("_fires", _velocity_fires(cfg, order)).filter(~F.col("_fires")).drop("_fires")
-    tagged = alive.withColumn(RULE, F.lit(None).cast("string")).withColumn(
-        "dist_km", F.lit(None).cast("double")
-    )
+    tagged = alive.withColumns({RULE: F.lit(None).cast("string"), "dist_km": F.lit(None).cast("double")})
     for rule in cfg.rule_order:
         if rule == GEO:
             tagged = _tag_geo(tagged, cfg)
@@ -233,31 +231,22 @@ def score(txn: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
 def _tag_geo(rows: DataFrame, cfg: RuleConfig) -> DataFrame:
     # Rows an earlier rule took, or without a place, form groups of their own.
     takes_part = F.col(RULE).isNull() & geo_applies()
-    order = Window.partitionBy(ACCOUNT, BLOCK, "_part").orderBy("t", ID)
+    order = Window.partitionBy(ACCOUNT, BLOCK, takes_part).orderBy("t", ID)
     distance = _geo_distance(
         cfg,
         F.lag("t").over(order),
         F.lag("merchant_lat").over(order),
         F.lag("merchant_lon").over(order),
     )
-    return (
-        rows.withColumn("_part", takes_part)
-        .withColumn("dist_km", F.when(F.col("_part"), distance).otherwise(F.col("dist_km")))
-        .withColumn(RULE, F.when(F.col("_part") & F.col("dist_km").isNotNull(), GEO).otherwise(F.col(RULE)))
-        .drop("_part")
-    )
+    measured = rows.withColumn("dist_km", F.when(takes_part, distance))
+    return measured.withColumn(RULE, F.when(F.col("dist_km").isNotNull(), GEO).otherwise(F.col(RULE)))
 
 
 def _tag_duplicate(rows: DataFrame, cfg: RuleConfig) -> DataFrame:
     takes_part = F.col(RULE).isNull() & duplicate_applies()
-    order = Window.partitionBy(ACCOUNT, BLOCK, "amount", "merchant_id", "_part").orderBy("t", ID)
-    repeats = F.coalesce(F.col("t") - F.lag("t").over(order) <= cfg.duplicate_ms, F.lit(False))
-    return (
-        rows.withColumn("_part", takes_part)
-        .withColumn("_repeats", repeats)
-        .withColumn(RULE, F.when(F.col("_part") & F.col("_repeats"), DUPLICATE).otherwise(F.col(RULE)))
-        .drop("_part", "_repeats")
-    )
+    order = Window.partitionBy(ACCOUNT, BLOCK, "amount", "merchant_id", takes_part).orderBy("t", ID)
+    repeats = F.col("t") - F.lag("t").over(order) <= cfg.duplicate_ms
+    return rows.withColumn(RULE, F.when(takes_part & repeats, DUPLICATE).otherwise(F.col(RULE)))
 
 
 def apply_cascade(

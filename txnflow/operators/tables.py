@@ -47,37 +47,45 @@ def first_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
 
 
 def absent_rows(
-    incoming: DataFrame, path: str, key: str, partition: str | None = None, prune: bool = False
+    incoming: DataFrame,
+    path: str,
+    key: str,
+    partition: str | None = None,
+    prune: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Incoming rows, one per key, whose key the table does not hold yet.
 
-    ``prune`` looks only at the partitions the batch touches.  That is exact
-    when a key always comes with the same partition value, as a message sent
-    again with its own timestamp does.
+    ``unique`` says that incoming has one row per key already.  ``prune`` looks
+    only at the partitions the batch touches.  That is exact when a key always
+    comes with the same partition value, as a message sent again with its own
+    timestamp does.
     """
     spark = incoming.sparkSession
-    unique = first_per_key(incoming, key)
+    rows = incoming if unique else first_per_key(incoming, key)
     if not has_data(spark, path):
-        return unique
+        return rows
     existing = spark.read.parquet(path)
     if partition and prune:
         # One value per calendar day in the batch.
         touched = [r[0] for r in incoming.select(partition).distinct().collect()]
         existing = existing.filter(F.col(partition).isin(touched))
-    return unique.join(existing.select(key), key, "left_anti")
+    return rows.join(existing.select(key), key, "left_anti")
 
 
-def insert_if_absent(
-    incoming: DataFrame, path: str, key: str, partition: str | None = None, prune: bool = False
-) -> None:
-    rows = absent_rows(incoming, path, key, partition, prune)
+def append(rows: DataFrame, path: str, partition: str | None = None) -> None:
     if partition:
         # Few, evenly sized files per partition value; a large one is split.
-        rows.hint("rebalance", partition).write.partitionBy(partition).parquet(path, mode="append")
+        rows = rows.hint("rebalance", partition)
+        rows.write.partitionBy(partition).parquet(path, mode="append")
     else:
         rows.write.parquet(path, mode="append")
 
 
+def insert_if_absent(incoming: DataFrame, path: str, key: str, partition: str | None = None, **options) -> None:
+    append(absent_rows(incoming, path, key, partition, **options), path, partition)
+
+
 # ---- versioned tables -------------------------------------------------------
 
 

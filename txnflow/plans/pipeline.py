@@ -14,8 +14,17 @@ from txnflow.operators.dims import dim_calendar, dim_time
 from txnflow.operators.enrich import enrich_customers
 from txnflow.operators.facts import alert_messages, audit_log, fact_alert, fact_txn
 from txnflow.operators.rules import apply_cascade
-from txnflow.operators.tables import archive_raw, insert_if_absent, insert_new, read_current, read_or_empty, upsert
-from txnflow.operators.validate import dead_letters, dedupe_transactions, valid, validate
+from txnflow.operators.tables import (
+    absent_rows,
+    append,
+    archive_raw,
+    insert_if_absent,
+    insert_new,
+    read_current,
+    read_or_empty,
+    upsert,
+)
+from txnflow.operators.validate import dead_letters, dedupe_transactions, keep_rejected_text, valid, validate
 from txnflow.schemas import DIM_CALENDAR, DIM_CUSTOMER, DIM_TIME, FACT_ALERT, FACT_TXN
 from txnflow.session import scratch_table
 from txnflow.sources.messages import parse
@@ -66,10 +75,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def store_facts(
     scored: DataFrame, house: Warehouse, cfg: RuleConfig = DEFAULT_RULES, prune: bool = False
 ) -> None:
-    """Insert facts and alerts that are not there yet."""
-    insert_if_absent(fact_txn(scored, cfg), house.path("fact_txn"), "transaction_id", "date_id", prune)
+    """Insert facts and alerts that are not there yet; one scored row per id."""
+    options = {"prune": prune, "unique": True}
+    insert_if_absent(fact_txn(scored, cfg), house.path("fact_txn"), "transaction_id", "date_id", **options)
     alerts = fact_alert(scored).withColumn("detected_date", date_key("detected_at"))
-    insert_if_absent(alerts, house.path("fact_alert"), "alert_id", "detected_date", prune)
+    insert_if_absent(alerts, house.path("fact_alert"), "alert_id", "detected_date", **options)
+
+
+def store_audit(scored: DataFrame, house: Warehouse) -> None:
+    """Add the trail of transactions that have none yet."""
+    path = house.path("audit_log")
+    keyed = scored.withColumn("txn_id", F.col("transaction_id"))
+    append(audit_log(absent_rows(keyed, path, "txn_id", unique=True)), path)
 
 
 def run_batch(
@@ -88,7 +105,7 @@ def run_batch(
     loaded = (F.current_timestamp() if loaded_at is None else loaded_at).cast("timestamp_ntz")
     arrived = messages if "loaded_at" in messages.columns else messages.withColumn("loaded_at", loaded)
     carry = [c for c in ("key", "loaded_at") if c in arrived.columns]
-    checked = stored(validate(parse(arrived, *carry)), "validated")
+    checked = stored(keep_rejected_text(validate(parse(arrived, *carry))), "validated")
 
     dead = dead_letters(checked).withColumn("digest", F.sha2("value", 256))
     insert_if_absent(dead, house.path("dead_letter"), "digest")
@@ -105,7 +122,7 @@ def run_batch(
     store_facts(scored, house, cfg)
     alert_messages(scored).select("value").write.mode("append").text(house.path("txn_alert"))
     if audit:
-        insert_if_absent(audit_log(scored), house.path("audit_log"), "flowfile_uuid")
+        store_audit(scored, house)
     return scored
 
 

@@ -23,7 +23,7 @@ from txnflow.operators.facts import alert_messages
 from txnflow.operators.rules import ACCOUNT, HISTORY, apply_cascade, lookback_ms, single_pass
 from txnflow.operators.tables import archive_raw, read_or_empty
 from txnflow.operators.timeblocks import first_per_instant
-from txnflow.operators.validate import dead_letters, dedupe_transactions, valid, validate
+from txnflow.operators.validate import dead_letters, dedupe_transactions, keep_rejected_text, valid, validate
 from txnflow.functions import event_millis
 from txnflow.plans.pipeline import Warehouse, store_facts
 from txnflow.schemas import RAW_TXN
@@ -56,8 +56,11 @@ class CascadeSink:
     def _batch(self, name: str, batch_id: int) -> str:
         return self.house.path(f"{name}/batch_id={batch_id}")
 
-    def _write(self, df: DataFrame, name: str, batch_id: int) -> DataFrame:
-        path = self._batch(name, batch_id)
+    def _stage(self, df: DataFrame, name: str, batch_id: int) -> DataFrame:
+        """Write an intermediate table of this batch; two batches later it is overwritten."""
+        return self._write(df, self.house.path(f"stream_stage/{name}{batch_id % 2}"))
+
+    def _write(self, df: DataFrame, path: str) -> DataFrame:
         df.write.parquet(path, mode="overwrite")
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -66,8 +69,8 @@ class CascadeSink:
         spark = messages.sparkSession
         loaded = F.current_timestamp() if self.loaded_at is None else self.loaded_at
         parsed = parse(messages, "key")
-        checked = self._write(validate(parsed), "stream_stage/validated", batch_id)
-        self._write(dead_letters(checked), "dead_letter", batch_id)
+        checked = self._stage(keep_rejected_text(validate(parsed)), "validated", batch_id)
+        self._write(dead_letters(checked), self._batch("dead_letter", batch_id))
 
         history = spark.createDataFrame([], HISTORY_SCHEMA)
         if batch_id > 0:
@@ -76,16 +79,16 @@ class CascadeSink:
         rows = valid(checked).drop("value", "key")
         if newest is not None:
             late = F.col("event_ts") < F.lit(newest) - _interval(self.delay_ms)
-            self._write(rows.filter(late), "late", batch_id)
+            self._write(rows.filter(late), self._batch("late", batch_id))
             rows = rows.filter(~late)
         # A message sent again counts once, also across batches.
         fresh = dedupe_transactions(rows).join(history.select("transaction_id"), "transaction_id", "left_anti")
         fresh = fresh.withColumn("loaded_at", loaded.cast("timestamp_ntz"))
-        accepted = self._write(fresh, "stream_stage/accepted", batch_id)
+        accepted = self._stage(fresh, "accepted", batch_id)
 
         archive_raw(accepted, self._batch("raw", batch_id), mode="overwrite")
         judged = apply_cascade(tag_context(accepted, cfg), cfg, history)
-        scored = self._write(enrich_customers(judged, house.customers), "stream_stage/scored", batch_id)
+        scored = self._stage(enrich_customers(judged, house.customers), "scored", batch_id)
         store_facts(scored, house, cfg, prune=True)
         alert_messages(scored).select("value").write.mode("overwrite").text(self._batch("txn_alert", batch_id))
         self._keep_history(history, accepted, batch_id)
