@@ -301,10 +301,12 @@ WHERE a.rule_triggered = 'velocity' ORDER BY a.detected_at DESC, t.transaction_i
     "dim_time_activity": _HOUSE_DIMS
     + """SELECT d.*, (SELECT count(*) FROM facts f WHERE f.time_id = d.time_id) AS txns FROM dim_time d""",
     "dim_calendar_activity": _HOUSE_DIMS
-    + """SELECT d.*, (SELECT count(*) FROM facts f WHERE f.date_id = d.date_id) AS txns FROM dim_calendar d""",
+    + """SELECT d.* REPLACE (full_date::VARCHAR AS full_date),
+  (SELECT count(*) FROM facts f WHERE f.date_id = d.date_id) AS txns FROM dim_calendar d""",
     "calendar_from_data": _BASE
-    + f"""SELECT {_CALENDAR_COLUMNS} FROM (SELECT DISTINCT event_ts::DATE AS full_date FROM txn)
-LEFT JOIN {_HOLIDAYS} USING (full_date)""",
+    + f"""SELECT * REPLACE (full_date::VARCHAR AS full_date) FROM (
+  SELECT {_CALENDAR_COLUMNS} FROM (SELECT DISTINCT event_ts::DATE AS full_date FROM txn)
+  LEFT JOIN {_HOLIDAYS} USING (full_date))""",
     "dim_customer_upsert": _with(CUSTOMERS)
     + f""", second AS (
   SELECT * REPLACE ({_pad('CUS', "substr(customer_id, 4)::BIGINT + 500", 6)} AS customer_id, risk_score + 1 AS risk_score)
@@ -473,7 +475,7 @@ SELECT kpi, value, CASE
   WHEN kpi = 'fraud_rate' AND value >= 1 THEN 'orange' WHEN kpi = 'alert_latency' AND value >= 3 THEN 'orange'
   ELSE 'green' END AS status FROM kpi""".lstrip(),
     "raw_archive": _BASE
-    + "SELECT event_ts::DATE AS event_date, channel, count(*) AS n, sum(amount)::BIGINT AS amount FROM txn GROUP BY 1, 2",
+    + "SELECT event_ts::DATE::VARCHAR AS event_date, channel, count(*) AS n, sum(amount)::BIGINT AS amount FROM txn GROUP BY 1, 2",
     "idempotent_sink": _HOUSE
     + """SELECT 'fact_txn' AS table_name, (SELECT count(*) FROM facts) AS n
 UNION ALL SELECT 'fact_alert', (SELECT count(*) FROM alerts)""",

@@ -101,7 +101,7 @@ def fact_alert(spark, d):
 
 
 def _plain(df: DataFrame, **types: str) -> DataFrame:
-    """Cast result columns whose form depends on the reader (decimals, nullable integers)."""
+    """Cast result columns whose form depends on the reader (decimals, dates, nullable integers)."""
     return df.withColumns({name: F.col(name).cast(kind) for name, kind in types.items()})
 
 
@@ -174,13 +174,13 @@ def dim_time_activity(spark, d):
 
 def dim_calendar_activity(spark, d):
     house = warehouse(spark, d)
-    return reports.activity_per_day(house.facts, house.calendar)
+    return _plain(reports.activity_per_day(house.facts, house.calendar), full_date="string")
 
 
 def calendar_from_data(spark, d):
     """Calendar rows for the days the transactions fall on."""
     days = demo.transactions(spark, d).select(F.to_date("event_ts").alias("full_date")).distinct()
-    return dims.calendar_of(days)
+    return _plain(dims.calendar_of(days), full_date="string")
 
 
 def dim_customer_upsert(spark, d):
@@ -587,7 +587,8 @@ def raw_archive(spark, d):
     path = scratch_table(spark, "raw")
     tables.archive_raw(demo.transactions(spark, d), path)
     back = spark.read.json(path, schema="event_date date, channel string, transaction_id string, amount bigint")
-    return back.groupBy("event_date", "channel").agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
+    counts = back.groupBy("event_date", "channel").agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
+    return _plain(counts, event_date="string")
 
 
 def idempotent_sink(spark, d):
