@@ -13,7 +13,7 @@ SF_DIR = os.environ.get("TXNFLOW_TEST_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("txnflow-tests", cpus=4, partitions=4)
+    session = local_session("txnflow-tests", cpus=8, partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

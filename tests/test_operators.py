@@ -26,6 +26,12 @@ def test_masks(spark):
     assert one(spark, fn.token_account("a"), a="VCB1").startswith("****")
 
 
+def test_json_field(spark):
+    assert one(spark, fn.json_field("a", "id"), a='[{"id": "x"}, {"id": "y"}]') == "x"
+    assert one(spark, fn.json_field("a", "id"), a='{"id": 7}') == "7"
+    assert one(spark, fn.json_field("a", "id"), a="{}") == ""
+
+
 def test_distance(spark):
     km = fn.haversine_km(*[F.lit(v) for v in (21.0278, 105.8342, 10.8231, 106.6297)])
     assert round(one(spark, km), 3) == 1137.884

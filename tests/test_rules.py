@@ -84,6 +84,7 @@ def test_rows_without_keys_pass_and_leave_no_state(spark):
     rows += [txn(f"n{i}", i, account=None) for i in range(4)]
     rows += [txn("m0", 0, "m", merchant=None), txn("m1", 1, "m", merchant=None), txn("m2", 100, "m", merchant="")]
     rows += [txn("night", at=datetime(2025, 3, 3, 23, 0), account="", amount=60_000_000)]
+    rows += [txn(f"t{i}", account="t", timestamp="no time") for i in range(4)]
     got = verdicts(rules.apply_cascade(frame(spark, rows)))
     assert got.pop("night") == OFF_HOURS
     assert set(got.values()) == {None}

@@ -12,6 +12,7 @@ from txnflow.functions.scalar import (
     is_maintenance,
     is_night,
     is_peak_hour,
+    json_field,
     mask_account,
     mask_national_id,
     mask_phone,

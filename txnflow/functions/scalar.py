@@ -59,6 +59,14 @@ def null_tokens(c: Column | str) -> Column:
     return F.when(~c.isin("", "nan", "None"), c)
 
 
+def json_field(message: Column | str, field: str) -> Column:
+    """A field of a JSON message or of its first element; empty text if absent."""
+    message = _col(message)
+    return F.coalesce(
+        F.get_json_object(message, f"$[0].{field}"), F.get_json_object(message, f"$.{field}"), F.lit("")
+    )
+
+
 # ---- time -------------------------------------------------------------------
 
 

@@ -45,6 +45,11 @@ def velocity_applies() -> Column:
     return has_value(ACCOUNT)
 
 
+def has_history(txn_time: str = "event_ts") -> Column:
+    """On input rows: those whose account and time the stateful rules can use."""
+    return has_value(ACCOUNT) & F.col(txn_time).isNotNull()
+
+
 def geo_applies() -> Column:
     return has_value(ACCOUNT) & F.col("merchant_lat").isNotNull() & F.col("merchant_lon").isNotNull()
 
@@ -54,10 +59,14 @@ def duplicate_applies() -> Column:
 
 
 def rule_input(txn: DataFrame, *extra: str) -> DataFrame:
-    """The few columns rules read, with event time as ``t`` in milliseconds."""
+    """The few columns rules read, with event time as ``t`` in milliseconds.
+
+    A row without a time has no place in a history: it loses its account here
+    and passes the stateful rules.
+    """
     return txn.select(
         ID,
-        ACCOUNT,
+        F.when(F.col("event_ts").isNotNull(), F.col(ACCOUNT)).alias(ACCOUNT),
         event_millis("event_ts").alias("t"),
         "amount",
         "merchant_id",
@@ -280,13 +289,13 @@ def _join_verdicts(txn: DataFrame, cfg: RuleConfig, history: DataFrame | None) -
     rule = F.when(F.col("_judged"), F.col(RULE))
     if OFF_HOURS in before:
         rule = F.when(off, OFF_HOURS).otherwise(rule)
-    stopped = velocity_applies() & F.col("_judged").isNull()
+    stopped = has_history() & F.col("_judged").isNull()
     if OFF_HOURS in before:
         stopped = stopped & ~off
     rule = F.when(stopped, VELOCITY).otherwise(rule)
-    # Rows without an account skip the stateful rules, not this one.
+    # Rows without a history skip the stateful rules, not this one.
     if OFF_HOURS in after:
-        rule = F.when(~velocity_applies() & off, OFF_HOURS).otherwise(rule)
+        rule = F.when(~has_history() & off, OFF_HOURS).otherwise(rule)
     return txn.join(verdicts, ID, "left").withColumn(RULE, rule).drop("_judged")
 
 

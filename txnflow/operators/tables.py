@@ -33,7 +33,7 @@ def has_data(spark: SparkSession, path: str) -> bool:
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     if has_data(spark, path):
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
     return spark.createDataFrame([], schema)
 
 

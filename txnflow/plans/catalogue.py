@@ -11,6 +11,7 @@ from txnflow.functions import (
     date_key,
     format_km,
     haversine_km,
+    json_field,
     period_label,
     time_key,
     token_account,
@@ -149,10 +150,7 @@ def alert_messages(spark, d):
     """Published alerts, read back from their JSON."""
     sent = facts.alert_messages(_scored(warehouse(spark, d)))
     return sent.select(
-        F.get_json_object("value", "$.transaction_id").alias("transaction_id"),
-        F.get_json_object("value", "$.rule_triggered").alias("rule_triggered"),
-        F.get_json_object("value", "$.alert_id").alias("alert_id"),
-        F.get_json_object("value", "$.amount").alias("amount"),
+        *[json_field("value", f).alias(f) for f in ("transaction_id", "rule_triggered", "alert_id", "amount")]
     )
 
 
@@ -657,7 +655,10 @@ def stream_volume_per_minute(spark, d):
 
 
 def stream_keyed_cascade(spark, d):
-    """The stateful operator; its state store must be RocksDB."""
+    """The stateful operator; its state store must be RocksDB.
+
+    A backlog read in one go is fine: its accounts are split by time.
+    """
     out, checkpoint = scratch_table(spark, "verdicts"), scratch_table(spark, "checkpoint")
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -96,11 +97,14 @@ def run_batch(
     loaded_at: Column | None = None,
     hold_maintenance: bool = False,
     audit: bool = True,
+    publish: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """Process key/value messages into the warehouse; returns the scored rows.
 
     Running it again on the same messages changes nothing but the archive's
-    and the alert topic's copies, as re-sending messages does.
+    and the alert topic's copies, as re-sending messages does.  Dead letters
+    are told apart by their text.  ``publish`` takes the alerts as key/value
+    rows, e.g. to ``kafka_publish`` them; without it they go to a folder.
     """
     loaded = (F.current_timestamp() if loaded_at is None else loaded_at).cast("timestamp_ntz")
     arrived = messages if "loaded_at" in messages.columns else messages.withColumn("loaded_at", loaded)
@@ -120,7 +124,8 @@ def run_batch(
     judged = apply_cascade(tag_context(accepted, cfg), cfg)
     scored = stored(enrich_customers(judged, house.customers), "scored")
     store_facts(scored, house, cfg)
-    alert_messages(scored).select("value").write.mode("append").text(house.path("txn_alert"))
+    publish = publish or (lambda df: df.select("value").write.mode("append").text(house.path("txn_alert")))
+    publish(alert_messages(scored))
     if audit:
         store_audit(scored, house)
     return scored

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +30,11 @@ def local_session(app: str = "txnflow", cpus: int | str = "*", partitions: int =
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="txnflow-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a local one only where none is named."""
     folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
@@ -36,9 +42,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="txnflow-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    return _local_folder()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

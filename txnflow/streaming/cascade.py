@@ -44,11 +44,13 @@ def _interval(milliseconds: int):
 class CascadeSink:
     """foreachBatch target holding the paths and settings."""
 
-    def __init__(self, house: Warehouse, cfg: RuleConfig = DEFAULT_RULES, delay_ms: int = 3_600_000, loaded_at=None):
+    def __init__(
+        self, house: Warehouse, cfg: RuleConfig = DEFAULT_RULES, delay_ms: int = 3_600_000, loaded_at=None, publish=None
+    ):
         if not single_pass(cfg):
             raise ValueError("the stream needs velocity first and windows that allow a single pass")
         self.house, self.cfg, self.delay_ms = house, cfg, delay_ms
-        self.loaded_at = loaded_at
+        self.loaded_at, self.publish = loaded_at, publish
 
     def _slot(self, batch_id: int) -> str:
         return self.house.path(f"stream_state/slot{batch_id % 2}")
@@ -90,7 +92,11 @@ class CascadeSink:
         judged = apply_cascade(tag_context(accepted, cfg), cfg, history)
         scored = self._stage(enrich_customers(judged, house.customers), "scored", batch_id)
         store_facts(scored, house, cfg, prune=True)
-        alert_messages(scored).select("value").write.mode("overwrite").text(self._batch("txn_alert", batch_id))
+        alerts = alert_messages(scored)
+        if self.publish is not None:
+            self.publish(alerts)
+        else:
+            alerts.select("value").write.mode("overwrite").text(self._batch("txn_alert", batch_id))
         self._keep_history(history, accepted, batch_id)
 
     def _keep_history(self, history: DataFrame, accepted: DataFrame, batch_id: int) -> None:

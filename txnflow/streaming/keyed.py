@@ -1,10 +1,10 @@
 """The cascade as one keyed stateful operator.
 
-An alternative to ``streaming.cascade`` with lower latency: state lives in
-Spark's state store, one entry set per account, and rows come out with the
-next trigger.  All rows of an account in a micro-batch go to one task, so the
-source's per-trigger limit bounds that task; prefer ``streaming.cascade`` where
-an account may dominate the stream.
+An alternative to ``streaming.cascade``: state lives in Spark's state store
+and rows come out with the next trigger.  The key is an account's time block,
+with the tail of the block before it as context, so a backlog of one account
+is spread over tasks.  Within a block, rows that are bound to fire velocity
+(the third or later of one instant) leave at once and are never held.
 """
 
 from __future__ import annotations
@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
-from txnflow.config import DEFAULT_RULES, DUPLICATE, GEO, VELOCITY, RuleConfig
+from txnflow.config import DEFAULT_RULES, DUPLICATE, GEO, OFF_HOURS, VELOCITY, RuleConfig
 from txnflow.functions import off_hours_large
 from txnflow.functions.scalar import EARTH_RADIUS_KM
-from txnflow.operators.rules import rule_input
+from txnflow.operators.rules import ACCOUNT, lookback_ms, rule_input, single_pass, velocity_applies
+from txnflow.operators.timeblocks import BLOCK, IN_CORE, block_length, with_halo
 
 VERDICT_DDL = "transaction_id string, account_masked string, t bigint, rule_triggered string, dist_km double"
+COLUMNS = ["transaction_id", "account_masked", "t", "rule_triggered", "dist_km"]
 
 
 def distance_km(a: tuple[float, float], b: tuple[float, float]) -> float:
@@ -34,81 +36,97 @@ def distance_km(a: tuple[float, float], b: tuple[float, float]) -> float:
 
 
 class CascadeProcessor(StatefulProcessor):
-    """Velocity times, last place and duplicate anchors of one account."""
+    """Velocity times, last place and last row per combination of one block."""
 
-    def __init__(self, cfg: RuleConfig = DEFAULT_RULES):
-        self.cfg = cfg
+    def __init__(self, cfg: RuleConfig, block_ms: int):
+        self.cfg, self.block_ms = cfg, block_ms
 
     def init(self, handle) -> None:
         self.handle = handle
         self.times = handle.getListState("times", "t bigint")
         self.place = handle.getValueState("place", "t bigint, lat double, lon double")
-        self.anchors = handle.getMapState("anchors", "amount bigint, merchant string", "t bigint")
+        self.last = handle.getMapState("last", "amount bigint, merchant string", "t bigint")
 
     def handleInputRows(self, key, rows, timerValues):
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["t", "transaction_id"], ignore_index=True)
+        heads = None
+        for chunk in rows:
+            if self.cfg.rule_order[0] == OFF_HOURS:
+                yield self._verdicts(key, chunk[chunk["off_hours"]], OFF_HOURS)
+                chunk = chunk[~chunk["off_hours"]]
+            held = chunk if heads is None else pd.concat([heads, chunk], ignore_index=True)
+            held = held.sort_values(["t", "transaction_id"], ignore_index=True)
+            sure = held.groupby("t").cumcount() >= self.cfg.velocity_count - 1
+            yield self._verdicts(key, held[sure], VELOCITY)
+            heads = held[~sure]
+        if heads is not None and len(heads):
+            yield self._score(key, heads)
+        # The block is complete, and its state of no use, when the watermark has passed it.
+        self.handle.registerTimer((key[1] + 1) * self.block_ms)
+
+    def _verdicts(self, key, rows: pd.DataFrame, rule: str) -> pd.DataFrame:
+        core = rows[rows["core"]]
+        out = core[["transaction_id", "t"]].assign(account_masked=key[0], rule_triggered=rule, dist_km=None)
+        return out[COLUMNS]
+
+    def _score(self, key, heads: pd.DataFrame) -> pd.DataFrame:
         recent = [r[0] for r in self.times.get()]
-        place = self.place.get() if self.place.exists() else None
-        anchors = {tuple(k): v[0] for k, v in self.anchors.iterator()}
+        place = tuple(self.place.get()) if self.place.exists() else None
+        last = {tuple(k): v[0] for k, v in self.last.iterator()}
         verdicts = []
-        for row in batch.itertuples(index=False):
-            rule, km = None, None
-            for name in self.cfg.rule_order:
-                if name == VELOCITY:
-                    recent = [t for t in recent if row.t - t <= self.cfg.velocity_ms]
-                    recent.append(row.t)
-                    fired = len(recent) >= self.cfg.velocity_count
-                    # More times than the threshold needs change no verdict.
-                    recent = recent[-self.cfg.velocity_count :]
-                elif name == GEO:
-                    fired, place, km = self._geo(row, place)
-                elif name == DUPLICATE:
-                    fired = self._duplicate(row, anchors)
-                else:
-                    fired = bool(row.off_hours)
-                if fired:
-                    rule = name
-                    break
-            verdicts.append((row.transaction_id, key[0], row.t, rule, km if rule == GEO else None))
-        self._save(recent, place, anchors, int(batch["t"].iloc[-1]))
-        yield pd.DataFrame(verdicts, columns=["transaction_id", "account_masked", "t", "rule_triggered", "dist_km"])
+        for row in heads.itertuples(index=False):
+            recent = [t for t in recent if row.t - t <= self.cfg.velocity_ms] + [row.t]
+            rule, km = (VELOCITY if len(recent) >= self.cfg.velocity_count else None), None
+            # More times than the threshold needs change no verdict.
+            recent = recent[-self.cfg.velocity_count :]
+            if rule is None:
+                for name in self.cfg.rule_order:
+                    fired = False
+                    if name == GEO:
+                        fired, place, km = self._geo(row, place)
+                    elif name == DUPLICATE:
+                        fired = self._duplicate(row, last)
+                    elif name == OFF_HOURS:
+                        fired = bool(row.off_hours)
+                    if fired:
+                        rule = name
+                        break
+            if row.core:
+                verdicts.append((row.transaction_id, key[0], row.t, rule, km if rule == GEO else None))
+        self._save(recent, place, last, int(heads["t"].iloc[-1]))
+        return pd.DataFrame(verdicts, columns=COLUMNS)
 
     def _geo(self, row, place):
         if pd.isna(row.merchant_lat) or pd.isna(row.merchant_lon):
             return False, place, None
         here, fired, km = (row.t, row.merchant_lat, row.merchant_lon), False, None
         if place is not None and 0 < row.t - place[0] <= self.cfg.geo_ms:
-            km = distance_km((place[1], place[2]), here[1:])
+            km = distance_km(place[1:], here[1:])
             fired = km > self.cfg.geo_anomaly_km
         return fired, here, km
 
-    def _duplicate(self, row, anchors) -> bool:
+    def _duplicate(self, row, last) -> bool:
+        """Compare with the combination's last row; see ``rules.single_pass``."""
         if pd.isna(row.amount) or not isinstance(row.merchant_id, str) or not row.merchant_id:
             return False
         combo = (int(row.amount), row.merchant_id)
-        if combo in anchors and row.t - anchors[combo] <= self.cfg.duplicate_ms:
-            return True
-        anchors[combo] = int(row.t)
-        return False
+        before = last.get(combo)
+        last[combo] = int(row.t)
+        return before is not None and row.t - before <= self.cfg.duplicate_ms
 
-    def _save(self, recent, place, anchors, now: int) -> None:
+    def _save(self, recent, place, last, now: int) -> None:
         self.times.put([(int(t),) for t in recent])
         if place is not None:
-            self.place.update(tuple(place))
-        for combo, at in anchors.items():
+            self.place.update(place)
+        for combo, at in last.items():
             if now - at <= self.cfg.duplicate_ms:
-                self.anchors.updateValue(combo, (at,))
-            elif self.anchors.containsKey(combo):
-                self.anchors.removeKey(combo)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        # Nothing is remembered longer than the longest window.
-        self.handle.registerTimer(now + max(self.cfg.velocity_ms, self.cfg.geo_ms, self.cfg.duplicate_ms) + 1)
+                self.last.updateValue(combo, (at,))
+            elif self.last.containsKey(combo):
+                self.last.removeKey(combo)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.times.clear()
         self.place.clear()
-        self.anchors.clear()
+        self.last.clear()
         return iter(())
 
     def close(self) -> None:
@@ -120,14 +138,15 @@ def keyed_cascade(rows: DataFrame, cfg: RuleConfig = DEFAULT_RULES, delay: str =
 
     Rows without an account have no state and are left to ``off_hours_large``.
     """
+    if not single_pass(cfg):
+        raise ValueError("the stream needs velocity first and windows that allow a single pass")
+    block_ms = block_length(lookback_ms(cfg))
     narrow = rule_input(rows, F.col("event_ts"), off_hours_large(cfg=cfg).alias("off_hours"))
-    keyed = narrow.filter("account_masked != ''").withWatermark("event_ts", delay)
-    return keyed.groupBy("account_masked").transformWithStateInPandas(
-        statefulProcessor=CascadeProcessor(cfg),
+    narrow = narrow.filter(velocity_applies()).withWatermark("event_ts", delay)
+    blocked = with_halo(narrow, lookback_ms(cfg), block_ms).withColumnRenamed(IN_CORE, "core")
+    return blocked.groupBy(ACCOUNT, BLOCK).transformWithStateInPandas(
+        statefulProcessor=CascadeProcessor(cfg, block_ms),
         outputStructType=VERDICT_DDL,
         outputMode="append",
         timeMode="EventTime",
     )
-
-
-
