@@ -198,14 +198,10 @@ def test_anchor_walk_equals_one_by_one(times, window, block):
     for b in sorted({t // block for t in times}):
         inside = np.array([t for t in times if t // block == b])
         entry, leave = block_exits(inside, b * block + window, window)
-        links.append({"_block": b, "entry": entry, "leave": leave})
-    want = greedy(times, window)
+        links.append({"_block": b, "carry": None if links else -1000, "entry": entry, "leave": leave})
+    anchors = greedy(times, window)
     for found in walk_blocks(links, window):
-        first = [t for t in want if t // block == found["_block"]]
-        if first:
-            assert found["entry"] == first[0]
-        else:
-            assert found["entry"] > max(times)
+        assert found["carry"] == max(a for a in anchors if a // block <= found["_block"])
 
 
 @pytest.mark.parametrize("block", [30_000, 45_000, 600_000])
@@ -217,6 +213,16 @@ def test_anchors_over_small_blocks(spark, block):
     assert got == {f"I{t:08d}" for t in greedy(times, 30_000)}
 
 
+def test_anchors_of_regular_and_sparse_keys(spark):
+    """A row every second for an hour never restarts; sparse rows always do."""
+    times = {"steady": range(0, 3_600_000, 1000), "sparse": range(0, 3_600_000, 41_000), "pairs": []}
+    times["pairs"] = [t + d for t in range(0, 3_600_000, 100_000) for d in (0, 20_000, 40_000)]
+    rows = [(f"{k}{t:08d}", t, k) for k, ts in times.items() for t in ts]
+    df = spark.createDataFrame(rows, "transaction_id string, t bigint, k string")
+    want = {f"{k}{t:08d}" for k, ts in times.items() for t in greedy(ts, 30_000)}
+    assert ids(duplicate_anchors(df, ("k",), 30_000)) == want
+
+
 def test_halo_must_fit_the_block(spark):
     rows = spark.createDataFrame([("a", 5)], "account_masked string, t bigint")
     with pytest.raises(ValueError):

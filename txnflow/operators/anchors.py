@@ -3,21 +3,23 @@
 Within one combination the first row is an anchor; the next anchor is the
 first row more than the window after it; every other row is a duplicate.  The
 chain is sequential, yet one combination may hold much of the table, so it is
-computed in three steps that each work on bounded groups:
-
-1. per time block, from every row the chain could enter the block at, the last
-   anchor it would leave the block with;
-2. per combination, a walk over those block summaries gives each block its
-   real entry;
-3. per time block, the anchors that follow from the entry.
-
-Steps 1 and 2 only see blocks whose chain crosses a block edge.
+cut into time blocks.  To mark a block's anchors one needs only the last
+anchor before it, its carry:
+
+* A gap longer than the window restarts the chain.  So a block with such a gap
+  inside, or before it, is left with the same last anchor whatever came
+  earlier, and that anchor is the next block's carry.
+* Only a block that continues the one before and has no gap passes its own
+  carry on.  For those, one table per block says with which anchor the chain
+  leaves it for every row it could enter at, and a walk over these tables, in
+  order, finds the carries.  Ordinary data has none: it takes a row every
+  window throughout a block.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -25,7 +27,6 @@ from txnflow.operators.timeblocks import block_of
 from txnflow.session import ensure_checkpoint_dir
 
 BLOCK_MS = 600_000
-_NEVER = int(np.iinfo(np.int64).max)
 
 
 def block_exits(t: np.ndarray, first_free: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,16 +48,45 @@ def block_exits(t: np.ndarray, first_free: int, window: int) -> tuple[np.ndarray
 
 
 def walk_blocks(links, window: int):
-    """Yield each block's real entry time along one combination's blocks."""
+    """Yield the anchor each block is left with, along one combination's blocks.
+
+    A link without a carry continues the link before it.
+    """
     last = None
     for link in links:
-        entry = link["entry"]
-        i = 0 if last is None else int(np.searchsorted(entry, last + window, side="right"))
-        if i < len(entry):
-            last = int(link["leave"][i])
-            yield {"_block": link["_block"], "entry": int(entry[i])}
-        else:
-            yield {"_block": link["_block"], "entry": _NEVER}
+        carry = last if link["carry"] is None else link["carry"]
+        i = int(np.searchsorted(link["entry"], carry + window, side="right"))
+        last = int(link["leave"][i]) if i < len(link["entry"]) else int(carry)
+        yield {"_block": int(link["_block"]), "carry": last}
+
+
+def _last_anchor(instants: Column, window_ms: int) -> Column:
+    def step(at, row):
+        return F.when(at.isNull() | (row["t"] - at > window_ms), row["t"]).otherwise(at)
+
+    return F.aggregate(instants, F.lit(None).cast("bigint"), step)
+
+
+def _has_gap(instants: Column, window_ms: int) -> Column:
+    start = F.struct(F.lit(None).cast("bigint").alias("t"), F.lit(False).alias("gap"))
+
+    def step(before, row):
+        far = F.coalesce(row["t"] - before["t"] > window_ms, F.lit(False))
+        return F.struct(row["t"].alias("t"), (before["gap"] | far).alias("gap"))
+
+    return F.aggregate(instants, start, step)["gap"]
+
+
+def _anchor_ids(instants: Column, carry: Column, window_ms: int) -> Column:
+    # At most block/window + 1 anchors per block, so the id list stays short.
+    start = F.struct(carry.alias("at"), F.array().cast("array<string>").alias("ids"))
+
+    def step(state, row):
+        opens = state["at"].isNull() | (row["t"] - state["at"] > window_ms)
+        grown = F.struct(row["t"].alias("at"), F.concat(state["ids"], F.array(row["id"])).alias("ids"))
+        return F.when(opens, grown).otherwise(state)
+
+    return F.aggregate(instants, start, step)["ids"]
 
 
 def duplicate_anchors(
@@ -74,61 +104,64 @@ def duplicate_anchors(
 
     # One row per instant: at most one per millisecond, whatever the input.
     instants = rows.groupBy(*keys, "t").agg(F.min("transaction_id").alias("id"))
+    inst = F.col("inst")
     blocks = (
         instants.withColumn("_block", block_of(F.col("t"), block_ms))
         .groupBy(*key_block)
         .agg(F.sort_array(F.collect_list(F.struct("t", "id"))).alias("inst"))
-        .withColumn("first_t", F.col("inst")[0]["t"])
-        .withColumn("last_t", F.element_at("inst", -1)["t"])
+        .select(
+            "*",
+            inst[0]["t"].alias("first_t"),
+            F.element_at(inst, -1)["t"].alias("last_t"),
+            _last_anchor(inst, window_ms).alias("last_anchor"),
+            _has_gap(inst, window_ms).alias("has_gap"),
+        )
     )
-    # All three steps read the blocks; without this each would compute them anew.
+    # The steps below all read the blocks; without this each would compute them anew.
     ensure_checkpoint_dir(rows.sparkSession)
     blocks = blocks.checkpoint()
 
     along = Window.partitionBy(*keys).orderBy("_block")
-    crossing = (
-        blocks.select(*key_block, "first_t", "last_t")
-        .withColumn("_from", F.col("first_t") - F.lag("last_t").over(along))
-        .withColumn("_to", F.lead("first_t").over(along) - F.col("last_t"))
-        .filter((F.col("_from") <= window_ms) | (F.col("_to") <= window_ms))
-        .select(*key_block)
+    continues = F.coalesce(F.col("first_t") - F.lag("last_t").over(along) <= window_ms, F.lit(False))
+    edges = (
+        blocks.drop("inst")
+        .withColumn("continues", continues)
+        .withColumn("open", F.col("continues") & ~F.col("has_gap"))
+        .withColumn("carry", F.when(~F.lag("open").over(along), F.lag("last_anchor").over(along)))
     )
 
     def exits(batches):
         for pdf in batches:
             found = [
                 block_exits(t, block * block_ms + window_ms, window_ms)
-                for t, block in zip(pdf["t"], pdf["_block"])
+                for t, block in zip(pdf.pop("t"), pdf["_block"])
             ]
-            yield pdf[key_block].assign(entry=[e for e, _ in found], leave=[x for _, x in found])
+            yield pdf.assign(entry=[e for e, _ in found], leave=[x for _, x in found])
 
     def walk(batches):
         for pdf in batches:
-            pdf["links"] = [list(walk_blocks(links, window_ms)) for links in pdf["links"]]
-            yield pdf
-
-    entries = (
-        blocks.join(crossing, key_block)
-        .select(*key_block, F.col("inst.t").alias("t"))
-        .mapInPandas(exits, f"{key_ddl}, `_block` bigint, entry array<bigint>, leave array<bigint>")
+            yield pdf.assign(links=[list(walk_blocks(links, window_ms)) for links in pdf["links"]])
+
+    # A missing carry must reach Python as None, which a numeric column would not keep.
+    link = F.struct("_block", "carry", "entry", "leave")
+    passed_on = (
+        blocks.join(edges.filter("open").select(*key_block, "carry"), key_block)
+        .select(*key_block, F.array_compact(F.array("carry")).alias("carry"), inst["t"].alias("t"))
+        .mapInPandas(
+            exits, f"{key_ddl}, `_block` bigint, carry array<bigint>, entry array<bigint>, leave array<bigint>"
+        )
+        .withColumn("carry", F.get("carry", F.lit(0)))
         .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct("_block", "entry", "leave"))).alias("links"))
-        .mapInPandas(walk, f"{key_ddl}, links array<struct<`_block`: bigint, entry: bigint>>")
+        .agg(F.sort_array(F.collect_list(link)).alias("links"))
+        .mapInPandas(walk, f"{key_ddl}, links array<struct<`_block`: bigint, carry: bigint>>")
         .select(*keys, F.inline("links"))
+        .select(*keys, (F.col("_block") + 1).alias("_block"), F.col("carry").alias("_passed"))
     )
-
-    # At most block/window + 1 anchors per block, so the id list stays short.
-    start = F.struct(F.lit(None).cast("bigint").alias("at"), F.array().cast("array<string>").alias("ids"))
-
-    def follow(state, row):
-        opens = (row["t"] >= F.col("entry")) & (
-            state["at"].isNull() | (row["t"] - state["at"] > window_ms)
-        )
-        grown = F.struct(row["t"].alias("at"), F.concat(state["ids"], F.array(row["id"])).alias("ids"))
-        return F.when(opens, grown).otherwise(state)
-
-    return (
-        blocks.join(entries, key_block, "left")
-        .withColumn("entry", F.coalesce("entry", "first_t"))
-        .select(F.explode(F.aggregate("inst", start, follow)["ids"]).alias("transaction_id"))
+    carries = (
+        edges.filter("continues")
+        .select(*key_block, "carry")
+        .join(passed_on, key_block, "left")
+        .select(*key_block, F.coalesce("carry", "_passed").alias("carry"))
     )
+    marked = blocks.join(carries, key_block, "left")
+    return marked.select(F.explode(_anchor_ids(inst, F.col("carry"), window_ms)).alias("transaction_id"))
