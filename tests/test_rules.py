@@ -1,4 +1,6 @@
 import random
+import subprocess
+import sys
 from datetime import datetime
 
 import numpy as np
@@ -223,6 +225,18 @@ def test_anchors_of_regular_and_sparse_keys(spark):
     assert ids(duplicate_anchors(df, ("k",), 30_000)) == want
 
 
+def test_worker_code_needs_no_installed_package(tmp_path):
+    from pyspark import cloudpickle
+
+    from txnflow.streaming.keyed import CascadeProcessor
+
+    for i, thing in enumerate((block_exits, walk_blocks, CascadeProcessor(DEFAULT_RULES, 3_600_000))):
+        (tmp_path / f"{i}.pkl").write_bytes(cloudpickle.dumps(thing))
+        load = f"import pickle; pickle.load(open('{i}.pkl', 'rb'))"
+        done = subprocess.run([sys.executable, "-I", "-c", load], cwd=tmp_path, capture_output=True, text=True)
+        assert done.returncode == 0, done.stderr
+
+
 def test_halo_must_fit_the_block(spark):
     rows = spark.createDataFrame([("a", 5)], "account_masked string, t bigint")
     with pytest.raises(ValueError):
