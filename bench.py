@@ -9,7 +9,7 @@ import time
 from txnflow.config import DEFAULT_RULES, GEO_ORDER
 from txnflow.operators import rules
 from txnflow.plans import catalogue
-from txnflow.plans.pipeline import Warehouse, run_batch
+from txnflow.plans.batch import Warehouse, run_batch
 from txnflow.session import local_session, scratch_table
 from txnflow.sources.demo import customers, transactions
 
@@ -49,7 +49,7 @@ def main() -> None:
     sent = scratch_table(spark, "messages")
     messages.write.parquet(sent)
 
-    def pipeline():
+    def load():
         house = Warehouse(spark, scratch_table(spark, "house"))
         house.seed(customers(spark, SF_DIR))
         run_batch(spark.read.parquet(sent), house)
@@ -61,7 +61,7 @@ def main() -> None:
         "geo_anomaly_alerts": lambda: run(rules.geo_anomaly_alerts(txn)),
         "duplicate_alerts": lambda: run(rules.duplicate_alerts(txn)),
         "off_hours_alerts": lambda: run(rules.off_hours_alerts(txn)),
-        "batch_pipeline": pipeline,
+        "batch_load": load,
         "validate_records": lambda: run(catalogue.validate_records(spark, SF_DIR)),
         "staging_load": lambda: run(catalogue.staging_load(spark, SF_DIR)),
     }
@@ -85,7 +85,7 @@ def main() -> None:
                 "sf": os.path.basename(SF_DIR.rstrip("/")),
                 "transactions": rows,
                 "cascade_rows_per_s": round(rows / seconds["cascade"]),
-                "pipeline_rows_per_s": round(rows / seconds["batch_pipeline"]),
+                "batch_rows_per_s": round(rows / seconds["batch_load"]),
             }
         )
     )

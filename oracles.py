@@ -371,7 +371,7 @@ FROM txn LEFT JOIN dim_customer USING (customer_id)""",
 )
 SELECT md5(transaction_id || '|' || s.p) AS flowfile_uuid, s.p AS processor_name, s.e AS event_type,
   transaction_id AS txn_id, loaded_at AS logged_at FROM steps""".lstrip(),
-    "batch_pipeline": _with(_GOOD, CASCADE, FACTS)
+    "batch_load": _with(_GOOD, CASCADE, FACTS)
     + """SELECT 'fact_txn' AS table_name, (SELECT count(*) FROM facts) AS n
 UNION ALL SELECT 'fact_alert', (SELECT count(*) FROM alerts)
 UNION ALL SELECT 'dead_letter', (SELECT count(DISTINCT CASE WHEN n % 50 = 37 THEN left(transaction_id, 1) ELSE transaction_id END)
@@ -486,5 +486,8 @@ UNION ALL SELECT 'fact_alert', (SELECT count(*) FROM alerts)""",
     "stream_volume_per_minute": _with(_GOOD)
     + """SELECT date_trunc('minute', event_ts)::TIMESTAMP AS time, count(*) AS value FROM txn GROUP BY 1
 HAVING time + INTERVAL 1 MINUTE <= (SELECT max(event_ts) FROM txn) - INTERVAL 1 HOUR""",
+    "stream_totals_by_channel": _with(_GOOD)
+    + f"""SELECT channel, count(*) AS total, count(*) FILTER (WHERE fraud_label = 1) AS fraud,
+  {_pct('fraud_label = 1')} AS fraud_pct FROM txn GROUP BY channel""",
     "stream_keyed_cascade": _with(_GOOD, CASCADE_GEO) + "SELECT transaction_id, rule_triggered FROM scored",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from txnflow.config import DEFAULT_RULES, DUPLICATE, GEO_ORDER, OFF_HOURS, VELOCITY
 from txnflow.operators.facts import fact_alert
 from txnflow.operators.rules import apply_cascade
-from txnflow.plans.pipeline import Warehouse, replay, run_batch
+from txnflow.plans.batch import Warehouse, replay, run_batch
 from txnflow.schemas import DIM_CUSTOMER
 from txnflow.session import ROCKSDB_PROVIDER, scratch_table
 from txnflow.sources import messages

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 from txnflow.config import DEFAULT_RULES, DUPLICATE, GEO, GEO_ORDER, OFF_HOURS, VELOCITY
 from txnflow.operators import rules
-from txnflow.operators.anchors import block_exits, duplicate_anchors, walk_blocks
+from txnflow.operators.anchors import block_exits, duplicate_anchors, passed_on
 from txnflow.operators.timeblocks import block_length, with_halo
 
 
@@ -195,15 +195,12 @@ def greedy(times, window):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 400), min_size=1, max_size=80), st.integers(1, 30), st.integers(30, 90))
 def test_anchor_walk_equals_one_by_one(times, window, block):
-    times = sorted(set(times))
-    links = []
+    times, last = sorted(set(times)), -1000
+    anchors = greedy(times, window)
     for b in sorted({t // block for t in times}):
         inside = np.array([t for t in times if t // block == b])
-        entry, leave = block_exits(inside, b * block + window, window)
-        links.append({"_block": b, "carry": None if links else -1000, "entry": entry, "leave": leave})
-    anchors = greedy(times, window)
-    for found in walk_blocks(links, window):
-        assert found["carry"] == max(a for a in anchors if a // block <= found["_block"])
+        last = passed_on(last, *block_exits(inside, b * block + window, window), window)
+        assert last == max(a for a in anchors if a // block <= b)
 
 
 @pytest.mark.parametrize("block", [30_000, 45_000, 600_000])
@@ -230,7 +227,7 @@ def test_worker_code_needs_no_installed_package(tmp_path):
 
     from txnflow.streaming.keyed import CascadeProcessor
 
-    for i, thing in enumerate((block_exits, walk_blocks, CascadeProcessor(DEFAULT_RULES, 3_600_000))):
+    for i, thing in enumerate((block_exits, passed_on, CascadeProcessor(DEFAULT_RULES, 3_600_000))):
         (tmp_path / f"{i}.pkl").write_bytes(cloudpickle.dumps(thing))
         load = f"import pickle; pickle.load(open('{i}.pkl', 'rb'))"
         done = subprocess.run([sys.executable, "-I", "-c", load], cwd=tmp_path, capture_output=True, text=True)

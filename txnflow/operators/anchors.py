@@ -47,17 +47,10 @@ def block_exits(t: np.ndarray, first_free: int, window: int) -> tuple[np.ndarray
     return t[entries], t[leave[entries]]
 
 
-def walk_blocks(links, window: int):
-    """Yield the anchor each block is left with, along one combination's blocks.
-
-    A link without a carry continues the link before it.
-    """
-    last = None
-    for link in links:
-        carry = last if link["carry"] is None else link["carry"]
-        i = int(np.searchsorted(link["entry"], carry + window, side="right"))
-        last = int(link["leave"][i]) if i < len(link["entry"]) else int(carry)
-        yield {"_block": int(link["_block"]), "carry": last}
+def passed_on(carry: float, entry: np.ndarray, leave: np.ndarray, window: int) -> int:
+    """The anchor a block is left with when ``carry`` is the last one before it."""
+    i = int(np.searchsorted(entry, carry + window, side="right"))
+    return int(leave[i] if i < len(entry) else carry)
 
 
 def _last_anchor(instants: Column, window_ms: int) -> Column:
@@ -136,31 +129,33 @@ def duplicate_anchors(
                 block_exits(t, block * block_ms + window_ms, window_ms)
                 for t, block in zip(pdf.pop("t"), pdf["_block"])
             ]
-            yield pdf.assign(entry=[e for e, _ in found], leave=[x for _, x in found])
+            tables = {"entry": [e for e, _ in found], "leave": [x for _, x in found]}
+            yield pdf.assign(carry=pdf["carry"].astype("float64"), **tables)
 
     def walk(batches):
+        # Rows come by combination and block; a row without a carry of its own
+        # continues the one before it.
+        last = None
         for pdf in batches:
-            yield pdf.assign(links=[list(walk_blocks(links, window_ms)) for links in pdf["links"]])
+            out = []
+            for carry, entry, leave in zip(pdf["carry"], pdf.pop("entry"), pdf.pop("leave")):
+                last = passed_on(last if carry != carry else carry, entry, leave, window_ms)
+                out.append(last)
+            yield pdf.assign(carry=out)
 
-    # A missing carry must reach Python as None, which a numeric column would not keep.
-    link = F.struct("_block", "carry", "entry", "leave")
-    passed_on = (
+    through = (
         blocks.join(edges.filter("open").select(*key_block, "carry"), key_block)
-        .select(*key_block, F.array_compact(F.array("carry")).alias("carry"), inst["t"].alias("t"))
-        .mapInPandas(
-            exits, f"{key_ddl}, `_block` bigint, carry array<bigint>, entry array<bigint>, leave array<bigint>"
-        )
-        .withColumn("carry", F.get("carry", F.lit(0)))
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(link)).alias("links"))
-        .mapInPandas(walk, f"{key_ddl}, links array<struct<`_block`: bigint, carry: bigint>>")
-        .select(*keys, F.inline("links"))
+        .select(*key_block, "carry", inst["t"].alias("t"))
+        .mapInPandas(exits, f"{key_ddl}, `_block` bigint, carry double, entry array<bigint>, leave array<bigint>")
+        .repartition(*keys)
+        .sortWithinPartitions(*key_block)
+        .mapInPandas(walk, f"{key_ddl}, `_block` bigint, carry bigint")
         .select(*keys, (F.col("_block") + 1).alias("_block"), F.col("carry").alias("_passed"))
     )
     carries = (
         edges.filter("continues")
         .select(*key_block, "carry")
-        .join(passed_on, key_block, "left")
+        .join(through, key_block, "left")
         .select(*key_block, F.coalesce("carry", "_passed").alias("carry"))
     )
     marked = blocks.join(carries, key_block, "left")

@@ -18,7 +18,7 @@ from txnflow.functions import (
 )
 from txnflow.operators import context, dims, enrich, facts, normalise, rules, tables, validate
 from txnflow.plans import reports
-from txnflow.plans.pipeline import Warehouse, release_held, replay, run_batch, store_facts, stored
+from txnflow.plans.batch import Warehouse, release_held, replay, run_batch, store_facts, stored
 from txnflow.schemas import GENERATED_TXN, MESSAGE_FIELDS
 from txnflow.session import ROCKSDB_PROVIDER, scratch_table
 from txnflow.sources import demo, files, messages
@@ -369,7 +369,7 @@ def audit_trail(spark, d):
     return facts.audit_log(_scored(warehouse(spark, d)))
 
 
-def batch_pipeline(spark, d):
+def batch_load(spark, d):
     """The whole batch job, run twice on the same messages: counts per table."""
     house = Warehouse(spark, scratch_table(spark, "house"))
     house.seed(demo.customers(spark, d))
@@ -654,6 +654,23 @@ def stream_volume_per_minute(spark, d):
     return spark.read.parquet(out)
 
 
+def stream_totals_by_channel(spark, d):
+    """Running totals in update mode; the last update of each channel."""
+    out, checkpoint = scratch_table(spark, "totals"), scratch_table(spark, "checkpoint")
+
+    def save(df, batch_id):
+        df.write.parquet(f"{out}/batch_id={batch_id}", mode="overwrite")
+
+    def start(stream):
+        counts = windows.totals_by_channel(windows.accepted(stream))
+        writer = counts.writeStream.outputMode("update").foreachBatch(save)
+        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+    _stream_into(spark, d, start)
+    latest = F.max_by(F.struct("total", "fraud", "fraud_pct"), "batch_id")
+    return spark.read.parquet(out).groupBy("channel").agg(latest.alias("last")).select("channel", "last.*")
+
+
 def stream_keyed_cascade(spark, d):
     """The stateful operator; its state store must be RocksDB.
 
@@ -715,7 +732,7 @@ QUERIES = {
         error_rate,
         dq_report,
         audit_trail,
-        batch_pipeline,
+        batch_load,
         maintenance_release,
         eod_report,
         eod_report_empty_day,
@@ -757,6 +774,7 @@ QUERIES = {
         stream_cascade,
         stream_cascade_with_geo,
         stream_volume_per_minute,
+        stream_totals_by_channel,
         stream_keyed_cascade,
     )
 }

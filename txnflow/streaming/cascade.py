@@ -25,7 +25,7 @@ from txnflow.operators.tables import archive_raw, read_or_empty
 from txnflow.operators.timeblocks import first_per_instant
 from txnflow.operators.validate import dead_letters, dedupe_transactions, keep_rejected_text, valid, validate
 from txnflow.functions import event_millis
-from txnflow.plans.pipeline import Warehouse, store_facts
+from txnflow.plans.batch import Warehouse, store_facts
 from txnflow.schemas import RAW_TXN
 from txnflow.sources.messages import parse
 
