@@ -53,6 +53,12 @@ def test_timestamps(spark, text, want):
     assert one(spark, fn.parse_timestamp("a"), a=text) == want
 
 
+def test_local_time(spark):
+    at = datetime(2025, 3, 1, 22, 10, 5, 250000)
+    for value in (at, at.isoformat(), F.lit(at.isoformat())):
+        assert one(spark, fn.local_time(value)) == at
+
+
 def test_context_predicates(spark):
     days = ["2025-01-28T08:00:00", "2025-03-02T03:59:00", "2025-03-02T04:00:00", "2025-03-03T17:59:00", "2025-03-03T12:00:00"]
     rows = frame(spark, [txn(f"{i}", at=datetime.fromisoformat(d)) for i, d in enumerate(days)])

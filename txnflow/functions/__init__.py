@@ -13,6 +13,7 @@ from txnflow.functions.scalar import (
     is_night,
     is_peak_hour,
     json_field,
+    local_time,
     mask_account,
     mask_national_id,
     mask_phone,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,6 +81,16 @@ def parse_timestamp(c: Column | str) -> Column:
     return F.try_to_timestamp(_col(c)).cast("timestamp_ntz")
 
 
+def local_time(value) -> Column:
+    """A zone-free timestamp from a datetime, ISO text or column.
+
+    Datetimes go as text: as a literal they would pass through Python's zone.
+    """
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    return F.lit(value.isoformat() if isinstance(value, datetime) else value).cast("timestamp_ntz")
+
+
 def event_millis(c: Column | str) -> Column:
     return F.unix_millis(_col(c).cast("timestamp"))
 

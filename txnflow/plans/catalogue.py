@@ -12,6 +12,7 @@ from txnflow.functions import (
     format_km,
     haversine_km,
     json_field,
+    local_time,
     period_label,
     time_key,
     token_account,
@@ -604,7 +605,7 @@ def idempotent_sink(spark, d):
 def _halves(spark, d) -> tuple[DataFrame, list]:
     sent = demo_messages(spark, d)
     low, high = sent.agg(F.min("event_ts"), F.max("event_ts")).first()
-    middle = F.lit(low + (high - low) / 2)
+    middle = local_time(low + (high - low) / 2)
     return sent, [F.col("event_ts") < middle, F.col("event_ts") >= middle]
 
 

@@ -9,17 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.functions import percent
+from txnflow.functions import local_time, percent
 
 
 def _count(condition: Column | None = None) -> Column:
     return F.count("*") if condition is None else F.count_if(condition)
 
 
-def _as_of(value) -> Column:
-    return (value if isinstance(value, Column) else F.lit(value)).cast("timestamp_ntz")
-
-
 def on_day(column: str, day) -> Column:
     """Half-open range on the bare column, so files can be skipped by statistics."""
     start = F.lit(day).cast("date")
@@ -29,7 +25,7 @@ def on_day(column: str, day) -> Column:
 
 
 def trailing_hour(column: str, as_of) -> Column:
-    return F.col(column) > _as_of(as_of) - F.expr("interval 1 hour")
+    return F.col(column) > local_time(as_of) - F.expr("interval 1 hour")
 
 
 # ---- end of day -------------------------------------------------------------

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnflow.config import DEFAULT_RULES, RuleConfig
+from txnflow.functions import event_millis, local_time
 from txnflow.operators.context import tag_context
 from txnflow.operators.enrich import enrich_customers
 from txnflow.operators.facts import alert_messages
@@ -24,7 +25,6 @@ from txnflow.operators.rules import ACCOUNT, HISTORY, apply_cascade, lookback_ms
 from txnflow.operators.tables import archive_raw, read_or_empty
 from txnflow.operators.timeblocks import first_per_instant
 from txnflow.operators.validate import dead_letters, dedupe_transactions, keep_rejected_text, valid, validate
-from txnflow.functions import event_millis
 from txnflow.plans.batch import Warehouse, store_facts
 from txnflow.schemas import RAW_TXN
 from txnflow.sources.messages import parse
@@ -80,7 +80,7 @@ class CascadeSink:
         newest = history.agg(F.max("event_ts")).first()[0]
         rows = valid(checked).drop("value", "key")
         if newest is not None:
-            late = F.col("event_ts") < F.lit(newest) - _interval(self.delay_ms)
+            late = F.col("event_ts") < local_time(newest) - _interval(self.delay_ms)
             self._write(rows.filter(late), self._batch("late", batch_id))
             rows = rows.filter(~late)
         # A message sent again counts once, also across batches.
