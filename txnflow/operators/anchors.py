@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from txnflow.operators.timeblocks import block_of
-from txnflow.session import ensure_checkpoint_dir
+from txnflow.session import stored
 
 BLOCK_MS = 600_000
 
@@ -87,7 +87,7 @@ def duplicate_anchors(
 ) -> DataFrame:
     """Ids of the anchor rows.  ``rows``: transaction_id, t and non-null keys.
 
-    Runs a job: the blocks are checkpointed to the shared folder.
+    Runs a job: the blocks are written to the shared folder.
     """
     if window_ms > block_ms:
         raise ValueError("a block must be at least as long as the window")
@@ -111,8 +111,7 @@ def duplicate_anchors(
         )
     )
     # The steps below all read the blocks; without this each would compute them anew.
-    ensure_checkpoint_dir(rows.sparkSession)
-    blocks = blocks.checkpoint()
+    blocks = stored(blocks, "blocks")
 
     along = Window.partitionBy(*keys).orderBy("_block")
     continues = F.coalesce(F.col("first_t") - F.lag("last_t").over(along) <= window_ms, F.lit(False))

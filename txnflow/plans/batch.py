@@ -27,7 +27,7 @@ from txnflow.operators.tables import (
 )
 from txnflow.operators.validate import dead_letters, dedupe_transactions, keep_rejected_text, valid, validate
 from txnflow.schemas import DIM_CALENDAR, DIM_CUSTOMER, DIM_TIME, FACT_ALERT, FACT_TXN
-from txnflow.session import scratch_table
+from txnflow.session import stored
 from txnflow.sources.messages import parse
 
 
@@ -66,13 +66,6 @@ class Warehouse:
         insert_new(dim_calendar(self.spark, first, last), self.path("dim_calendar"), "date_id")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate table once, so its readers do not recompute it."""
-    path = scratch_table(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def store_facts(
     scored: DataFrame, house: Warehouse, cfg: RuleConfig = DEFAULT_RULES, prune: bool = False
 ) -> None:

@@ -19,9 +19,9 @@ from txnflow.functions import (
 )
 from txnflow.operators import context, dims, enrich, facts, normalise, rules, tables, validate
 from txnflow.plans import reports
-from txnflow.plans.batch import Warehouse, release_held, replay, run_batch, store_facts, stored
+from txnflow.plans.batch import Warehouse, release_held, replay, run_batch, store_facts
 from txnflow.schemas import GENERATED_TXN, MESSAGE_FIELDS
-from txnflow.session import ROCKSDB_PROVIDER, scratch_table
+from txnflow.session import ROCKSDB_PROVIDER, scratch_table, stored
 from txnflow.sources import demo, files, messages
 from txnflow.streaming import cascade, keyed, windows
 
