@@ -10,7 +10,6 @@ from txnflow.functions import date_key, time_key
 from txnflow.schemas import AUDIT_LOG, FACT_ALERT, FACT_TXN
 
 
-
 def fact_txn(scored: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
     """Expects event_ts, loaded_at and the cascade's columns."""
     flagged = F.col("fraud_flag")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnflow.functions import null_tokens, parse_timestamp
-from txnflow.schemas import MESSAGE_FIELDS, RAW_TXN, STAGING_RAW
+from txnflow.schemas import RAW_TXN, STAGING_RAW
 
 
 def normalise(df: DataFrame, renames: dict[str, str] | None = None) -> DataFrame:
@@ -71,6 +71,3 @@ def type_rows(text: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     ]
     columns = [typed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in STAGING_RAW.fields]
     return text.select(*columns, F.array_compact(F.array(*checks)).alias("errors"))
-
-
-__all__ = ["MESSAGE_FIELDS", "normalise", "normalise_channels", "type_rows", "whole_number"]

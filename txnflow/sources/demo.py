@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow.config import DUPLICATE, GEO, OFF_HOURS, VELOCITY
-from txnflow.functions import mask_account, mask_national_id, mask_phone, pad_id
+from txnflow.functions import mask_account, pad_id
 from txnflow.schemas import CHANNELS, SEGMENTS
 
 # Provinces and their coordinates.
@@ -112,6 +112,3 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "home_lat",
         "home_lon",
     )
-
-
-__all__ = ["transactions", "customers", "customers_raw", "read_table", "mask_phone", "mask_national_id"]
