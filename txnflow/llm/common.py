@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 <<
             yield batch.slice(lo, hi - lo)
 
 
+def process_memory() -> dict:
+    """A dictionary that outlives the task: that of a module which exists in the worker process only."""
+    return sys.modules.setdefault("_txnflow_memory", ModuleType("_txnflow_memory")).__dict__
+
+
 class WordHashes(dict):
     """xxhash64 of a word, remembered; emptied when it grows over ``limit`` words."""
 

@@ -14,8 +14,8 @@ Every partition packs its own documents; nothing is shuffled.  A sequence's id i
 the sequence's number in it.  Tokens are those of the whole text plus ``end_id``; a null or empty text is ``end_id``
 alone.  Repeated rows are packed as often as they occur.
 
-The tokenizer splits at white space before anything else, so runs of other characters are encoded once per task and
-remembered (``memory`` runs at most, then the memory starts anew).
+The tokenizer splits at white space before anything else, so runs of other characters are encoded once and
+remembered by the worker process (``memory`` runs at most, then the memory starts anew).
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from txnflow.llm.common import byte_texts, slices
+from txnflow.llm.common import byte_texts, process_memory, slices
 
 
 class SumOfSquares:
@@ -110,6 +110,41 @@ def cut_stream(stream: list, sizes: Iterable[int]) -> Iterator[list]:
         yield pieces
 
 
+#: Marks that a run may end with; after a letter or digit they are tokens of their own.
+MARKS = b".,;:!?"
+
+
+class Runs(dict):
+    """Numbers of runs of characters: 8 times the number of the body plus that of a final mark, 0 without one.
+
+    The tokenizer lower-cases and splits before a final mark, so runs that differ in that alone have one body.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.bodies: dict[bytes, int] = {}
+        self.new: list[bytes] = []
+
+    def __missing__(self, run: bytes) -> int:
+        mark = MARKS.find(run[-1:]) + 1
+        body = run[:-1] if mark else run
+        if body.isalnum():
+            body = body.lower()
+        else:
+            text = body.decode(errors="replace")
+            low = text.lower()
+            if not (text.isalnum() and low.isalnum()):  # marks inside: as it stands
+                body, mark = run, 0
+            elif "\u03a3" not in text:  # str.lower() has two forms of the final letter
+                body = low.encode()
+        code = self.bodies.get(body)
+        if code is None:
+            code = self.bodies[body] = len(self.bodies)
+            self.new.append(body)
+        value = self[run] = code << 3 | mark
+        return value
+
+
 class WordEncoder:
     """Token ids of whole texts, by remembered runs of characters between ASCII white space."""
 
@@ -117,33 +152,40 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.memory = memory
+        self.marks = np.array([0, *(self._ids([bytes([m])])[0][0] for m in MARKS)], np.uint32)
         self._clear()
 
+    def _ids(self, runs: list[bytes]) -> list[list[int]]:
+        whole = [r.decode(errors="replace") for r in runs]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
+
     def _clear(self) -> None:
-        self.code: dict[bytes, int] = {}
-        self.sizes, self.flat = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        self.runs = Runs()
+        self.sizes, self.ends, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.uint32)
+
+    def _learn(self) -> None:
+        ids = self._ids(self.runs.new)
+        self.runs.new = []
+        self.sizes = np.append(self.sizes, np.fromiter(map(len, ids), np.int64, len(ids)))
+        self.flat = np.append(np.append(self.flat[:-1], np.fromiter((i for own in ids for i in own), np.uint32)), np.uint32(0))
+        self.ends = np.cumsum(self.sizes)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        runs = [t.split() for t in texts]
-        if len(self.code) > self.memory:
+        if len(self.runs) > self.memory:
             self._clear()
-        code = self.code
-        new = list({r: None for own in runs for r in own if r not in code})
-        if new:
-            whole = [r.decode(errors="replace") for r in new]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
-            code.update(zip(new, range(len(code), len(code) + len(new)), strict=True))
-            self.sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-            self.flat.append(np.fromiter((i for own in ids for i in own), np.uint32))
-            self.sizes, self.flat = [np.concatenate(self.sizes)], [np.concatenate(self.flat)]
-            self.ends = np.cumsum(self.sizes[0])
-        sizes, flat = self.sizes[0], self.flat[0]
+        number = self.runs.__getitem__
+        numbers = [np.fromiter(map(number, own), np.int64, len(own)) for own in (t.split() for t in texts)]
+        self._learn()
         out = []
-        for own in runs:
-            codes = np.fromiter(map(code.__getitem__, own), np.int64, len(own))
-            n = sizes[codes]
-            first = np.cumsum(n) - n
-            out.append(flat[np.repeat(self.ends[codes] - n - first, n) + np.arange(n.sum())] if len(own) else flat[:0])
+        for own in numbers:
+            body, mark = own >> 3, own & 7
+            sizes = self.sizes[body]
+            n = sizes + (mark > 0)
+            last = np.cumsum(n)
+            ids = self.flat[np.repeat(self.ends[body] - sizes - last + n, n) + np.arange(n.sum())]
+            marked = np.flatnonzero(mark)
+            ids[last[marked] - 1] = self.marks[mark[marked]]
+            out.append(ids)
         return out
 
 
@@ -170,7 +212,10 @@ def pack(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = WordEncoder(tokenizer, memory), SumOfSquares(capacity, max_open)
+        remembered = process_memory()
+        if ("encoder", tokenizer, memory) not in remembered:
+            remembered["encoder", tokenizer, memory] = WordEncoder(tokenizer, memory)
+        encoder, packer = remembered["encoder", tokenizer, memory], SumOfSquares(capacity, max_open)
         sequence = TaskContext.get().partitionId() << 36
         keys: list = []
         columns: list[list] = [[] for _ in arrow.names]
