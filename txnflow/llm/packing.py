@@ -112,6 +112,8 @@ def cut_stream(stream: list, sizes: Iterable[int]) -> Iterator[list]:
 
 #: Marks that a run may end with; after a letter or digit they are tokens of their own.
 MARKS = b".,;:!?"
+#: A character that is a token of its own between spaces.
+SEPARATOR = "\x1f"
 
 
 class Runs(dict):
@@ -152,22 +154,38 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.memory = memory
-        self.marks = np.array([0, *(self._ids([bytes([m])])[0][0] for m in MARKS)], np.uint32)
+        self.marks = np.array([0, *(self._ids([chr(m)])[0][0] for m in MARKS)], np.uint32)
+        self.between = int(self._ids([SEPARATOR])[0][0])
         self._clear()
 
-    def _ids(self, runs: list[bytes]) -> list[list[int]]:
-        whole = [r.decode(errors="replace") for r in runs]
-        return [e.ids for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _bodies(self, bodies: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Sizes and ids of runs: many in one text, with a separator between them that is one token."""
+        whole = [b.decode(errors="replace") for b in bodies]
+        blocks = [whole[i : i + 200] for i in range(0, len(whole), 200)]
+        sizes, flat = [], []
+        for block, ids in zip(blocks, self._ids([f" {SEPARATOR} ".join(b) for b in blocks]), strict=True):
+            cuts = np.flatnonzero(ids == self.between)
+            if len(cuts) == len(block) - 1:
+                sizes.append(np.diff(np.r_[-1, cuts, len(ids)]) - 1)
+                flat.append(np.delete(ids, cuts))
+            else:  # a run holds the separator itself
+                own = self._ids(block)
+                sizes.append(np.array([len(x) for x in own]))
+                flat += own
+        return sizes, flat
 
     def _clear(self) -> None:
         self.runs = Runs()
         self.sizes, self.ends, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.uint32)
 
     def _learn(self) -> None:
-        ids = self._ids(self.runs.new)
+        sizes, flat = self._bodies(self.runs.new)
         self.runs.new = []
-        self.sizes = np.append(self.sizes, np.fromiter(map(len, ids), np.int64, len(ids)))
-        self.flat = np.append(np.append(self.flat[:-1], np.fromiter((i for own in ids for i in own), np.uint32)), np.uint32(0))
+        self.sizes = np.concatenate([self.sizes, *sizes])
+        self.flat = np.concatenate([self.flat[:-1], *flat, self.flat[:1] * 0])
         self.ends = np.cumsum(self.sizes)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
