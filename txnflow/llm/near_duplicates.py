@@ -14,8 +14,9 @@ similarity (intersection by union) of ``similar`` per cent or more; the result a
    and links give components.
 4. Keys whose members still belong to several components are settled: members outside the largest component are
    compared with all members of other components, in blocks.  A pair is taken up under its first common key only, and
-   only if its whole signatures differ in at most FAR positions (five standard deviations from what 0.8 gives).
-   Pairs within a component are never formed.
+   only if its signatures differ in at most FAR positions, and finer signatures of 1024 minima, made for the members of
+   such keys alone, in at most FINE_FAR (both five standard deviations from what 0.8 gives; the finer ones let pass
+   what is nearly as similar as 0.74).  Pairs within a component are never formed.
 5. All links are confirmed on the full sets.
 
 A class, key or document that a third of all rows share is combined before the shuffle, or joined with a table of one
@@ -39,11 +40,12 @@ from txnflow.llm.components import components
 from txnflow.session import stored
 
 CHUNKS, CHUNK, POSITIONS, FAR = 10, 5, 128, 48
+FINE, FINE_FAR = 1024, 255
 BLOCK, CELL = 256, 1024
 
-_n = np.arange(POSITIONS, dtype=np.uint64)
-MULTIPLIERS = (mix(_n * np.uint64(2) + np.uint64(1)) | np.uint64(1)).astype(np.uint32)[:, None]
-SHIFTS = mix(_n * np.uint64(2) + np.uint64(12345)).astype(np.uint32)[:, None]
+_n = np.arange(FINE, dtype=np.uint64)[:, None]
+MULTIPLIERS = (mix(_n * np.uint64(2) + np.uint64(1)) | np.uint64(1)).astype(np.uint32)
+SHIFTS = mix(_n * np.uint64(2) + np.uint64(12345)).astype(np.uint32)
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
@@ -51,15 +53,27 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
     return np.unique(gram_hashes(words, min(width, len(words)))) if len(words) else words
 
 
-def signature(own: np.ndarray) -> np.ndarray:
-    """POSITIONS minima over the shingles, 16 bits of each."""
-    low = np.full((POSITIONS, 1), 0xFFFFFFFF, np.uint32)
+def signature(own: np.ndarray, positions: int = POSITIONS) -> np.ndarray:
+    """Minima over the shingles, 16 bits of each."""
+    low = np.full((positions, 1), 0xFFFFFFFF, np.uint32)
     mixed = (own >> np.uint64(32)).astype(np.uint32)
-    for at in range(0, len(mixed), 4096):
-        low = np.minimum(low, (MULTIPLIERS * mixed[at : at + 4096] + SHIFTS).min(1, keepdims=True))
+    for at in range(0, len(mixed), 1024):
+        low = np.minimum(low, (MULTIPLIERS[:positions] * mixed[at : at + 1024] + SHIFTS[:positions]).min(1, keepdims=True))
     return (mix(low[:, 0].astype(np.uint64)) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
+def fine_signature(own: np.ndarray) -> np.ndarray:
+    """FINE minima, 4 bits of each, two in a byte."""
+    bits = (signature(own, FINE) & 15).astype(np.uint8)
+    return bits[::2] | bits[1::2] << 4
+
+
+def fine_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many positions each fine signature of b differs from a."""
+    differ = a ^ b
+    return ((differ & 15) != 0).sum(1) + ((differ >> 4) != 0).sum(1)
+
+
 def index_keys(signatures: np.ndarray) -> np.ndarray:
     """The CHUNKS * CHUNK keys of each signature: a chunk without one of its positions."""
     codes = signatures[:, : CHUNKS * CHUNK].astype(np.uint64).reshape(len(signatures), CHUNKS, CHUNK)
@@ -119,6 +133,17 @@ def _sets(rows: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, "key long, members binary")
 
 
+def _fine(sets: DataFrame) -> DataFrame:
+    """(key, fine): the fine signature of each set."""
+
+    def run(batches):
+        for batch in batches:
+            fine = [fine_signature(np.frombuffer(m, "<u8")).tobytes() for m in batch.column("members").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(fine, pa.binary())], ["key", "fine"])
+
+    return sets.select("key", "members").mapInArrow(run, "key long, fine binary")
+
+
 def _enter(representatives: DataFrame) -> DataFrame:
     """(bucket, number, key) of every index key of every signature."""
 
@@ -139,10 +164,18 @@ def _enter(representatives: DataFrame) -> DataFrame:
 def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough.
 
-    Pairs are dealt to cells by b, about CELL pairs in each; a set goes once to every cell that needs it.
+    Pairs are dealt to the cells of a square by a and b, about CELL pairs in each, so that a set goes to a row or a
+    column of cells at most and pairs of a dense group share their sets; a cell with many more pairs (a document with
+    very many partners) is divided by b.
     """
-    cells = max(1, math.ceil(pairs.count() / CELL))
-    pairs = pairs.withColumn("cell", F.pmod(F.xxhash64("b"), F.lit(cells)))
+    side = max(1, math.isqrt(pairs.count() // CELL))
+    at = [F.pmod(F.xxhash64(c), F.lit(side)).alias(f"{c}_cell") for c in ("a", "b")]
+    pairs = pairs.select("a", "b", *at)
+    full = pairs.groupBy("a_cell", "b_cell").agg(F.ceil(F.count("*") / CELL).alias("parts"))
+    full = stored(full.filter("parts > 4"), "full-cells")
+    pairs = pairs.join(full, ["a_cell", "b_cell"], "left")
+    part = F.pmod(F.xxhash64("b", F.lit(1)), F.coalesce("parts", F.lit(1)))
+    pairs = pairs.select("a", "b", F.struct("a_cell", "b_cell", part.alias("part")).alias("cell"))
     cell = F.col("cell").alias("home")
     needed = pairs.select(cell, F.col("a").alias("key")).union(pairs.select(cell, "b")).distinct()
     needed = needed.join(sets, "key")
@@ -164,7 +197,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     return pairs.groupBy("cell").cogroup(needed.groupBy("home")).applyInArrow(check, "a long, b long")
 
 
-def _across(buckets: DataFrame, labels: DataFrame, signatures: DataFrame) -> DataFrame:
+def _across(buckets: DataFrame, labels: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that share a key, belong to different components and have near signatures; each pair once."""
     tagged = buckets.join(labels.withColumnRenamed("node", "key"), "key", "left")
     tagged = stored(tagged.select("bucket", "number", "key", F.coalesce("label", "key").alias("label")), "tagged")
@@ -172,26 +205,31 @@ def _across(buckets: DataFrame, labels: DataFrame, signatures: DataFrame) -> Dat
     mixed = counts.groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("labels"), F.max_by("label", "n").alias("top"))
     mixed = stored(mixed.filter("labels > 1").select("bucket", "n", "top"), "mixed-buckets")
     rows = tagged.join(mixed, "bucket").withColumn("block", F.expr(f"pmod(xxhash64(key), ceil(n / {BLOCK}))"))
-    rows = rows.join(signatures, "key").withColumn("outside", F.expr("label <> top"))
-    member = F.struct("key", "label", "outside", "signature")
+    rows = stored(rows, "mixed-rows")
+    known = rows.select("key").distinct().join(signatures, "key")
+    known = known.join(_fine(sets.join(rows.select("key").distinct(), "key")), "key")
+    rows = rows.join(stored(known, "fine-signatures"), "key").withColumn("outside", F.expr("label <> top"))
+    member = F.struct("key", "label", "outside", "signature", "fine")
     rows = stored(rows.select("bucket", "number", "block", "outside", member.alias("member")), "mixed-members")
     block = lambda r, name: r.groupBy("bucket", "number", "block").agg(F.collect_list("member").alias(name)).drop("block")
     joined = block(rows.filter("outside"), "one").join(block(rows, "other"), ["bucket", "number"])
 
     def unpack(members: pa.Array) -> tuple:
         raw = np.frombuffer(b"".join(members.field("signature").to_pylist()), "<u2").reshape(len(members), POSITIONS)
-        return (*(members.field(c).to_numpy(zero_copy_only=False) for c in ("key", "label", "outside")), raw)
+        fine = np.frombuffer(b"".join(members.field("fine").to_pylist()), np.uint8).reshape(len(members), FINE // 2)
+        return (*(members.field(c).to_numpy(zero_copy_only=False) for c in ("key", "label", "outside")), raw, fine)
 
     def compare(batches):
         for batch in batches:
             found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             ones, others = batch.column("one"), batch.column("other")
             for i, number in enumerate(batch.column("number").to_pylist()):
-                a, a_label, _, a_own = unpack(ones[i].values)
-                b, b_label, b_outside, b_own = unpack(others[i].values)
+                a, a_label, _, a_own, a_fine = unpack(ones[i].values)
+                b, b_label, b_outside, b_own, b_fine = unpack(others[i].values)
                 for j in range(len(a)):
                     fit = (b_label != a_label[j]) & (~b_outside.astype(bool) | (a[j] < b))
                     fit[fit] = (b_own[fit] != a_own[j]).sum(1) <= FAR
+                    fit[fit] = fine_distance(a_fine[j], b_fine[fit]) <= FINE_FAR
                     fit[fit] = first_common(np.broadcast_to(a_own[j], (int(fit.sum()), POSITIONS)), b_own[fit]) == number
                     found_a.append(np.full(int(fit.sum()), a[j]))
                     found_b.append(b[fit])
@@ -206,7 +244,6 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
     described = stored(_describe(rows, width), "signatures")
     known = described.filter("key is not null and n > 0")
     classes = stored(known.groupBy("digest").agg(F.min("key").alias("first")), "classes")
-    members = known.select("key", "digest").join(classes, "digest").select("key", "digest", "first")
     chosen = known.join(classes, (known.digest == classes.digest) & (known.key == classes["first"])).select("key", "signature")
     signatures = stored(chosen.dropDuplicates(["key"]), "representatives")
 
@@ -220,7 +257,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
     star = buckets.filter("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
     links = stored(_confirmed(stored(star, "pairs"), sets, similar), "links")
     labels = components(links)
-    across = stored(_across(buckets, labels, signatures), "pairs")
+    across = stored(_across(buckets, labels, signatures, sets), "pairs")
     more = _confirmed(across, sets, similar)
     of = lambda c: F.coalesce(f"{c}_label", c).alias(c)
     for c in ("a", "b"):
@@ -231,10 +268,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
     lone = merged.join(labels, "node", "left_anti").select("node", F.col("label").alias("last"))
     final = stored(last.union(lone), "components")
 
-    member = members.join(final.withColumnRenamed("node", "first"), "first", "left")
-    member = member.select(F.col("key"), "digest", F.coalesce("last", "first").alias("component_id")).distinct()
-    result = described.select("key", "digest", "n").join(member, ["key", "digest"], "left")
-    component = F.coalesce("component_id", "key")
+    known = classes.join(final.withColumnRenamed("node", "first"), "first", "left")
+    known = stored(known.select("digest", F.coalesce("last", "first").alias("component_id")), "class-components")
+    result = described.select("key", "digest", "n").join(known, "digest", "left")
+    component = F.when(F.col("key").isNotNull(), F.coalesce("component_id", "key"))
     return result.select(
         F.col("key").alias(key),
         F.col("n").alias("n_shingles"),

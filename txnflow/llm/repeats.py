@@ -53,7 +53,9 @@ def spans(mask: np.ndarray) -> list[dict]:
 
 
 def smallest(hashes: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Places of the entries that have the smallest key of their hash."""
+    """Places of the entries that have the smallest key of their hash, in the order of the hashes."""
+    if not len(hashes):
+        return np.zeros(0, np.int64)
     order = np.lexsort((keys, hashes))
     h, k = hashes[order], keys[order]
     new = np.r_[True, h[1:] != h[:-1]]
@@ -79,18 +81,22 @@ def remove_repeats(
     by_slice = rows.groupBy("slice")
     hashes = WordHashes()
 
-    def with_words(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
-        keys = table.column("key").to_pylist()
-        for k, t in zip(keys, byte_texts(table.column("text").combine_chunks()), strict=True):
-            if k is not None:
-                yield k, hashes.of(t.split())
+    def in_order(table: pa.Table) -> Iterator[tuple[int | None, int, list[bytes]]]:
+        """(key, words before, words): rows with one id count as parts of one document, in the order of their texts."""
+        texts = byte_texts(table.column("text").combine_chunks())
+        last, before = None, 0
+        for k, t in sorted(zip(table.column("key").to_pylist(), texts, strict=True), key=lambda r: (r[0] is None, r[0] or 0, r[1])):
+            words = t.split()
+            before = before if k == last else 0
+            yield k, before, words
+            last, before = k, before + len(words)
 
     def find_seeds(table: pa.Table) -> pa.Table:
         found, keys = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for k, words in with_words(table):
-            own = np.unique(run_seeds(words, length, seed))
+        for k, _, words in in_order(table):
+            own = np.unique(run_seeds(hashes.of(words if k is not None else []), length, seed))
             found.append(own)
-            keys.append(np.full(len(own), k))
+            keys.append(np.full(len(own), k or 0))
         found, keys = np.concatenate(found), np.concatenate(keys)
         values, at, places = np.unique(found, return_index=True, return_inverse=True)
         low, high = keys[at], keys[at].copy()
@@ -105,45 +111,47 @@ def remove_repeats(
     shared = seeds.withColumn("n", F.count("*").over(same)).filter("n > 1 or many").select("slice", "seed")
 
     def extend(table: pa.Table, wanted: pa.Table) -> pa.Table:
-        """Runs that hold a shared seed: of equal ones in the slice those of the smallest id; the others are repeats,
-        listed in one row per document."""
+        """Runs that hold a shared seed: of equal ones in the slice those of the smallest id, one row for each with its
+        starts; the others are repeats, listed in one row per document with the start -1."""
         seeds = np.sort(wanted.column("seed").to_numpy().view(np.uint64))
         found, keys, starts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for k, words in with_words(table) if len(seeds) else ():
+        for k, before, texts in in_order(table) if len(seeds) else ():
+            words = hashes.of(texts if k is not None else [])
             own = run_seeds(words, length, seed)
             at = np.searchsorted(seeds, own)
             at[at == len(seeds)] = 0
             place = np.flatnonzero(seeds[at] == own)
             found.append(gram_hashes(words, length)[place] if len(place) else found[0])
-            keys.append(np.full(len(place), k))
-            starts.append(place)
+            keys.append(np.full(len(place), k or 0))
+            starts.append(place + before)
         found, keys, starts = np.concatenate(found), np.concatenate(keys), np.concatenate(starts)
         first = smallest(found, keys)
         later = np.ones(len(found), bool)
         later[first] = False
-        number = wanted.column("slice")[0].as_py() if len(seeds) else 0
-        done: dict[int, np.ndarray] = {}
+        number, begin, more = found[first], starts[first].astype(np.int32), []
+        again = np.r_[False, number[1:] == number[:-1]] if len(first) else np.zeros(0, bool)  # a run twice in a document
+        ends = np.r_[np.flatnonzero(~again)[1:], len(first)]
+        for lo, hi in zip(np.flatnonzero(~again).tolist(), ends.tolist(), strict=False):
+            more.append(begin[lo + 1 : hi].astype("<i4").tobytes() if hi - lo > 1 else None)
         order = np.flatnonzero(later)
         order = order[np.argsort(keys[order], kind="stable")]
-        for part in np.split(order, np.flatnonzero(np.diff(keys[order])) + 1) if len(order) else ():
-            done[int(keys[part[0]])] = starts[part]
-        n, m = len(first), len(done)
-        own = mix(np.fromiter(done, np.int64, m).view(np.uint64))
+        heads = np.flatnonzero(np.diff(keys[order], prepend=keys[order][:1] - 1))
+        done = keys[order][heads]
+        more += [starts[part].astype("<i4").tobytes() for part in np.split(order, heads[1:])] if len(order) else []
         return pa.table(
             {
-                "run": pa.array(np.concatenate([found[first], own]).view(np.int64)),
-                "slice": pa.array(np.full(n + m, number)),
-                "key": pa.array(np.concatenate([keys[first], np.fromiter(done, np.int64, m)])),
-                "start": pa.array(np.concatenate([starts[first], np.zeros(m, np.int64)]).astype(np.int32)),
-                "done": pa.array([None] * n + [x.astype("<i4").tobytes() for x in done.values()], pa.binary()),
+                "run": pa.array(np.concatenate([number[~again], mix(done.view(np.uint64))]).view(np.int64)),
+                "key": pa.array(np.concatenate([keys[first][~again], done])),
+                "start": pa.array(np.concatenate([begin[~again], np.full(len(done), -1, np.int32)])),
+                "more": pa.array(more, pa.binary()),
             }
         )
 
     runs = by_slice.cogroup(shared.groupBy("slice")).applyInArrow(
-        extend, "run long, slice long, key long, start int, done binary"
+        extend, "run long, key long, start int, more binary"
     )
-    repeated = runs.withColumn("first", F.min("key").over(Window.partitionBy("run"))).filter("first < key or done is not null")
-    repeated = repeated.select("slice", "key", "start", "done")
+    repeated = runs.withColumn("first", F.min("key").over(Window.partitionBy("run"))).filter("first < key or start < 0")
+    repeated = repeated.select(F.pmod(F.xxhash64("key"), F.lit(n_slices)).alias("slice"), "key", "start", "more")
     result = pa.schema(
         [("key", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64())]
         + [("repeats", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.string())]
@@ -151,19 +159,20 @@ def remove_repeats(
 
     def remove(table: pa.Table, found: pa.Table) -> pa.Table:
         starts: dict[int, list] = {}
-        for k, s, d in zip(*(found.column(c).to_pylist() for c in ("key", "start", "done")), strict=True):
-            starts.setdefault(k, []).append(np.array([s]) if d is None else np.frombuffer(d, "<i4"))
+        for k, s, more in zip(*(found.column(c).to_pylist() for c in ("key", "start", "more")), strict=True):
+            own = starts.setdefault(k, [])
+            if s >= 0:
+                own.append(np.array([s]))
+            if more is not None:
+                own.append(np.frombuffer(more, "<i4"))
+        begin = {k: np.sort(np.concatenate(own)).astype(np.int64) for k, own in starts.items()}
         out: list[tuple] = []
-        keys = table.column("key").to_pylist()
-        for k, t in zip(keys, byte_texts(table.column("text").combine_chunks()), strict=True):
-            words = t.split()
-            mask = np.zeros(len(words), bool)
-            if k in starts:
-                own = np.concatenate(starts[k]).astype(np.int64)
-                mask = covered(own[own + length <= len(words)], length, len(words))
+        for k, before, words in in_order(table):
+            mask, kept = np.zeros(len(words), bool), words
+            if k in begin:
+                lo, hi = np.searchsorted(begin[k], [before, before + len(words)])
+                mask = covered(begin[k][lo:hi] - before, length, len(words))
                 kept = [w for w, gone in zip(words, mask.tolist(), strict=True) if not gone]
-            else:
-                kept = words
             out.append((k, len(words), int(mask.sum()), spans(mask), b" ".join(kept).decode(errors="replace")))
         columns = zip(*out, strict=True) if out else [[] for _ in result]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, result, strict=True)], schema=result)
