@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow.llm import decontaminate, near_duplicates, packing, quality, secrets
-from txnflow.llm.common import held_out, table
+from txnflow.llm.common import held_out, possible_members, table
 from txnflow.llm.queries import QUALITY_LEAST, TOKENIZER
 from txnflow.session import scratch_table, stored
 
@@ -25,12 +25,15 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates; repeated rows once."""
-    found = near_duplicates.near_duplicates(docs).filter("kept").select("doc_id")
-    kept = stored(found.groupBy("doc_id").agg(F.count("*").alias("n")), "kept-documents")
-    left = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    found = stored(near_duplicates.near_duplicates(docs).select("doc_id", "kept"), "near-duplicates")
+    kept = found.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    dropped = found.filter("not kept").select("doc_id")
+    rows = possible_members(docs, F.col("doc_id"), dropped)
+    left = rows.filter("_possible").join(kept, "doc_id", "left_semi").select(docs.columns)
+    left = left.unionByName(rows.filter("not _possible").select(docs.columns))  # these are not shuffled
     if not kept.filter("n > 1").isEmpty():  # ids that stand in several rows
         left = left.dropDuplicates(["doc_id", "text"])
-    return left.unionByName(docs.filter("doc_id is null"))
+    return left
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

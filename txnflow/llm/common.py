@@ -49,7 +49,7 @@ def process_memory() -> dict:
 class WordHashes(dict):
     """xxhash64 of a word, remembered; emptied when it grows over ``limit`` words."""
 
-    def __init__(self, limit: int = 1_000_000):
+    def __init__(self, limit: int = 250_000):
         super().__init__()
         self.limit = limit
 
@@ -98,3 +98,25 @@ def members(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
     at = np.searchsorted(sorted_values, values)
     at[at == len(sorted_values)] = 0
     return sorted_values[at] == values
+
+
+MOST_BITS = 1 << 28
+
+
+def possible_members(rows: DataFrame, column: Column, keys: DataFrame) -> DataFrame:
+    """The rows with ``_possible``: false only if the column is surely not among ``keys`` (one column).
+
+    A bitmap of the keys' hashes, 16 bits a key but at most MOST_BITS (32 MB), is broadcast, so that a following join
+    shuffles only rows that may match.  With more keys than that allows, more rows are possible; none is lost.
+    """
+    bits = min(MOST_BITS, max(1 << 20, 1 << (16 * keys.count()).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
+    marks = keys.select(place(F.col(keys.columns[0])).alias("_place"))
+    bitmap = F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bitmap")
+    bitmaps = marks.groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(bitmap)
+    placed = rows.withColumn("_place", place(column)).withColumn("_bucket", F.bitmap_bucket_number("_place"))
+    joined = placed.join(F.broadcast(bitmaps), "_bucket", "left")
+    bit = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.expr("substring(_bitmap, cast(bitmap_bit_position(_place) div 8 + 1 as int), 1)")), 16, 10)
+    possible = F.coalesce(F.getbit(byte.cast("int"), (bit % 8).cast("int")) == 1, F.lit(False))
+    return joined.select(*rows.columns, possible.alias("_possible"))

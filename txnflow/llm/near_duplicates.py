@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.llm.common import WordHashes, byte_texts, gram_hashes, mix, slices
+from txnflow.llm.common import WordHashes, byte_texts, gram_hashes, mix, possible_members, slices
 from txnflow.llm.components import components
 from txnflow.session import stored
 
@@ -251,7 +251,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
     shared = entered.groupBy("bucket", "number").agg(F.min("key").alias("pivot"), F.count("*").alias("n"))
     shared = stored(shared.filter("n > 1").select("bucket", "number", "pivot"), "shared-keys")
     buckets = stored(entered.join(shared, ["bucket", "number"]), "buckets")
-    texts = rows.join(buckets.select("key").distinct(), "key").dropDuplicates(["key"])
+    wanted = stored(buckets.select("key").distinct(), "bucket-members")
+    texts = possible_members(rows, F.col("key"), wanted).filter("_possible").drop("_possible")
+    texts = texts.join(wanted, "key").dropDuplicates(["key"])
     sets = stored(_sets(texts, width), "sets")
 
     star = buckets.filter("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()

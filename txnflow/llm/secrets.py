@@ -20,6 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from txnflow.llm.common import possible_members
+from txnflow.session import stored
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -116,8 +119,12 @@ def findings(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES,
     found = found.filter(F.col("rule").isin([r.id for r in rules])).distinct()
     span = F.struct("start", rank[F.col("rule")].alias("rank"), kind[F.col("rule")].alias("kind"), "end")
     found = found.groupBy(F.col("blob").alias("_blob")).agg(F.sort_array(F.collect_list(span)).alias("_spans"))
-    rows = versions.withColumn("_blob", blob_id(F.col(text))).join(found, "_blob", "left")
-    return rows.withColumn("_spans", F.coalesce("_spans", F.array().cast(SPANS)))
+    found = stored(found, "spans-by-blob")
+    rows = possible_members(versions.withColumn("_blob", blob_id(F.col(text))), F.col("_blob"), found.select("_blob"))
+    joined = rows.filter("_possible").join(found, "_blob", "left")  # the others are not shuffled
+    rest = rows.filter("not _possible").withColumn("_spans", F.lit(None).cast(SPANS))
+    both = joined.unionByName(rest).drop("_possible")
+    return both.withColumn("_spans", F.coalesce("_spans", F.array().cast(SPANS)))
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
