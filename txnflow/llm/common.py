@@ -114,9 +114,10 @@ def possible_members(rows: DataFrame, column: Column, keys: DataFrame) -> DataFr
     marks = keys.select(place(F.col(keys.columns[0])).alias("_place"))
     bitmap = F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bitmap")
     bitmaps = marks.groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(bitmap)
-    placed = rows.withColumn("_place", place(column)).withColumn("_bucket", F.bitmap_bucket_number("_place"))
+    placed = rows.select(F.struct("*").alias("_row"), place(column).alias("_place"))
+    placed = placed.withColumn("_bucket", F.bitmap_bucket_number("_place"))
     joined = placed.join(F.broadcast(bitmaps), "_bucket", "left")
     bit = F.bitmap_bit_position("_place")
     byte = F.conv(F.hex(F.expr("substring(_bitmap, cast(bitmap_bit_position(_place) div 8 + 1 as int), 1)")), 16, 10)
     possible = F.coalesce(F.getbit(byte.cast("int"), (bit % 8).cast("int")) == 1, F.lit(False))
-    return joined.select(*rows.columns, possible.alias("_possible"))
+    return joined.select("_row.*", possible.alias("_possible"))

@@ -112,7 +112,8 @@ def identify(model: Model, text: str | None, penalty: float = 4.0) -> tuple[str,
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", penalty: float = 4.0) -> DataFrame:
-    """The rows with lang_pred, score and mixture (the chosen languages, largest first)."""
+    """The rows with lang_pred, score and mixture (the chosen languages, largest first), in place of such columns."""
+    docs = docs.drop("lang_pred", "score", "mixture")
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.probabilities))
     kind = "struct<lang_pred:string,score:double,mixture:array<struct<lang:string,share:double>>>"
     fields = pa.struct(

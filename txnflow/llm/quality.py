@@ -116,7 +116,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     """
     order = [F.xxhash64("_key"), "_key"]
     taken = labels.orderBy(*order).limit(sample)
-    rows = docs.join(F.broadcast(taken), docs[key] == taken["_key"]).select("_key", "_label", features(F.col(text)).alias("_features"))
+    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    rows = texts.join(F.broadcast(taken), "_key").select("_key", "_label", features(F.col("_text")).alias("_features"))
     rows = rows.orderBy(*order, "_features").limit(sample).toArrow()  # a key may have several rows
     x = np.array(rows.column("_features").to_pylist(), np.float32).reshape(-1, len(FEATURES))
     return boosting.fit(x, np.array(rows.column("_label").to_pylist(), float), **options)

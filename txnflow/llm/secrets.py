@@ -112,7 +112,9 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text
 
 
 def findings(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """The rows of ``versions`` with ``_blob`` and ``_spans``, all spans of their text by start and rule."""
+    """The rows of ``versions`` with ``_blob`` and ``_spans``, all spans of their text by start and rule; columns of
+    these names, and ``_possible``, are replaced."""
+    versions = versions.drop("_blob", "_spans", "_possible")
     rank = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.id, i)])
     kind = F.create_map(*[F.lit(x) for r in rules for x in (r.id, r.kind)])
     found = read_ledger(versions.sparkSession, f"{ledger}/findings", FOUND)
