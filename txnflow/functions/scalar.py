@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from txnflow.config import ALERT_PREFIX, DEFAULT_RULES, RuleConfig
 
 EARTH_RADIUS_KM = 6371.0
-ALERT_HEX_DIGITS = 12
 
 
 def _col(c: Column | str) -> Column:
@@ -42,13 +41,13 @@ def mask_national_id(c: Column | str) -> Column:
 
 def token_account(c: Column | str) -> Column:
     """Join-safe account token, for callers whose last four digits collide."""
-    return F.concat(F.lit("****"), F.substring(F.sha2(_col(c), 256), 1, 16))
+    return F.concat(F.lit("****"), F.sha2(_col(c), 256))
 
 
 def alert_id(rule: str, transaction_id: Column | str = "transaction_id") -> Column:
-    """Same id on every run, so replays meet the rows they wrote before."""
+    """Same id on every run, so replays meet the rows they wrote before; the whole digest, as it is a key."""
     digest = F.md5(F.concat_ws("|", _col(transaction_id), F.lit(rule)))
-    return F.concat(F.lit(ALERT_PREFIX[rule]), F.upper(F.substring(digest, 1, ALERT_HEX_DIGITS)))
+    return F.concat(F.lit(ALERT_PREFIX[rule]), F.upper(digest))
 
 
 def has_value(c: Column | str) -> Column:

@@ -19,6 +19,7 @@ from txnflow.operators.tables import (
     absent_rows,
     append,
     archive_raw,
+    has_data,
     insert_if_absent,
     insert_new,
     read_current,
@@ -76,6 +77,25 @@ def store_facts(
     insert_if_absent(alerts, house.path("fact_alert"), "alert_id", "detected_date", **options)
 
 
+def store_dead_letters(dead: DataFrame, path: str) -> None:
+    """One row per rejected message, equal ones as often as they were sent.
+
+    Copies are counted, here and in the table, and those that are missing are
+    added, so a run on the same messages adds none.
+    """
+    content = F.struct(*[c for c in ("key", "value") if c in dead.columns])
+    rows = dead.withColumn("digest", F.sha2(F.to_json(content, {"ignoreNullFields": "false"}), 256))
+    row = F.min(F.struct(*dead.columns)).alias("row")
+    sent = rows.groupBy("digest").agg(F.count("*").alias("n"), row)
+    missing = F.col("n")
+    if has_data(dead.sparkSession, path):
+        held = dead.sparkSession.read.parquet(path).groupBy("digest").agg(F.count("*").alias("held"))
+        sent = sent.join(held, "digest", "left")
+        missing = F.col("n") - F.coalesce("held", F.lit(0))
+    sent = sent.withColumn("missing", missing).filter("missing > 0")
+    append(sent.select("digest", "row", F.explode(F.expr("sequence(1, missing)"))).select("row.*", "digest"), path)
+
+
 def store_audit(scored: DataFrame, house: Warehouse) -> None:
     """Add the trail of transactions that have none yet."""
     path = house.path("audit_log")
@@ -95,8 +115,7 @@ def run_batch(
     """Process key/value messages into the warehouse; returns the scored rows.
 
     Running it again on the same messages changes nothing but the archive's
-    and the alert topic's copies, as re-sending messages does.  Dead letters
-    are told apart by their text.  ``publish`` takes the alerts as key/value
+    and the alert topic's copies, as re-sending messages does.  ``publish`` takes the alerts as key/value
     rows, e.g. to ``kafka_publish`` them; without it they go to a folder.
     """
     loaded = (F.current_timestamp() if loaded_at is None else loaded_at).cast("timestamp_ntz")
@@ -104,8 +123,7 @@ def run_batch(
     carry = [c for c in ("key", "loaded_at") if c in arrived.columns]
     checked = stored(keep_rejected_text(validate(parse(arrived, *carry))), "validated")
 
-    dead = dead_letters(checked).withColumn("digest", F.sha2("value", 256))
-    insert_if_absent(dead, house.path("dead_letter"), "digest")
+    store_dead_letters(dead_letters(checked), house.path("dead_letter"))
 
     good = valid(checked).drop("value", "key")
     if hold_maintenance:

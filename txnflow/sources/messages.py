@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from txnflow.schemas import TEXT_TXN
 
 RAW_TOPIC, ALERT_TOPIC, DEAD_TOPIC = "txn.raw", "txn.alert", "txn.dead-letter"
-MAX_PER_TRIGGER = 500
 
 _CORRUPT = "_corrupt_record"
 _MESSAGE = T.StructType([*TEXT_TXN.fields, T.StructField(_CORRUPT, T.StringType(), True)])
@@ -26,7 +25,8 @@ def _key_value(df: DataFrame) -> DataFrame:
     return df.select(F.col("key").cast("string"), F.col("value").cast("string"))
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str = RAW_TOPIC, per_trigger: int = MAX_PER_TRIGGER):
+def kafka_stream(spark: SparkSession, servers: str, topic: str = RAW_TOPIC, per_trigger: int | None = None):
+    """All that has arrived per trigger, unless ``per_trigger`` sets a number of messages."""
     options = kafka_options(servers, topic, per_trigger=per_trigger)
     return _key_value(spark.readStream.format("kafka").options(**options).load())
 
@@ -59,18 +59,18 @@ def file_messages(spark: SparkSession, path: str) -> DataFrame:
 def parse(messages: DataFrame, *carry: str) -> DataFrame:
     """Message text to one text column per field; keeps ``value``.
 
-    An array message stands for its first element.  Unparsable text leaves all
-    fields null and ``_corrupt_record`` set.
+    An array message gives a row per element, an empty one a row of nulls.
+    Unparsable text leaves all fields null and ``_corrupt_record`` set.
     """
     text = F.col("value")
     options = {"columnNameOfCorruptRecord": _CORRUPT}
     single = F.from_json(text, _MESSAGE, options)
     listed = F.from_json(text, T.ArrayType(_MESSAGE), options)
     is_array = F.startswith(F.ltrim(text), F.lit("["))
-    message = F.when(is_array, F.get(listed, F.lit(0))).otherwise(single)
+    found = F.when(is_array & (F.size(listed) > 0), listed).when(is_array, F.array(F.get(listed, F.lit(0)))).otherwise(F.array(single))
     carried = [c for c in ("value", *carry) if c in messages.columns]
     # As a generator, the JSON is parsed once per message and not once per field.
-    return messages.select(*carried, F.inline(F.array(message)))
+    return messages.select(*carried, F.inline(found))
 
 
 def to_messages(df: DataFrame, *fields: str) -> DataFrame:
