@@ -235,14 +235,14 @@ _CONTEXT = f"""hour(event_ts) IN (8,9,10,11,13,14,15,16) AS is_peak_hour,
 _MESSAGE = """transaction_id, "timestamp", account_masked, customer_id, channel, merchant_id, merchant_province,
   merchant_lat, merchant_lon, amount, currency, status, fraud_label, fraud_type"""
 _CHECKED = """checked AS (
-  SELECT *, CASE WHEN n % 50 = 7 THEN 'amount,currency,status' WHEN n % 50 = 17 THEN 'timestamp'
-    WHEN n % 50 = 27 THEN 'amount'
+  SELECT *, CASE WHEN n % 50 = 12 THEN 'amount,currency,status' WHEN n % 50 = 17 THEN 'timestamp'
+    WHEN n % 50 = 22 THEN 'amount'
     WHEN n % 50 = 37 THEN 'json,transaction_id,timestamp,account_masked,channel,amount,currency,status'
     ELSE '' END AS reasons FROM txn
 )"""
 # The messages that pass validation, in place of all transactions.
 _GOOD = TXN.replace("txn AS (", "every AS (") + """,
-txn AS (SELECT * FROM every WHERE n % 50 NOT IN (7, 17, 27, 37))"""
+txn AS (SELECT * FROM every WHERE n % 50 NOT IN (12, 17, 22, 37))"""
 _ENRICH = """SELECT transaction_id, t.customer_id, t.account_masked, segment, risk_score, home_province, home_lat::DOUBLE AS home_lat,
   home_lon::DOUBLE AS home_lon FROM txn t LEFT JOIN dim_customer c ON c.customer_id = t.customer_id"""
 _LATENCY = "(epoch_us(created_at) - epoch_us(detected_at))"
@@ -329,7 +329,7 @@ FROM (SELECT {_CONTEXT} FROM txn) GROUP BY 1""",
   left(phone, 3) || '****' || right(phone, 3) AS phone_masked,
   left(national_id, 3) || '******' || right(national_id, 3) AS national_id_masked, segment FROM raw_customer""",
     "token_accounts": _with(CUSTOMERS)
-    + "SELECT customer_id, '****' || substr(sha256(account_number), 1, 16) AS account_token FROM raw_customer",
+    + "SELECT customer_id, '****' || sha256(account_number) AS account_token FROM raw_customer",
     "home_distance": _with(TXN, CUSTOMERS)
     + f"""SELECT transaction_id, round({_km('home_lat::DOUBLE', 'home_lon::DOUBLE', 'merchant_lat', 'merchant_lon')}, 3) AS home_km
 FROM txn LEFT JOIN dim_customer USING (customer_id)""",
@@ -346,7 +346,7 @@ FROM txn LEFT JOIN dim_customer USING (customer_id)""",
   sum(CASE WHEN n % 40 <> 3 THEN amount END)::BIGINT AS amount FROM txn GROUP BY 1""",
     "validate_records": _with(TXN, _CHECKED)
     + """SELECT CASE WHEN n % 50 <> 37 THEN transaction_id END AS transaction_id,
-  CASE WHEN n % 50 NOT IN (7, 27, 37) THEN amount END::VARCHAR AS amount,
+  CASE WHEN n % 50 NOT IN (12, 22, 37) THEN amount END::VARCHAR AS amount,
   CASE WHEN n % 50 NOT IN (17, 37) THEN event_ts END AS event_ts, reasons AS error_reasons FROM checked""",
     "dead_letters": _with(TXN, _CHECKED)
     + "SELECT reasons AS error_reasons, count(*) AS n FROM checked WHERE reasons <> '' GROUP BY 1",
@@ -374,12 +374,14 @@ SELECT md5(transaction_id || '|' || s.p) AS flowfile_uuid, s.p AS processor_name
     "batch_load": _with(_GOOD, CASCADE, FACTS)
     + """SELECT 'fact_txn' AS table_name, (SELECT count(*) FROM facts) AS n
 UNION ALL SELECT 'fact_alert', (SELECT count(*) FROM alerts)
-UNION ALL SELECT 'dead_letter', (SELECT count(*) FROM every WHERE n % 50 IN (7, 17, 27, 37))
+UNION ALL SELECT 'dead_letter', (SELECT count(*) FROM every WHERE n % 50 IN (12, 17, 22, 37))
 UNION ALL SELECT 'dim_customer', (SELECT count(*) FROM customer)
 UNION ALL SELECT 'audit_log', 6 * (SELECT count(*) FROM facts) + 2 * (SELECT count(*) FROM alerts)""",
-    "maintenance_release": _with(_GOOD)
-    + f"""SELECT 'before' AS stage, count(*) FILTER (WHERE NOT is_maintenance) AS n FROM (SELECT {_CONTEXT} FROM txn)
-UNION ALL SELECT 'after', count(*) FROM txn""",
+    "maintenance_release": _with(_GOOD, CASCADE)
+    + f"""SELECT transaction_id, rule_triggered, NOT is_maintenance AS loaded_first
+FROM (SELECT transaction_id, rule_triggered, {_CONTEXT} FROM scored)""",
+    "batch_in_parts": _with(_GOOD, CASCADE) + "SELECT transaction_id, rule_triggered FROM scored",
+    "stream_late_rows": _with(_GOOD, CASCADE) + "SELECT transaction_id, rule_triggered FROM scored",
     "eod_report": _HOUSE + _eod("2024-01-15"),
     "eod_report_empty_day": _HOUSE
     + f"SELECT * REPLACE (fraud_count::DOUBLE AS fraud_count) FROM ({_eod('2031-01-01')})",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from txnflow.config import DEFAULT_RULES, DUPLICATE, GEO_ORDER, OFF_HOURS, VELOCITY
 from txnflow.operators.facts import fact_alert
 from txnflow.operators.rules import apply_cascade
-from txnflow.plans.batch import Warehouse, replay, run_batch
+from txnflow.plans.batch import Warehouse, release_held, release_late, replay, run_batch
 from txnflow.schemas import DIM_CUSTOMER
 from txnflow.session import ROCKSDB_PROVIDER, scratch_table
 from txnflow.sources import messages
@@ -196,3 +196,64 @@ def test_channel_totals_stream(spark):
     deliver(spark, folder, [txn("a"), txn("b", fraud_label=1)], start)
     deliver(spark, folder, [txn("c"), txn("d")], start)
     assert [(t["total"], t["fraud"], t["fraud_pct"]) for t in totals] == [(2, 1, 50.0), (4, 1, 25.0)]
+
+
+def verdicts(house):
+    return {r["transaction_id"]: r["rule_triggered"] for r in house.alerts.collect()}
+
+
+@pytest.mark.parametrize("cfg", [DEFAULT_RULES, WITH_GEO], ids=["default", "with_geo"])
+def test_batch_in_parts_equals_one_run(spark, cfg):
+    house, rows = house_of(spark), random_history(21, 300)
+    for part in (rows[:90], rows[90:91], rows[91:200], rows[91:200], rows[200:]):
+        run_batch(as_messages(spark, part), house, cfg, audit=False)
+    assert verdicts(house) == {k: v for k, v in simulate(rows, cfg).items() if v}
+    assert house.facts.count() == 300
+
+
+def test_velocity_over_midnight_in_two_runs(spark):
+    house, night = house_of(spark), T0.replace(hour=23, minute=59, second=50)
+    rows = [txn(f"m{i}", at=night + timedelta(seconds=8 * i), amount=i + 1) for i in range(3)]
+    run_batch(as_messages(spark, rows[:1]), house, audit=False)
+    run_batch(as_messages(spark, rows[1:]), house, audit=False)
+    assert verdicts(house) == {"m2": VELOCITY}
+
+
+def test_orders_without_a_single_pass_judge_each_run_by_itself(spark):
+    cfg = DEFAULT_RULES.with_options(velocity_count=4)
+    house, rows = house_of(spark), [txn(f"s{i}", i, amount=i + 1) for i in range(4)]
+    run_batch(as_messages(spark, rows[:2]), house, cfg, audit=False)
+    run_batch(as_messages(spark, rows[2:]), house, cfg, audit=False)
+    assert verdicts(house) == {}
+
+
+def test_held_rows_are_judged_with_their_neighbours(spark):
+    sunday = T0.replace(day=9, hour=0, minute=59, second=50)
+    rows = [txn(f"h{i}", at=sunday + timedelta(seconds=8 * i), amount=i + 1) for i in range(4)]
+    house = house_of(spark)
+    run_batch(as_messages(spark, rows), house, hold_maintenance=True, audit=False)
+    assert house.facts.count() == 2 and verdicts(house) == {}
+    run_batch(release_held(spark, house), house, audit=False)
+    assert house.facts.count() == 4
+    assert verdicts(house) == {k: v for k, v in simulate(rows).items() if v} == {"h2": VELOCITY, "h3": VELOCITY}
+    assert release_held(spark, house).isEmpty()
+
+
+def test_late_rows_come_back_and_a_far_future_row_stops_nothing(spark):
+    house = house_of(spark)
+    sink = cascade.CascadeSink(house, delay_ms=60_000)
+    sink(as_messages(spark, [txn("now", 600, account="****2"), txn("poison", at=T0.replace(year=2999))]), 0)
+    sink(as_messages(spark, [txn("good", 601, account="****3")] + [txn(f"l{i}", i, amount=i + 1) for i in range(3)]), 1)
+    assert {r["transaction_id"] for r in house.facts.collect()} == {"now", "poison", "good"}
+    run_batch(release_late(spark, house), house, audit=False)
+    assert house.facts.count() == 6 and verdicts(house) == {"l2": VELOCITY}
+    assert release_late(spark, house).isEmpty()
+
+
+def test_one_fact_per_id_in_stream_and_batch(spark):
+    house = house_of(spark)
+    sink = cascade.CascadeSink(house)
+    sink(as_messages(spark, [txn("same")]), 0)
+    sink(as_messages(spark, [txn("same", 90_000)]), 1)
+    run_batch(as_messages(spark, [txn("same", 180_000)]), house, audit=False)
+    assert house.facts.count() == 1

@@ -9,6 +9,7 @@ from helpers import HA_NOI, HO_CHI_MINH, frame, simulate, txn, verdicts
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
 from txnflow.config import DEFAULT_RULES, DUPLICATE, GEO, GEO_ORDER, OFF_HOURS, VELOCITY
 from txnflow.operators import rules
 from txnflow.operators.anchors import block_exits, duplicate_anchors, passed_on
@@ -240,3 +241,25 @@ def test_halo_must_fit_the_block(spark):
         with_halo(rows, 1000, 10)
     assert block_length(90_000) == 3_600_000
     assert block_length(1_890_000) == 12 * 1_890_000
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Ho_Chi_Minh"])
+def test_verdicts_do_not_depend_on_the_session_zone(spark, zone):
+    """The clocks of New York show 01:30 twice on that night."""
+    rows = [{**txn("a"), "timestamp": "2024-11-03T05:30:00Z"}, {**txn("b"), "timestamp": "2024-11-03T06:30:00Z"}]
+    rows += [{**txn("c", account="****9"), "timestamp": "2024-03-10T02:30:00"}]
+    rows += [{**txn("d", account="****9"), "timestamp": "2024-03-10T09:30:20.250+07:00"}]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        judged = rules.apply_cascade(frame(spark, rows))
+        columns = "transaction_id", F.col("event_ts").cast("string"), "rule_triggered"
+        got = {r[0]: (r[1], r[2]) for r in judged.select(*columns).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == {
+        "a": ("2024-11-03 05:30:00", None),
+        "b": ("2024-11-03 06:30:00", None),
+        "c": ("2024-03-10 02:30:00", None),
+        "d": ("2024-03-10 02:30:20.25", DUPLICATE),
+    }

@@ -17,6 +17,7 @@ from txnflow.functions.scalar import (
     mask_account,
     mask_national_id,
     mask_phone,
+    millis_time,
     null_tokens,
     off_hours_large,
     pad_id,
@@ -26,6 +27,7 @@ from txnflow.functions.scalar import (
     text_hour,
     time_key,
     token_account,
+    utc_time,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -71,13 +71,33 @@ def json_field(message: Column | str, field: str) -> Column:
 # ---- time -------------------------------------------------------------------
 
 
+# Text that ends with a date or a clock, so without a zone.
+_ZONELESS = r"^[^T ]*([T ]\d{1,2}(:\d{1,2}(:\d{1,2}(\.\d*)?)?)?)?$"
+
+
+def _since_1970(seconds: Column) -> Column:
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
+def utc_time(instant: Column) -> Column:
+    """A point in time as a zone-free timestamp in UTC, whatever the session's zone."""
+    return _since_1970(F.unix_micros(instant).cast("decimal(19,0)") / F.lit(1_000_000))
+
+
+def millis_time(millis: Column | str) -> Column:
+    """The zone-free timestamp that ``event_millis`` gave the number of."""
+    return _since_1970(_col(millis).cast("decimal(19,0)") / F.lit(1000))
+
+
 def parse_timestamp(c: Column | str) -> Column:
-    """ISO-8601 text, with or without offset, to a zone-free timestamp.
+    """ISO-8601 text to a zone-free timestamp; null if it is not a timestamp.
 
-    Text that is not a timestamp gives null.  An offset is resolved to the
-    session time zone.
+    With an offset it becomes UTC, without one it stays as written.  The
+    session's zone plays no part, so verdicts and dates are the same everywhere.
     """
-    return F.try_to_timestamp(_col(c)).cast("timestamp_ntz")
+    text = F.trim(_col(c))
+    as_written = text.try_cast("timestamp_ntz")
+    return F.when(text.rlike(_ZONELESS), as_written).otherwise(utc_time(F.try_to_timestamp(text)))
 
 
 def local_time(value) -> Column:
@@ -91,7 +111,11 @@ def local_time(value) -> Column:
 
 
 def event_millis(c: Column | str) -> Column:
-    return F.unix_millis(_col(c).cast("timestamp"))
+    """Milliseconds since 1970 of a zone-free timestamp."""
+    c = _col(c)
+    hours = F.unix_date(c.cast("date")).cast("long") * 24 + F.hour(c)
+    millis = F.floor(F.extract(F.lit("SECOND"), c) * 1000).cast("long")
+    return (hours * 60 + F.minute(c)) * 60_000 + millis
 
 
 def text_hour(c: Column | str) -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.functions import null_tokens, parse_timestamp
+from txnflow.functions import null_tokens, parse_timestamp, utc_time
 from txnflow.schemas import RAW_TXN, STAGING_RAW
 
 
@@ -60,7 +60,7 @@ def type_rows(text: DataFrame, loaded_at: Column | None = None) -> DataFrame:
         "amount": F.col("amount").try_cast("bigint"),
         "fraud_label": F.col("fraud_label").try_cast("smallint"),
         "fraud_type": null_tokens("fraud_type"),
-        "loaded_at": (F.current_timestamp() if loaded_at is None else loaded_at).cast("timestamp_ntz"),
+        "loaded_at": utc_time(F.current_timestamp()) if loaded_at is None else loaded_at.cast("timestamp_ntz"),
     }
     checks = [
         F.when(typed["ts"].isNull(), "timestamp"),

@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from txnflow.config import (
@@ -26,9 +27,10 @@ from txnflow.config import (
     VELOCITY,
     RuleConfig,
 )
-from txnflow.functions import alert_id, event_millis, has_value, haversine_km, off_hours_large
+from txnflow.functions import alert_id, event_millis, has_value, haversine_km, millis_time, off_hours_large
 from txnflow.operators.anchors import duplicate_anchors
 from txnflow.operators.timeblocks import BLOCK, IN_CORE, first_per_instant, with_halo
+from txnflow.schemas import RAW_TXN
 from txnflow.session import ensure_checkpoint_dir
 
 ACCOUNT = "account_masked"
@@ -36,6 +38,12 @@ ID = "transaction_id"
 RULE = "rule_triggered"
 # What the rules read of a row.
 HISTORY = (ID, ACCOUNT, "event_ts", "timestamp", "amount", "merchant_id", "merchant_lat", "merchant_lon")
+HISTORY_SCHEMA = T.StructType(
+    [
+        T.StructField(name, RAW_TXN[name].dataType if name in RAW_TXN.names else T.TimestampNTZType(), True)
+        for name in HISTORY
+    ]
+)
 
 
 # ---- who takes part in a rule -----------------------------------------------
@@ -62,12 +70,15 @@ def rule_input(txn: DataFrame, *extra: str) -> DataFrame:
     """The few columns rules read, with event time as ``t`` in milliseconds.
 
     A row without a time has no place in a history: it loses its account here
-    and passes the stateful rules.
+    and passes the stateful rules.  ``event_ts`` is zone-free, or an instant
+    where a watermark needs one.
     """
+    instant = isinstance(txn.schema["event_ts"].dataType, T.TimestampType)
+    millis = F.unix_millis("event_ts") if instant else event_millis("event_ts")
     return txn.select(
         ID,
         F.when(F.col("event_ts").isNotNull(), F.col(ACCOUNT)).alias(ACCOUNT),
-        event_millis("event_ts").alias("t"),
+        millis.alias("t"),
         "amount",
         "merchant_id",
         "merchant_lat",
@@ -105,7 +116,7 @@ def _as_alerts(fired: DataFrame, rule: str, *extra: Column) -> DataFrame:
         F.lit(rule).alias(RULE),
         F.lit(SEVERITY[rule]).alias("severity"),
         ACCOUNT,
-        F.timestamp_millis("t").cast("timestamp_ntz").alias("detected_at"),
+        millis_time("t").alias("detected_at"),
         *extra,
     )
 

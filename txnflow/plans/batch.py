@@ -7,14 +7,24 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnflow.config import DEFAULT_RULES, RuleConfig
-from txnflow.functions import date_key
+from txnflow.functions import date_key, event_millis, local_time, utc_time
 from txnflow.operators.context import split_maintenance, tag_context
 from txnflow.operators.dims import dim_calendar, dim_time
 from txnflow.operators.enrich import enrich_customers
 from txnflow.operators.facts import alert_messages, audit_log, fact_alert, fact_txn
-from txnflow.operators.rules import apply_cascade
+from txnflow.operators.rules import (
+    ACCOUNT,
+    HISTORY,
+    HISTORY_SCHEMA,
+    ID,
+    apply_cascade,
+    has_history,
+    lookback_ms,
+    single_pass,
+)
 from txnflow.operators.tables import (
     absent_rows,
     append,
@@ -26,6 +36,7 @@ from txnflow.operators.tables import (
     read_or_empty,
     upsert,
 )
+from txnflow.operators.timeblocks import BLOCK, block_length, block_of, first_per_instant
 from txnflow.operators.validate import dead_letters, dedupe_transactions, keep_rejected_text, valid, validate
 from txnflow.schemas import DIM_CALENDAR, DIM_CUSTOMER, DIM_TIME, FACT_ALERT, FACT_TXN
 from txnflow.session import stored
@@ -48,6 +59,12 @@ class Warehouse:
     def alerts(self) -> DataFrame:
         return read_or_empty(self.spark, self.path("fact_alert"), FACT_ALERT)
 
+    @property
+    def history(self) -> DataFrame:
+        """What the rules read of the rows of earlier runs, by event date."""
+        schema = T.StructType([*HISTORY_SCHEMA.fields, T.StructField("event_date", T.DateType())])
+        return read_or_empty(self.spark, self.path("history"), schema)
+
     @property
     def customers(self) -> DataFrame:
         return read_current(self.spark, self.path("dim_customer"), DIM_CUSTOMER)
@@ -96,6 +113,41 @@ def store_dead_letters(dead: DataFrame, path: str) -> None:
     append(sent.select("digest", "row", F.explode(F.expr("sequence(1, missing)"))).select("row.*", "digest"), path)
 
 
+def _history_between(house: Warehouse, rows: DataFrame, reach_ms: int) -> DataFrame:
+    """History from ``reach_ms`` before the first of the rows to the last; the scan reads these dates only."""
+    # As text: Python's datetime ends with the year 9999.
+    span = rows.agg(F.min("event_ts").cast("string"), F.max("event_ts").cast("string")).first()
+    first, last = (local_time(text) for text in span)
+    first = first - F.make_dt_interval(secs=F.lit(reach_ms / 1000).cast("decimal(18,6)"))
+    dates = F.col("event_date").between(first.cast("date"), last.cast("date"))
+    return house.history.filter(dates & F.col("event_ts").between(first, last))
+
+
+def earlier_rows(house: Warehouse, rows: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
+    """Rows of earlier runs that verdicts of these rows can depend on.
+
+    Only the accounts and time blocks of the rows, and the blocks before them.
+    """
+    reach = lookback_ms(cfg)
+    block = block_of(event_millis("event_ts"), block_length(reach))
+    touched = rows.filter(has_history()).select(ACCOUNT, F.explode(F.array(block, block - 1)).alias(BLOCK)).distinct()
+    near = _history_between(house, rows, reach).withColumn(BLOCK, block)
+    near = near.join(touched, [ACCOUNT, BLOCK], "left_semi")
+    return near.join(rows.select(ID), ID, "left_anti").select(*HISTORY)
+
+
+def keep_history(house: Warehouse, rows: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> None:
+    """Add the rows to the history, those of an earlier attempt left out.
+
+    Later rows of one instant always fire and tell the rules nothing more.
+    """
+    known = _history_between(house, rows, 0).select(ID)
+    new = rows.filter(has_history()).select(*HISTORY).join(known, ID, "left_anti")
+    keep = max(1, cfg.velocity_count - 1)
+    heads = first_per_instant(new.withColumn("t", event_millis("event_ts")), ACCOUNT, keep).drop("t")
+    append(heads.withColumn("event_date", F.to_date("event_ts")), house.path("history"), "event_date")
+
+
 def store_audit(scored: DataFrame, house: Warehouse) -> None:
     """Add the trail of transactions that have none yet."""
     path = house.path("audit_log")
@@ -117,8 +169,12 @@ def run_batch(
     Running it again on the same messages changes nothing but the archive's
     and the alert topic's copies, as re-sending messages does.  ``publish`` takes the alerts as key/value
     rows, e.g. to ``kafka_publish`` them; without it they go to a folder.
+
+    Rows are judged next to those of earlier runs, so data loaded in parts, in order, has the verdicts of one
+    run.  Rule orders and thresholds outside ``single_pass`` look back without bound; there a run is judged by
+    itself.  Held rows are context for the others, too: only their own loading waits for ``release_held``.
     """
-    loaded = (F.current_timestamp() if loaded_at is None else loaded_at).cast("timestamp_ntz")
+    loaded = utc_time(F.current_timestamp()) if loaded_at is None else loaded_at.cast("timestamp_ntz")
     arrived = messages if "loaded_at" in messages.columns else messages.withColumn("loaded_at", loaded)
     carry = [c for c in ("key", "loaded_at") if c in arrived.columns]
     checked = stored(keep_rejected_text(validate(parse(arrived, *carry))), "validated")
@@ -126,27 +182,43 @@ def run_batch(
     store_dead_letters(dead_letters(checked), house.path("dead_letter"))
 
     good = valid(checked).drop("value", "key")
-    if hold_maintenance:
-        good, held = split_maintenance(good, cfg)
-        insert_if_absent(held, house.path("held"), "transaction_id")
     accepted = stored(dedupe_transactions(good), "accepted")
-    archive_raw(accepted, house.path("raw"))
+    past = earlier_rows(house, accepted, cfg) if single_pass(cfg) else None
+    judged = apply_cascade(tag_context(accepted, cfg), cfg, past)
+    loading = accepted
+    if hold_maintenance:
+        loading, held = split_maintenance(accepted, cfg)
+        judged, _ = split_maintenance(judged, cfg)
+        insert_if_absent(held, house.path("held"), "transaction_id", unique=True)
+    archive_raw(loading, house.path("raw"))
 
-    judged = apply_cascade(tag_context(accepted, cfg), cfg)
     scored = stored(enrich_customers(judged, house.customers), "scored")
     store_facts(scored, house, cfg)
     publish = publish or (lambda df: df.select("value").write.mode("append").text(house.path("txn_alert")))
     publish(alert_messages(scored))
     if audit:
         store_audit(scored, house)
+    if single_pass(cfg):
+        keep_history(house, accepted, cfg)
     return scored
 
 
+def _as_messages(house: Warehouse, rows: DataFrame, fields: tuple[str, ...] = ()) -> DataFrame:
+    """Rows that are not loaded yet as messages for the next run."""
+    waiting = rows.join(house.facts.select(ID), ID, "left_anti")
+    body = F.to_json(F.struct(*(fields or [c for c in rows.columns if c not in ("event_ts", "loaded_at", "batch_id")])))
+    arrived = [c for c in ("loaded_at",) if c in rows.columns]
+    return waiting.select(F.lit(None).cast("string").alias("key"), body.alias("value"), *arrived)
+
+
 def release_held(spark: SparkSession, house: Warehouse, *fields: str) -> DataFrame:
-    """Messages held back during maintenance, ready for the next run."""
-    held = spark.read.parquet(house.path("held"))
-    body = F.to_json(F.struct(*(fields or [c for c in held.columns if c not in ("event_ts", "loaded_at")])))
-    return held.select(F.lit(None).cast("string").alias("key"), body.alias("value"), "loaded_at")
+    """Messages held back during maintenance and not loaded since, ready for the next run."""
+    return _as_messages(house, spark.read.parquet(house.path("held")), fields)
+
+
+def release_late(spark: SparkSession, house: Warehouse, *fields: str) -> DataFrame:
+    """Messages a stream set aside as late and not loaded since, ready for a batch run."""
+    return _as_messages(house, spark.read.parquet(house.path("late")), fields)
 
 
 def replay(dead: DataFrame, raw_path: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from txnflow.config import DEFAULT_RULES, DUPLICATE, GEO_ORDER, VELOCITY
 from txnflow.functions import (
     clamp_to_thousand,
     date_key,
+    event_millis,
     format_km,
     haversine_km,
     json_field,
@@ -19,7 +20,7 @@ from txnflow.functions import (
 )
 from txnflow.operators import context, dims, enrich, facts, normalise, rules, tables, validate
 from txnflow.plans import reports
-from txnflow.plans.batch import Warehouse, release_held, replay, run_batch, store_facts
+from txnflow.plans.batch import Warehouse, release_held, release_late, replay, run_batch, store_facts
 from txnflow.schemas import GENERATED_TXN, MESSAGE_FIELDS
 from txnflow.session import ROCKSDB_PROVIDER, scratch_table, stored
 from txnflow.sources import demo, files, messages
@@ -299,7 +300,7 @@ def demo_messages(spark, d) -> DataFrame:
     or an amount that cannot be read; cut-off JSON.  Some come as an array."""
     n = _number()
     txn = demo.transactions(spark, d)
-    gone = n % 50 == 7
+    gone = n % 50 == 12
     body = F.to_json(
         F.struct(
             "transaction_id",
@@ -311,7 +312,7 @@ def demo_messages(spark, d) -> DataFrame:
             "merchant_province",
             "merchant_lat",
             "merchant_lon",
-            F.when(gone, None).when(n % 50 == 27, "12.5").otherwise(F.col("amount").cast("string")).alias("amount"),
+            F.when(gone, None).when(n % 50 == 22, "12.5").otherwise(F.col("amount").cast("string")).alias("amount"),
             F.when(~gone, F.col("currency")).alias("currency"),
             F.when(~gone, F.col("status")).alias("status"),
             "fraud_label",
@@ -323,7 +324,7 @@ def demo_messages(spark, d) -> DataFrame:
         .when(n % 50 == 47, F.concat(F.lit("["), body, F.lit("]")))
         .otherwise(body)
     )
-    return txn.select(F.lit(None).cast("string").alias("key"), value.alias("value"), "loaded_at", "event_ts")
+    return txn.select(F.lit(None).cast("string").alias("key"), value.alias("value"), "loaded_at", "event_ts", "account_masked")
 
 
 def _validated(spark, d):
@@ -389,13 +390,32 @@ def batch_load(spark, d):
 
 
 def maintenance_release(spark, d):
-    """Rows held during maintenance are processed by a later run."""
+    """Rows held during maintenance and loaded by a later run: verdicts as without a pause."""
     house = Warehouse(spark, scratch_table(spark, "house"))
     house.seed(demo.customers(spark, d))
     run_batch(demo_messages(spark, d).drop("event_ts"), house, hold_maintenance=True, audit=False)
-    before = stored(house.facts.agg(F.lit("before").alias("stage"), F.count("*").alias("n")), "before")
+    before = stored(house.facts.select("transaction_id", F.lit(True).alias("loaded_first")), "before")
     run_batch(release_held(spark, house), house, audit=False)
-    return before.unionByName(house.facts.agg(F.lit("after").alias("stage"), F.count("*").alias("n")))
+    first = F.coalesce("loaded_first", F.lit(False)).alias("loaded_first")
+    return _fact_verdicts(house).join(before, "transaction_id", "left").select("transaction_id", "rule_triggered", first)
+
+
+def _fact_verdicts(house: Warehouse) -> DataFrame:
+    """Every fact with the rule of its alert."""
+    alerts = house.alerts.select("alert_id", "rule_triggered")
+    return house.facts.join(alerts, "alert_id", "left").select("transaction_id", "rule_triggered")
+
+
+def batch_in_parts(spark, d):
+    """Loaded by three runs, one after another in time: verdicts as of one run."""
+    house = Warehouse(spark, scratch_table(spark, "house"))
+    house.seed(demo.customers(spark, d))
+    sent = demo_messages(spark, d)
+    early, late = sent.agg(F.percentile_approx(event_millis("event_ts"), [0.3, 0.6])).first()[0]
+    at = event_millis("event_ts")
+    for part in (at <= early, (at > early) & (at <= late), at > late):
+        run_batch(sent.filter(part).drop("event_ts"), house, audit=False)
+    return _fact_verdicts(house)
 
 
 # ---- reports ----------------------------------------------------------------
@@ -642,6 +662,28 @@ def stream_cascade_with_geo(spark, d):
     return _streamed_house(spark, d, WITH_GEO).alerts.select("transaction_id", "rule_triggered", "alert_id")
 
 
+def stream_late_rows(spark, d):
+    """Accounts whose messages arrive hours late: set aside by the stream, then loaded by a batch run.
+
+    Accounts with a message in the last two hours arrive in time; verdicts are
+    per account, so all are as if everything had.
+    """
+    house, folder = Warehouse(spark, scratch_table(spark, "house")), scratch_table(spark, "topic")
+    house.seed(demo.customers(spark, d))
+    sink = cascade.CascadeSink(house)
+    sent = demo_messages(spark, d)
+    end = local_time(sent.agg(F.max("event_ts")).first()[0]) - F.expr("interval 2 hours")
+    recent = sent.filter(F.col("event_ts") >= end).select("account_masked").distinct()
+    picked = sent.filter(F.right("account_masked", F.lit(1)) == "3").join(recent, "account_masked", "left_anti")
+    accounts = picked.select("account_masked").distinct()
+    for part in ("left_anti", "left_semi"):
+        sent.join(accounts, "account_masked", part).select("value").write.mode("append").text(folder)
+        stream = messages.file_stream(spark, folder)
+        _run(cascade.start_cascade(stream, sink, house.path("checkpoint"), availableNow=True))
+    run_batch(release_late(spark, house), house, audit=False)
+    return _fact_verdicts(house)
+
+
 def stream_volume_per_minute(spark, d):
     """Final minutes only: those the watermark has closed, then the rest in batch."""
     out, checkpoint = scratch_table(spark, "minutes"), scratch_table(spark, "checkpoint")
@@ -735,6 +777,7 @@ QUERIES = {
         audit_trail,
         batch_load,
         maintenance_release,
+        batch_in_parts,
         eod_report,
         eod_report_empty_day,
         total_transactions,
@@ -774,6 +817,7 @@ QUERIES = {
         idempotent_sink,
         stream_cascade,
         stream_cascade_with_geo,
+        stream_late_rows,
         stream_volume_per_minute,
         stream_totals_by_channel,
         stream_keyed_cascade,

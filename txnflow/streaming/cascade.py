@@ -5,6 +5,9 @@ of the recent past.  A verdict depends on a bounded time before its row
 (``lookback_ms``), so with rows arriving in order the stream gives exactly the
 batch result, and a hot account is spread over tasks as in batch.
 
+Late rows wait in ``late`` for ``plans.batch.release_late``; a batch run then
+judges them next to the rows around them, which are kept by event date.
+
 The history has two alternating slots: batch n reads slot n-1 and overwrites
 slot n, so a batch that is retried finds its input unchanged.  Facts and
 alerts are inserted only if absent; the other outputs have a folder per batch.
@@ -14,33 +17,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from txnflow.config import DEFAULT_RULES, RuleConfig
-from txnflow.functions import event_millis, local_time
+from txnflow.functions import event_millis, local_time, utc_time
 from txnflow.operators.context import tag_context
 from txnflow.operators.enrich import enrich_customers
 from txnflow.operators.facts import alert_messages
-from txnflow.operators.rules import ACCOUNT, HISTORY, apply_cascade, lookback_ms, single_pass
+from txnflow.operators.rules import ACCOUNT, HISTORY, HISTORY_SCHEMA, apply_cascade, lookback_ms, single_pass
 from txnflow.operators.tables import archive_raw, read_or_empty
 from txnflow.operators.timeblocks import first_per_instant
 from txnflow.operators.validate import dead_letters, dedupe_transactions, keep_rejected_text, valid, validate
-from txnflow.plans.batch import Warehouse, store_facts
-from txnflow.schemas import RAW_TXN
+from txnflow.plans.batch import Warehouse, keep_history, store_facts
 from txnflow.sources.messages import parse
 
-HISTORY_SCHEMA = T.StructType(
-    [
-        T.StructField(name, RAW_TXN[name].dataType if name in RAW_TXN.names else T.TimestampNTZType(), True)
-        for name in HISTORY
-    ]
-)
+#: How far a row's time may lie after its arrival and still move the stream's time on.
+CLOCK_TOLERANCE_MS = 86_400_000
 
 
 def _interval(milliseconds: int):
     return F.make_dt_interval(secs=F.lit(milliseconds / 1000).cast("decimal(18,6)"))
 
 
+def newest_time(rows: DataFrame):
+    """The latest event time; a row dated far after its arrival does not count, else all that follows were late."""
+    known = F.col("event_ts") <= utc_time(F.current_timestamp()) + _interval(CLOCK_TOLERANCE_MS)
+    return rows.filter(known).agg(F.max("event_ts")).first()[0]
+
+
 class CascadeSink:
     """foreachBatch target holding the paths and settings."""
 
@@ -69,7 +72,7 @@ class CascadeSink:
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
         house, cfg = self.house, self.cfg
         spark = messages.sparkSession
-        loaded = F.current_timestamp() if self.loaded_at is None else self.loaded_at
+        loaded = utc_time(F.current_timestamp()) if self.loaded_at is None else self.loaded_at
         parsed = parse(messages, "key")
         checked = self._stage(keep_rejected_text(validate(parsed)), "validated", batch_id)
         self._write(dead_letters(checked), self._batch("dead_letter", batch_id))
@@ -77,7 +80,7 @@ class CascadeSink:
         history = spark.createDataFrame([], HISTORY_SCHEMA)
         if batch_id > 0:
             history = read_or_empty(spark, self._slot(batch_id - 1), HISTORY_SCHEMA)
-        newest = history.agg(F.max("event_ts")).first()[0]
+        newest = newest_time(history)
         rows = valid(checked).drop("value", "key")
         if newest is not None:
             late = F.col("event_ts") < local_time(newest) - _interval(self.delay_ms)
@@ -91,19 +94,20 @@ class CascadeSink:
         archive_raw(accepted, self._batch("raw", batch_id), mode="overwrite")
         judged = apply_cascade(tag_context(accepted, cfg), cfg, history)
         scored = self._stage(enrich_customers(judged, house.customers), "scored", batch_id)
-        store_facts(scored, house, cfg, prune=True)
+        store_facts(scored, house, cfg)
         alerts = alert_messages(scored)
         if self.publish is not None:
             self.publish(alerts)
         else:
             alerts.select("value").write.mode("overwrite").text(self._batch("txn_alert", batch_id))
+        keep_history(house, accepted, cfg)
         self._keep_history(history, accepted, batch_id)
 
     def _keep_history(self, history: DataFrame, accepted: DataFrame, batch_id: int) -> None:
         seen = history.unionByName(accepted.select(*HISTORY))
-        newest = seen.agg(F.max("event_ts")).scalar()
+        newest = newest_time(seen)
         reach = self.delay_ms + lookback_ms(self.cfg)
-        recent = seen.filter(F.col("event_ts") >= newest - _interval(reach))
+        recent = seen if newest is None else seen.filter(F.col("event_ts") >= local_time(newest) - _interval(reach))
         # Later rows of one instant always fire and tell the rules nothing more.
         heads = first_per_instant(
             recent.withColumn("t", event_millis("event_ts")), ACCOUNT, max(1, self.cfg.velocity_count - 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.functions import percent
+from txnflow.functions import event_millis, percent, utc_time
 from txnflow.operators.validate import valid, validate
 from txnflow.sources.messages import parse
 
@@ -15,14 +15,14 @@ WATERMARK = "1 hour"
 def accepted(messages: DataFrame) -> DataFrame:
     """Valid transactions of a message stream, with event_ts as a watermarked timestamp."""
     rows = valid(validate(parse(messages)))
-    return rows.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    return rows.withColumn("event_ts", F.timestamp_millis(event_millis("event_ts")))
 
 
 def volume_per_minute(rows: DataFrame, delay: str = WATERMARK) -> DataFrame:
     counts = rows.withWatermark("event_ts", delay).groupBy(F.window("event_ts", "1 minute")).agg(
         F.count("*").alias("value")
     )
-    return counts.select(F.col("window.start").cast("timestamp_ntz").alias("time"), "value")
+    return counts.select(utc_time(F.col("window.start")).alias("time"), "value")
 
 
 def totals_by_channel(rows: DataFrame) -> DataFrame:
