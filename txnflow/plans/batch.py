@@ -51,6 +51,10 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def of_runs(self, table: str) -> str:
+        """Where batch runs write a table that streams write by batch id: next to the stream's folders."""
+        return f"{self.path(table)}/batch_id=-1"
+
     @property
     def facts(self) -> DataFrame:
         return read_or_empty(self.spark, self.path("fact_txn"), FACT_TXN)
@@ -179,7 +183,7 @@ def run_batch(
     carry = [c for c in ("key", "loaded_at") if c in arrived.columns]
     checked = stored(keep_rejected_text(validate(parse(arrived, *carry))), "validated")
 
-    store_dead_letters(dead_letters(checked), house.path("dead_letter"))
+    store_dead_letters(dead_letters(checked), house.of_runs("dead_letter"))
 
     good = valid(checked).drop("value", "key")
     accepted = stored(dedupe_transactions(good), "accepted")
@@ -190,11 +194,11 @@ def run_batch(
         loading, held = split_maintenance(accepted, cfg)
         judged, _ = split_maintenance(judged, cfg)
         insert_if_absent(held, house.path("held"), "transaction_id", unique=True)
-    archive_raw(loading, house.path("raw"))
+    archive_raw(loading, house.of_runs("raw"))
 
     scored = stored(enrich_customers(judged, house.customers), "scored")
     store_facts(scored, house, cfg)
-    publish = publish or (lambda df: df.select("value").write.mode("append").text(house.path("txn_alert")))
+    publish = publish or (lambda df: df.select("value").write.mode("append").text(house.of_runs("txn_alert")))
     publish(alert_messages(scored))
     if audit:
         store_audit(scored, house)
