@@ -286,6 +286,31 @@ def test_decontamination_recall(spark, sf_dir):
     assert found >= 0.9 * asked
 
 
+@pytest.mark.parametrize("size", [250, 500, 1000, 2000])
+@pytest.mark.parametrize("kind", ["exact", "insert", "delete"])
+def test_decontamination_recall_of_long_items(size, kind, monkeypatch):
+    """As above for items of many words; exact copies begin at any word."""
+    rng, hashes, found = random.Random(size), WordHashes(), 0
+    for trial in range(20):
+        own = [b"w%d" % rng.randrange(10**6) for _ in range(size)]
+        index = decontaminate.Index([(7, b" ".join(own).decode()), (8, "one two three four five six")], 20, 5, 10_000)
+        edited = list(own)
+        for _ in range(size // 5 if kind != "exact" else 0):
+            at = rng.randrange(len(edited))
+            edited[at : at + (kind == "delete")] = [b"zz%d" % rng.randrange(10**9)] * (kind == "insert")
+        around, at = [b"q%d" % rng.randrange(10**9) for _ in range(400)], rng.randrange(400)
+        text = hashes.of(around[:at] + edited + around[at:])
+        matches = list(index.matches([text]))
+        found += any(m[1] == 7 and m[2] <= size // 5 for m in matches)
+        assert not list(index.matches([hashes.of(around)]))
+        if kind == "exact":
+            assert matches == [(0, 7, 0, at, at + size)]
+        monkeypatch.setattr(decontaminate, "MOST_HITS", 10, raising=False)
+        assert list(index.matches([text])) == matches
+        monkeypatch.undo()
+    assert found >= 19
+
+
 def test_odd_rows(spark, odd):
     benchmark = spark.createDataFrame([(1, " ".join(f"word{i}" for i in range(20, 40))), (2, None), (3, ""), (None, "a b c d e f")], "item_id long, text string")
     near = near_duplicates.near_duplicates(odd, width=4).collect()

@@ -9,7 +9,11 @@ words of it, in insertions, deletions and substitutions of words.
 * A window is embedded by WALKS random walks (Chakraborty, Goldenberg, Koucky): at step t the walk writes the word it
   stands at, and a hash of the word and t says whether it moves on.  Few edits give few differing places.
 * TABLES hash tables per walk sample SAMPLES places of the embedding.  A window meets the items that agree with it
-  in all places of some table.  The recall is measured by a test, at the largest allowed distance.
+  in all places of some table.
+* An item of 2 * PIECE words or more is embedded in equal pieces of PIECE to 3/2 * PIECE words, and n-grams are counted
+  for it alone.  The text is cut into windows of the piece's length, STRIDE words apart.  Some piece has no more than
+  its share of the edits, so the recall does not fall with the length; one piece suffices, the whole item is verified.
+  The recall is measured by tests, at the largest allowed distance, for items of 15 to 2000 words.
 * What is retrieved is verified by exact edit distance (Myers' bit-parallel search), so nothing false is reported.
 
 The items are a parameter of at most ``max_words`` words in all (more raise ValueError), and nothing is shuffled.  Items
@@ -30,6 +34,7 @@ from pyspark.sql.types import BooleanType
 from txnflow.llm.common import WordHashes, byte_texts, gram_hashes, members, mix, plain_words, slices
 
 WALKS, TABLES, SAMPLES = 16, 6, 2
+PIECE, STRIDE, MOST_HITS = 50, 5, 1 << 22
 EDITS, LEAST_WORDS, MAX_WORDS = 20, 5, 2_000_000
 
 
@@ -84,19 +89,21 @@ def edit_search(item: list[int], words: list[int], anchored: bool = False) -> tu
 
 
 class Lengths:
-    """The items of one length: what their windows must share with them, and the hash tables."""
+    """The items of one length, or one long item: what their windows must share with them, and the hash tables."""
 
     def __init__(self, size: int, edits: int, items: list[tuple[int, np.ndarray]]):
         self.size, self.allowed, self.items = size, size * edits // 100, items
         self.gram = next((q for q in (3, 2, 1) if size - q + 1 > q * self.allowed), 1)
         self.least = max(1, size - self.gram + 1 - self.gram * self.allowed)
-        self.step = max(1, self.allowed // 2)
+        self.step = max(1, min(STRIDE, self.allowed // 2))
+        self.pieces = max(1, size // PIECE)
+        self.piece = size // self.pieces
         self.grams = np.unique(np.concatenate([gram_hashes(w, self.gram) for _, w in items]))
-        keys = table_keys(np.stack([w for _, w in items]))
-        self.table: dict[int, list[int]] = {}
+        keys = table_keys(np.concatenate([w[: self.pieces * self.piece].reshape(self.pieces, self.piece) for _, w in items]))
+        self.table: dict[int, list[tuple[int, int]]] = {}  # (item, first word of the piece)
         for number, own in enumerate(keys.tolist()):
             for k in set(own):
-                self.table.setdefault(k, []).append(number)
+                self.table.setdefault(k, []).append((number // self.pieces, number % self.pieces * self.piece))
         self.keys = np.unique(keys)
 
     def starts(self, hits: np.ndarray, n: int) -> np.ndarray:
@@ -109,9 +116,18 @@ class Lengths:
         last = np.searchsorted(hits, begin + self.size + self.allowed - self.gram, side="right")
         return begin[last - first >= self.least]
 
+    def embedded(self, starts: np.ndarray, n: int) -> np.ndarray:
+        """Windows of a piece's length to look up: those in the surroundings of the windows of a whole item."""
+        if self.pieces == 1 or not len(starts):
+            return starts
+        low, high = np.maximum(0, starts - self.allowed), np.minimum(n, starts + self.size + self.allowed)
+        new = np.flatnonzero(np.r_[True, low[1:] > high[:-1]])
+        ends = high[np.r_[new[1:] - 1, len(high) - 1]]
+        return np.concatenate([np.arange(a, b, self.step) for a, b in zip(low[new], ends, strict=True)])
+
 
 class Index:
-    """The items by length."""
+    """The items by length; long ones each by itself."""
 
     def __init__(self, items: list[tuple[int, str | None]], edits: int, least_words: int, max_words: int):
         hashes, by_size = WordHashes(), {}
@@ -119,11 +135,12 @@ class Index:
         for item_id, text in items:
             words = hashes.of(plain_words((text or "").encode()))
             if len(words) >= max(1, least_words):
-                by_size.setdefault(len(words), []).append((item_id, words))
+                alone = self.total if len(words) >= 2 * PIECE else -1
+                by_size.setdefault((len(words), alone), []).append((item_id, words))
                 self.total += len(words)
         if self.total > max_words:
             raise ValueError(f"the items have more than {max_words} words")
-        self.lengths = [Lengths(size, edits, own) for size, own in sorted(by_size.items())]
+        self.lengths = [Lengths(size, edits, by_size[size, alone]) for size, alone in sorted(by_size)]
         self.known, self.owners = {}, {}
         for q in sorted({c.gram for c in self.lengths}):
             own = [(i, c.grams) for i, c in enumerate(self.lengths) if c.gram == q]
@@ -134,7 +151,7 @@ class Index:
         self.fewest = min((c.least for c in self.lengths), default=1)
 
     def windows(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(number of a length, starts of windows to look up)."""
+        """(number in ``lengths``, starts of windows to look up)."""
         for q, known in self.known.items():
             grams = gram_hashes(words, q)
             places = np.flatnonzero(members(known, grams))
@@ -142,12 +159,18 @@ class Index:
                 continue
             low = np.searchsorted(known, grams[places])
             many = np.searchsorted(known, grams[places], side="right") - low
-            at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
-            owner, place = self.owners[q][at], np.repeat(places, many)
-            counts = np.bincount(owner, minlength=len(self.lengths))
+            parts = np.flatnonzero(np.diff(np.cumsum(many) // MOST_HITS, prepend=0))  # n-grams that very many items share
+            counts = np.zeros(len(self.lengths), np.int64)
+            for lows, numbers in zip(np.split(low, parts), np.split(many, parts), strict=True):
+                at = np.repeat(lows - np.cumsum(numbers) + numbers, numbers) + np.arange(numbers.sum())
+                owner = self.owners[q][at]
+                counts += np.bincount(owner, minlength=len(self.lengths))
+            place = np.repeat(places, many) if not len(parts) else None
             for i in np.flatnonzero(counts):
-                if counts[i] >= self.lengths[i].least:
-                    starts = self.lengths[i].starts(place[owner == i], len(words))
+                length = self.lengths[i]
+                if counts[i] >= length.least:
+                    hits = np.flatnonzero(members(length.grams, grams)) if place is None else place[owner == i]
+                    starts = length.embedded(length.starts(hits, len(words)), len(words))
                     if len(starts):
                         yield int(i), starts
 
@@ -162,15 +185,15 @@ class Index:
             found: dict[tuple[int, int], list[int]] = {}
             for lo in range(0, len(windows), 2000):
                 part = windows[lo : lo + 2000]
-                rows = np.zeros((len(part), length.size), np.uint64)
+                rows = np.zeros((len(part), length.piece), np.uint64)
                 for row, (i, s) in zip(rows, part, strict=True):
-                    own = texts[i][s : s + length.size]
+                    own = texts[i][s : s + length.piece]
                     row[: len(own)] = own
                 keys = table_keys(rows)
                 at, column = np.nonzero(members(length.keys, keys.reshape(-1)).reshape(keys.shape))
                 for row, key in zip(at.tolist(), keys[at, column].tolist(), strict=True):
-                    for item in length.table[key]:
-                        found.setdefault((part[row][0], item), []).append(part[row][1])
+                    for item, before in length.table[key]:
+                        found.setdefault((part[row][0], item), []).append(part[row][1] - before)
             for (i, item), starts in found.items():
                 yield from self.verified(length, i, item, texts[i], sorted(set(starts)))
 
