@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -311,6 +312,19 @@ def test_decontamination_recall_of_long_items(size, kind, monkeypatch):
     assert found >= 19
 
 
+def test_plain_words_beyond_ascii():
+    """Case and marks of any script play no part, in items, templates and texts."""
+    item = "¿Dónde está el niño que comió la piña después de la canción? Über große Straßen, l’été où j’étais là."
+    index, hashes = decontaminate.Index([(1, item)], 20, 5, 1000), WordHashes()
+    copies = [item.upper(), "«" + item.replace(" ", "” “") + "»…", unicodedata.normalize("NFD", item), item.replace("a", "a\u00ad")]
+    for copy in copies:
+        assert plain_words(copy.encode()) == plain_words(item.encode())
+        found = list(index.matches([hashes.of(plain_words(f"antes de esto {copy} y más".encode()))]))
+        assert [(m[1], m[2]) for m in found] == [(1, 0)]
+    assert plain_words("“Qué—no” ¡SÍ!".encode()) == ["qué".encode(), b"no", "sí".encode()]
+    assert plain_words(b"It's \xff A-b_9") == [b"it", b"s", b"a", b"b", b"9"]
+
+
 def test_odd_rows(spark, odd):
     benchmark = spark.createDataFrame([(1, " ".join(f"word{i}" for i in range(20, 40))), (2, None), (3, ""), (None, "a b c d e f")], "item_id long, text string")
     near = near_duplicates.near_duplicates(odd, width=4).collect()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import unicodedata
 from collections.abc import Iterator
 from types import ModuleType
 
@@ -86,8 +87,27 @@ def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
 PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
 
+class Marks(dict):
+    """For str.translate: letters, digits and their accents stay, invisible characters go, the rest are spaces."""
+
+    def __missing__(self, code: int) -> str:
+        kind = unicodedata.category(chr(code))
+        value = self[code] = chr(code) if kind[0] in "LNM" or code < 128 else "" if kind == "Cf" else " "
+        return value
+
+
+MARKS = Marks()
+
+
 def plain_words(text: bytes) -> list[bytes]:
-    """The words without case and marks: runs of ASCII letters and digits and of other characters."""
+    """The words without case and marks: runs of letters and digits, by Unicode where the text is not ASCII alone."""
+    if not text.isascii():
+        folded = unicodedata.normalize("NFC", text.decode(errors="replace").casefold())
+        for c in set(folded):
+            if c > "\x7f" and MARKS[ord(c)] != c:
+                folded = folded.translate(MARKS)
+                break
+        text = folded.encode()
     return text.translate(PLAIN).split()
 
 
