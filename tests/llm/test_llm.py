@@ -224,6 +224,19 @@ def test_quality(spark, sf_dir):
     assert sum((r.s >= 0.3) == (r._label == 1) for r in rows) >= 0.95 * len(rows)
 
 
+def test_repeated_grams_at_every_length(monkeypatch):
+    """Word triples are counted exactly on both sides of the length from which they are numbered otherwise."""
+    rng, at = random.Random(4), quality.FEATURES.index("repeated_grams")
+    own = [b"w%d" % min(rng.randrange(1000), rng.randrange(1000)) for _ in range(2_000_050)]
+    for n in (1_999_990, 2_000_050):
+        distinct = len(set(zip(own[: n - 2], own[1 : n - 1], own[2:n])))
+        assert quality.statistics(b" ".join(own[:n]))[at] == 1 - distinct / (n - 2)
+    short = [b" ".join(own[:n]) for n in (1, 2, 3, 5000)]
+    before = [quality.statistics(t) for t in short]
+    monkeypatch.setattr(quality, "MOST_CODES", 0, raising=False)
+    assert [quality.statistics(t) for t in short] == before
+
+
 def test_secret_ledger_is_incremental(spark):
     first = spark.createDataFrame([("a", "password = hunter2hunter2 x"), ("b", "nothing"), ("c", "password = hunter2hunter2 x")], "path string, text string")
     ledger = scratch_table(spark, "ledger")

@@ -23,6 +23,7 @@ from txnflow.llm import boosting
 from txnflow.llm.boosting import Trees
 
 SAMPLE = 20_000
+MOST_CODES = 2_000_000
 FEATURES = (
     "characters words lines mean_word mean_line letters capitals digits spaces marks other_marks non_ascii "
     "distinct_words top_word repeated_lines repeated_line_characters repeated_grams upper_words long_words short_words "
@@ -57,7 +58,10 @@ def statistics(text: bytes) -> list[float]:
         counts[w] = counts.get(w, 0) + 1
     ids = {w: i for i, w in enumerate(counts)}
     codes = np.fromiter(map(ids.__getitem__, words), np.int64, n)
-    grams = codes[:-2] * n * n + codes[1:-1] * n + codes[2:] if n < 2_000_000 else codes
+    pairs = codes[:-1] * n + codes[1:]
+    if n >= MOST_CODES:  # n ** 3 would overflow; numbers of distinct pairs are as good
+        pairs = np.unique(pairs, return_inverse=True)[1]
+    grams = pairs[:-1] * n + codes[2:]
     distinct_lines = set(lines)
     ends = sum(x.rstrip()[-1:] in (b".", b"!", b"?", b'"') for x in lines)
     stops = text.count(b".") + text.count(b"!") + text.count(b"?")
