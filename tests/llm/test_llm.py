@@ -283,6 +283,20 @@ def test_licenses(spark, sf_dir):
     assert got == want
 
 
+def test_registered_licenses():
+    """Whole licenses, headers and parts are found by name, in any case and layout, and not in other words."""
+    index, hashes = licenses.Index(licenses.registered(), 5, 80, 10_000), WordHashes()
+    around = [b"q%d" % i for i in range(300)]
+    for name, text in licenses.registered().items():
+        own = plain_words(text.upper().replace(" ", "\n * ").encode())
+        found = {index.names[n]: (lo, hi, c) for n, lo, hi, c in index.matches(hashes.of(around[:117] + own + around[117:]))}
+        assert found[name][2] >= 0.99 and found[name][:2] == (117, 117 + len(own))
+    for name in ("gpl-3-text", "mpl-2.0-text", "agpl-3-header", "lgpl-2.1-header", "isc-text", "cc0-1.0-text", "mit-warranty", "bsd-conditions", "cc-by-4.0-line"):
+        assert name in index.names
+    assert not list(index.matches(hashes.of(around)))
+    assert licenses.TEMPLATES.items() <= licenses.registered().items()
+
+
 def test_decontamination_recall(spark, sf_dir):
     """Items with the largest allowed number of edits inside other text: recall 0.9 at least; clean texts stay."""
     items = [(r.item_id, plain_words(r.text.encode())) for r in table(spark, sf_dir, "benchmark").collect()]

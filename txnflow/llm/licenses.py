@@ -5,7 +5,11 @@ without case and marks).  For every length of template the text is cut into over
 template apart and as much longer than it, so each occurrence lies within one.  A window's MinHash is entered into
 BANDS bands of ROWS minima; a band that equals a template's retrieves it, and the containment is then counted exactly.
 :func:`collision_probability` gives the chance that a window with the least containment is retrieved; templates for
-which it is under 0.99 are refused.  Windows that hold no shingle of any template have similarity 0 and are not hashed.
+which it is under 0.99 are refused.  Windows that hold fewer shingles of templates than the least containment asks for
+are not hashed.
+
+Without ``templates`` the text is scanned for TEMPLATES and for ``license_texts.json``: whole licenses, their standard
+headers, parts that are used alone, and one-line notices.  A license that contains another's text gives a row for each.
 
 The templates are a parameter (``max_templates`` at most); nothing is shuffled.  A null or empty text has no matches;
 a text of fewer words than a shingle is one shingle, and so is such a template.  Templates without words are refused.
@@ -14,7 +18,9 @@ Overlapping windows with the same template count as one match, the one with the
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +50,11 @@ TEMPLATES = {
 }
 
 
+def registered() -> dict[str, str]:
+    """All fixed texts: TEMPLATES and the data file."""
+    return TEMPLATES | json.loads(Path(__file__).with_name("license_texts.json").read_text(encoding="utf-8"))
+
+
 def collision_probability(similarity: float) -> float:
     return 1 - (1 - similarity**ROWS) ** BANDS
 
@@ -56,6 +67,7 @@ class Index:
             raise ValueError(f"more than {max_templates} templates")
         self.names, self.sets, self.width, self.least = list(templates), [], width, least
         self.classes: dict[tuple[int, int], dict[int, list[int]]] = {}
+        self.fewest: dict[tuple[int, int], int] = {}  # shingles that the templates of a class need at least
         hashes = WordHashes()
         for number, text in enumerate(templates.values()):
             words = hashes.of(plain_words(text.encode()))
@@ -69,7 +81,9 @@ class Index:
             if collision_probability(similarity) < 0.99:
                 raise ValueError(f"{self.names[number]}: windows would be retrieved with less than 0.99")
             self.sets.append(own)
-            table = self.classes.setdefault((size, step if len(words) >= 8 else 1), {})
+            kind = size, step if len(words) >= 8 else 1
+            self.fewest[kind] = min(needed, self.fewest.get(kind, needed))
+            table = self.classes.setdefault(kind, {})
             for key in bands(own):
                 table.setdefault(key, []).append(number)
         self.known = np.unique(np.concatenate(self.sets)) if self.sets else np.zeros(0, np.uint64)
@@ -81,8 +95,12 @@ class Index:
         found: dict[int, list] = {}
         for (size, step), table in self.classes.items() if len(hit) else ():
             span = max(1, size - self.width + 1)
-            starts = np.unique(np.concatenate([np.arange(max(0, -(-(h - span + 1) // step)), h // step + 1) for h in hit])) * step
-            for start in starts.tolist():
+            fewest = max(1, self.fewest[size, step])
+            if len(hit) < fewest:
+                continue
+            starts = np.arange(max(0, -(-(hit[0] - span + 1) // step)), hit[-1] // step + 1) * step
+            inside = np.searchsorted(hit, starts + span) - np.searchsorted(hit, starts)
+            for start in starts[inside >= fewest].tolist():
                 own = np.unique(grams[start : start + span])
                 for number in {n for k in bands(own) for n in table.get(k, ())}:
                     template = self.sets[number]
@@ -122,7 +140,7 @@ def scan(
     max_templates: int = 10_000,
 ) -> DataFrame:
     """(key, license, start, end, containment) of every match; start and end count plain words, end exclusive."""
-    index = Index(TEMPLATES if templates is None else templates, width, least, max_templates)
+    index = Index(registered() if templates is None else templates, width, least, max_templates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
