@@ -487,6 +487,8 @@ UNION ALL SELECT 'fact_alert', (SELECT count(*) FROM alerts)""",
     "stream_volume_per_minute": _with(_GOOD)
     + """SELECT date_trunc('minute', event_ts)::TIMESTAMP AS time, count(*) AS value FROM txn GROUP BY 1
 HAVING time + INTERVAL 1 MINUTE <= (SELECT max(event_ts) FROM txn) - INTERVAL 1 HOUR""",
+    "stream_volume_every_minute": _with(_GOOD)
+    + "SELECT date_trunc('minute', event_ts)::TIMESTAMP AS time, count(*) AS value FROM txn GROUP BY 1",
     "stream_totals_by_channel": _with(_GOOD)
     + f"""SELECT channel, count(*) AS total, count(*) FILTER (WHERE fraud_label = 1) AS fraud,
   {_pct('fraud_label = 1')} AS fraud_pct FROM txn GROUP BY channel""",

@@ -257,3 +257,14 @@ def test_one_fact_per_id_in_stream_and_batch(spark):
     sink(as_messages(spark, [txn("same", 90_000)]), 1)
     run_batch(as_messages(spark, [txn("same", 180_000)]), house, audit=False)
     assert house.facts.count() == 1
+
+
+def test_minutes_that_the_stream_left_out(spark):
+    """An open minute and rows that came after their minute was closed are given by the batch count."""
+    rows = spark.sql("SELECT timestamp_seconds(1700000000 + id * 7) AS event_ts FROM range(100)")
+    every = windows.volume_per_minute(rows)
+    counts = {r.time: r.value for r in every.collect()}
+    late, *_, still_open = sorted(counts)
+    closed = every.filter(F.col("time") != F.lit(still_open)).withColumn("value", F.col("value") - (F.col("time") == F.lit(late)).cast("int"))
+    rest = {r.time: r.value for r in windows.rest_per_minute(rows, closed).collect()}
+    assert rest == {late: 1, still_open: counts[still_open]}

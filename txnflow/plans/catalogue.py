@@ -636,12 +636,13 @@ def _run(query):
 
 
 def _stream_into(spark, d, start):
-    """Deliver the messages in two halves, running the stream to the end of each."""
+    """Deliver the messages in two halves, running the stream to the end of each; the folder they were delivered to."""
     folder = scratch_table(spark, "topic")
     sent, parts = _halves(spark, d)
     for part in parts:
         sent.filter(part).select("value").write.mode("append").text(folder)
         _run(start(messages.file_stream(spark, folder)))
+    return folder
 
 
 def _streamed_house(spark, d, cfg) -> Warehouse:
@@ -684,8 +685,8 @@ def stream_late_rows(spark, d):
     return _fact_verdicts(house)
 
 
-def stream_volume_per_minute(spark, d):
-    """Final minutes only: those the watermark has closed, then the rest in batch."""
+def _closed_minutes(spark, d) -> tuple[DataFrame, str]:
+    """The minutes that the watermark has closed, and the folder of the delivered messages."""
     out, checkpoint = scratch_table(spark, "minutes"), scratch_table(spark, "checkpoint")
 
     def start(stream):
@@ -693,8 +694,20 @@ def stream_volume_per_minute(spark, d):
         writer = counts.writeStream.outputMode("append").format("parquet").option("path", out)
         return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    _stream_into(spark, d, start)
-    return spark.read.parquet(out)
+    folder = _stream_into(spark, d, start)
+    return spark.read.parquet(out), folder
+
+
+def stream_volume_per_minute(spark, d):
+    """Final minutes only: those the watermark has closed; ``stream_volume_every_minute`` has all."""
+    return _closed_minutes(spark, d)[0]
+
+
+def stream_volume_every_minute(spark, d):
+    """The minutes the watermark has closed, then the rest in batch: open minutes and late rows."""
+    closed, folder = _closed_minutes(spark, d)
+    rest = windows.rest_per_minute(windows.accepted(messages.file_messages(spark, folder)), closed)
+    return closed.unionByName(rest).groupBy("time").agg(F.sum("value").alias("value"))
 
 
 def stream_totals_by_channel(spark, d):
@@ -819,6 +832,7 @@ QUERIES = {
         stream_cascade_with_geo,
         stream_late_rows,
         stream_volume_per_minute,
+        stream_volume_every_minute,
         stream_totals_by_channel,
         stream_keyed_cascade,
     )

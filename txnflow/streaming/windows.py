@@ -25,6 +25,13 @@ def volume_per_minute(rows: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return counts.select(utc_time(F.col("window.start")).alias("time"), "value")
 
 
+def rest_per_minute(rows: DataFrame, closed: DataFrame) -> DataFrame:
+    """What the stream has not given: open minutes and rows later than the watermark; ``rows`` is all that was delivered."""
+    given = closed.groupBy("time").agg(F.sum("value").alias("given"))
+    left = F.col("value") - F.coalesce("given", F.lit(0))
+    return volume_per_minute(rows).join(given, "time", "left").select("time", left.alias("value")).filter("value > 0")
+
+
 def totals_by_channel(rows: DataFrame) -> DataFrame:
     """For update mode: running totals per channel."""
     fraud = F.count_if(F.col("fraud_label") == 1)
