@@ -1,15 +1,15 @@
-"""Substring dedup by seed and extend.
+"""Substring dedup by seeds and runs of words around them.
 
 A repeat is a run of at least ``length`` words that also occurs in a document with a smaller id.  Seeds are hashes of
 ``seed`` consecutive words, winnowed: of the seeds in a run of ``length`` words the smallest is taken.  So equal runs
-have equal seeds, and only seeds that two documents share can belong to a repeat.  Around such a seed the text is
-extended both ways, as far as runs of ``length`` words that hold it reach; runs with equal words are brought together
-by their hashes, and overlapping ones that have an earlier document merge to maximal repeats.
+have equal seeds, and only seeds that two documents share can belong to a repeat.  The runs
+of ``length`` words that hold such a seed are brought together by their 64-bit hashes, which takes the place of an
+extension word by word; overlapping ones that have an earlier document merge to maximal repeats.
 
 Documents are dealt to slices by a hash of their id; a slice holds about ``slice_bytes`` of text however large the
 input is.  Within a slice equal seeds, and equal runs, are reduced to that of the smallest id before they move: a
 passage that a third of all documents share costs a row per slice.  The texts are shuffled once, their slices read
-three times (seeds, extension, removal).  No pairs of documents are formed.
+three times (seeds, runs, removal).  No pairs of documents are formed.
 
 Words are taken unchanged.  A null text has none.  A null id takes no part: nothing is removed from such a row, and it
 is no source.  Rows with one id do not remove from each other.
