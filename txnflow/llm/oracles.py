@@ -133,4 +133,30 @@ SELECT doc_id, leaf, subroots.d AS subroot, u{len(LEVELS)}.d AS root, sha256(b.p
 FROM leaves JOIN subroots USING (s) JOIN b{len(LEVELS)} b USING (r) CROSS JOIN u{len(LEVELS)}
 """
 
-ORACLES: dict[str, str] = {"op1_url_filter": URL_FILTER, "op5_secret_scan": SECRET_SCAN, "op11_merkle_manifest": MERKLE}
+TERMS = f"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+LEXICAL_SEARCH = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {TERMS} AS terms FROM documents
+), asked AS (
+  SELECT DISTINCT item_id, unnest({TERMS}) AS term FROM benchmark
+), counted AS (
+  SELECT count(*) AS documents, sum(len(terms))::BIGINT AS all_terms FROM d WHERE len(terms) > 0
+), found AS (
+  SELECT r, any_value(doc_id) AS doc_id, term, count(*) AS tf, any_value(n) AS n
+  FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM asked) GROUP BY r, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(documents) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM found, counted GROUP BY term
+), scored AS (
+  SELECT item_id, doc_id, r,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * documents) // all_terms))))::BIGINT AS score
+  FROM asked JOIN found USING (term) JOIN weights USING (term), counted GROUP BY item_id, doc_id, r
+)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op1_url_filter": URL_FILTER, "op5_secret_scan": SECRET_SCAN, "op11_merkle_manifest": MERKLE, "op13_lexical_search": LEXICAL_SEARCH}

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from txnflow.llm import (
     decontaminate,
+    kneser_ney,
     language,
+    lexical,
     licenses,
     merkle,
     near_duplicates,
@@ -108,6 +110,16 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], claimed=shortened, doubt=doubt)
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 10, 0)
+    return kneser_ney.scores(docs, kneser_ney.fit(docs.filter(~out)), held_out=out)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_near_dedup": op2_near_dedup,
@@ -120,4 +132,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_lm_scoring": op12_lm_scoring,
+    "op13_lexical_search": op13_lexical_search,
 }
