@@ -32,8 +32,14 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that the named column holds about ``max_bytes`` in each (one row at least)."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 << 20, owner: str = ""
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the named column holds about ``max_bytes`` in each (one row at least).
+
+    ``owner`` is whose memory the process keeps (:func:`process_memory`).
+    """
+    process_memory(owner)
     for batch in batches:
         sizes = np.array(pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist(), dtype=np.int64)
         block = (np.cumsum(sizes) - sizes) // max_bytes
@@ -42,9 +48,17 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 <<
             yield batch.slice(lo, hi - lo)
 
 
-def process_memory() -> dict:
-    """A dictionary that outlives the task: that of a module which exists in the worker process only."""
-    return sys.modules.setdefault("_txnflow_memory", ModuleType("_txnflow_memory")).__dict__
+def process_memory(owner: str) -> dict:
+    """A dictionary that outlives the task: that of a module which exists in the worker process only.
+
+    One operator's at a time, or what one leaves behind would stand beside the next one's for as long as Spark uses the
+    process again.
+    """
+    memory = sys.modules.get("_txnflow_memory")
+    if memory is None or memory.owner != owner:
+        memory = sys.modules["_txnflow_memory"] = ModuleType("_txnflow_memory")
+        memory.owner = owner
+    return memory.__dict__
 
 
 class WordHashes(dict):

@@ -1,4 +1,4 @@
-"""Connected components of links, by the smallest label with pointer jumping."""
+"""Connected components of links, by hooking to the smallest neighbour and contraction."""
 
 from __future__ import annotations
 
@@ -11,18 +11,33 @@ from txnflow.session import stored
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every end of the links (a, b); label is the smallest node reachable.
 
-    A round gives each node the smallest label of its neighbours, then the label of its label, so paths shorten by
-    more than half.  Tables of a round are written; labels of a node with many links are combined before the shuffle,
-    and its links are joined with a table that has one row per node, which Spark can split.
+    Every node hooks to the smallest of its neighbours and itself, which gives trees with their smallest node as root;
+    pointers jump until each node knows its root, as many steps as the depth has binary digits.  The roots are the
+    nodes of the next round, with the links between their trees.  A root that nobody hooked to has a neighbour whose
+    tree has a smaller root, so it hooks in the round after: the nodes left halve at least in every two rounds.
+
+    Tables of a step are written.  The neighbours of a node with many links are combined before the shuffle, and its
+    links are joined with a table of one row per node, which Spark can split.
     """
-    both = links.filter("a <> b").select("a", "b").union(links.filter("a <> b").select("b", "a")).distinct()
-    both = stored(both, "links")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels")
+    links = links.filter("a <> b").select("a", "b")
+    edges = stored(links.union(links.select("b", "a")).distinct(), "links")
+    labels = None
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        lower = stored(labels.join(near, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("old")), "labels")
-        top = lower.select(F.col("node").alias("label"), F.col("label").alias("top"))
-        labels = stored(lower.join(top, "label").select("node", F.col("top").alias("label"), "old"), "labels")
-        if labels.filter("label <> old").isEmpty():
-            return labels.select("node", "label")
-        labels = labels.select("node", "label")
+        up = edges.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("up"))
+        up = stored(up.withColumn("moved", F.lit(True)), "trees")
+        while not up.filter("moved").isEmpty():
+            above = up.select(F.col("node").alias("up"), F.col("up").alias("next"))
+            up = up.join(above, "up").select("node", F.col("next").alias("up"), (F.col("next") != F.col("up")).alias("moved"))
+            up = stored(up, "trees")
+        up = up.drop("moved")
+        if labels is None:
+            labels = up.withColumnRenamed("up", "label")
+        else:
+            new = labels.join(up.withColumnRenamed("node", "label"), "label", "left")
+            labels = stored(new.select("node", F.coalesce("up", "label").alias("label")), "labels")
+        for end in ("a", "b"):
+            edges = edges.join(up.select(F.col("node").alias(end), F.col("up").alias(f"{end}_up")), end)
+        left = edges.filter("a_up <> b_up").select(F.col("a_up").alias("a"), F.col("b_up").alias("b"))
+        edges = stored(left.distinct(), "links")
+        if edges.isEmpty():
+            return labels

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from txnflow.llm.common import WordHashes, byte_texts, gram_hashes, members, mix, plain_words, slices
+from txnflow.llm.common import WordHashes, byte_texts, gram_hashes, members, mix, plain_words, process_memory, slices
 
 WALKS, TABLES, SAMPLES = 16, 6, 2
 PIECE, STRIDE, MOST_HITS = 50, 5, 1 << 22
@@ -248,6 +248,7 @@ def contaminated(text: Column, index: Index) -> Column:
 
     @F.arrow_udf(BooleanType())
     def held(texts: pa.Array) -> pa.Array:
+        process_memory("")
         flags = np.zeros(len(texts), bool)
         for lo in range(0, len(texts), 200):
             own = [hashes.of(plain_words(t)) for t in byte_texts(texts.slice(lo, 200))]

@@ -279,11 +279,11 @@ def scores(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        remembered = process_memory()
-        if remembered.get("kneser-ney", (None,))[0] != model.folder:
-            remembered["kneser-ney"] = (model.folder, model.open())
-        opened = remembered["kneser-ney"][1]
-        for batch in slices(batches, "text", SLICE):
+        remembered = process_memory(model.folder)
+        if "opened" not in remembered:
+            remembered["opened"] = model.open()
+        opened = remembered["opened"]
+        for batch in slices(batches, "text", SLICE, model.folder):
             part = Slice.of(byte_texts(batch.column("text")))
             known, base, score = opened.score(part)
             arrays = [batch.column("key"), batch.column("held_out"), part.sizes, known, np.full(len(known), model.tokens), base, score]

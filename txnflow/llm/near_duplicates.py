@@ -4,13 +4,14 @@ A document's set are its distinct shingles of ``width`` words, A-Z lower-cased;
 the one shingle; without words it is empty and linked with nothing.  Documents are linked if their sets have a
 similarity (intersection by union) of ``similar`` per cent or more; the result are the connected components.
 
-1. Documents with equal sets form a class, represented by its smallest id.
-2. A representative has a signature of POSITIONS minima, 16 bits each.  The first CHUNKS x CHUNK of them are the index:
+1. Documents with equal sets form a class.  Classes, not ids, are what is indexed, compared and linked, so rows with one
+   id and different texts have the links of each.
+2. A class has a signature of POSITIONS minima, 16 bits each.  The first CHUNKS x CHUNK of them are the index:
    each chunk is entered under every key that leaves one position out, so two signatures that differ in at most one
    position of some chunk meet.  By the pigeonhole principle that is every pair that differs in at most
    2 * CHUNKS - 1 = 19 of the 50 positions.  At a similarity of 0.8 the expected number is 10, and a pair misses all
    keys with probability 2e-6.
-3. Keys that only one representative has are dropped.  Every other member of a key is compared with its smallest one,
+3. Keys that only one class has are dropped.  Every other member of a key is compared with its smallest one,
    and links give components.
 4. Keys whose members still belong to several components are settled: members outside the largest component are
    compared with all members of other components, in blocks.  A pair is taken up under its first common key only, and
@@ -20,8 +21,7 @@ similarity (intersection by union) of ``similar`` per cent or more; the result a
 5. All links are confirmed on the full sets.
 
 A class, key or document that a third of all rows share is combined before the shuffle, or joined with a table of one
-row per key, which Spark splits.  Rows with a null id take no part and keep a null component.  If rows with one id
-have different texts, each is classed by its own text, and one of them is compared.
+row per key, which Spark splits.  Rows with a null id take no part and keep a null component.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnflow.llm.common import WordHashes, byte_texts, gram_hashes, mix, possible_members, slices
@@ -104,7 +104,7 @@ def _lowered(batch: pa.RecordBatch, hashes: WordHashes) -> Iterator[np.ndarray]:
 
 
 def _describe(rows: DataFrame, width: int) -> DataFrame:
-    """(key, n, digest of the set, signature)."""
+    """(key, content, n, digest of the set, signature)."""
 
     def run(batches):
         hashes = WordHashes()
@@ -112,13 +112,14 @@ def _describe(rows: DataFrame, width: int) -> DataFrame:
             sets = [shingles(w, width) for w in _lowered(batch, hashes)]
             columns = [
                 batch.column("key"),
+                batch.column("content"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.astype("<u8").tobytes()) for s in sets], pa.binary()),
                 pa.array([signature(s).astype("<u2").tobytes() if len(s) else None for s in sets], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "n", "digest", "signature"])
+            yield pa.RecordBatch.from_arrays(columns, ["key", "content", "n", "digest", "signature"])
 
-    return rows.mapInArrow(run, "key long, n long, digest binary, signature binary")
+    return rows.mapInArrow(run, "key long, content long, n long, digest binary, signature binary")
 
 
 def _sets(rows: DataFrame, width: int) -> DataFrame:
@@ -238,22 +239,34 @@ def _across(buckets: DataFrame, labels: DataFrame, signatures: DataFrame, sets:
     return joined.select("number", "one", "other").mapInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, similar: int = 80) -> DataFrame:
-    """(key, n_shingles, component_id, kept) of every row; kept is the smallest id of a component, or a null id."""
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+def content(text: Column) -> Column:
+    """With the id, names a row's text."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, similar: int = 80) -> DataFrame:
+    """(key, content, n, group, component_id) of every row.
+
+    Rows of one group are near duplicates; ``component_id`` is its smallest id.  The group is null where a row takes no
+    part: it has no id or no words.
+    """
+    rows = docs.select(F.col(key).cast("long").alias("key"), content(F.col(text)).alias("content"), F.col(text).alias("text"))
     described = stored(_describe(rows, width), "signatures")
     known = described.filter("key is not null and n > 0")
-    classes = stored(known.groupBy("digest").agg(F.min("key").alias("first")), "classes")
-    chosen = known.join(classes, (known.digest == classes.digest) & (known.key == classes["first"])).select("key", "signature")
-    signatures = stored(chosen.dropDuplicates(["key"]), "representatives")
+    best = F.min(F.struct("key", "content")).alias("best")
+    classes = known.groupBy("digest").agg(best, F.first("signature").alias("signature"))
+    classes = classes.select("digest", "best.*", "signature", F.monotonically_increasing_id().alias("node"))
+    classes = stored(classes, "classes")
+    signatures = classes.select(F.col("node").alias("key"), "signature")
 
     entered = _enter(signatures)
     shared = entered.groupBy("bucket", "number").agg(F.min("key").alias("pivot"), F.count("*").alias("n"))
     shared = stored(shared.filter("n > 1").select("bucket", "number", "pivot"), "shared-keys")
     buckets = stored(entered.join(shared, ["bucket", "number"]), "buckets")
-    wanted = stored(buckets.select("key").distinct(), "bucket-members")
-    texts = possible_members(rows, F.col("key"), wanted).filter("_possible").drop("_possible")
-    texts = texts.join(wanted, "key").dropDuplicates(["key"])
+    wanted = buckets.select(F.col("key").alias("node")).distinct().join(classes, "node")
+    wanted = stored(wanted.select(F.xxhash64("key", "content").alias("mark"), "key", "content", "node"), "bucket-members")
+    texts = possible_members(rows, F.xxhash64("key", "content"), wanted.select("mark")).filter("_possible")
+    texts = texts.join(wanted, ["key", "content"]).select(F.col("node").alias("key"), "text").dropDuplicates(["key"])
     sets = stored(_sets(texts, width), "sets")
 
     star = buckets.filter("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
@@ -266,17 +279,25 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
         more = more.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label")), c, "left")
     merged = components(more.select(of("a"), of("b")))
     last = labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("last")), "label", "left")
-    last = last.select("node", F.coalesce("last", "label").alias("last"))
-    lone = merged.join(labels, "node", "left_anti").select("node", F.col("label").alias("last"))
-    final = stored(last.union(lone), "components")
-
-    known = classes.join(final.withColumnRenamed("node", "first"), "first", "left")
-    known = stored(known.select("digest", F.coalesce("last", "first").alias("component_id")), "class-components")
-    result = described.select("key", "digest", "n").join(known, "digest", "left")
-    component = F.when(F.col("key").isNotNull(), F.coalesce("component_id", "key"))
+    last = last.select("node", F.coalesce("last", "label").alias("group"))
+    lone = merged.join(labels, "node", "left_anti").select("node", F.col("label").alias("group"))
+    grouped = classes.select("digest", "node", "key").join(last.union(lone), "node", "left")
+    grouped = stored(grouped.select("digest", "key", F.coalesce("group", "node").alias("group")), "groups")
+    smallest = grouped.groupBy("group").agg(F.min("key").alias("component_id"))
+    known = stored(grouped.select("digest", "group").join(smallest, "group"), "class-groups")
+    result = described.select("key", "content", "n", "digest").join(known, "digest", "left")
+    own = F.col("key").isNotNull()
     return result.select(
-        F.col("key").alias(key),
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.coalesce(F.col("key") == component, F.lit(True)).alias("kept"),
+        "key",
+        "content",
+        "n",
+        F.when(own, F.col("group")).alias("group"),
+        F.when(own, F.coalesce("component_id", "key")).alias("component_id"),
     )
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, similar: int = 80) -> DataFrame:
+    """(key, n_shingles, component_id, kept) of every row; kept is the smallest id of a component, or a null id."""
+    found = groups(docs, text, key, width, similar)
+    kept = F.coalesce(F.col("key") == F.col("component_id"), F.lit(True))
+    return found.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))

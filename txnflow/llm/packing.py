@@ -230,7 +230,7 @@ def pack(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        remembered = process_memory()
+        remembered = process_memory("packing")
         if ("encoder", tokenizer, memory) not in remembered:
             remembered["encoder", tokenizer, memory] = WordEncoder(tokenizer, memory)
         encoder, packer = remembered["encoder", tokenizer, memory], SumOfSquares(capacity, max_open)
@@ -257,7 +257,7 @@ def pack(
             held += offset
             sequence += 1
 
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 2 << 20, "packing"):
             key_arrow = batch.schema.field("key").type
             texts = byte_texts(batch.column("text"))
             for doc, ids in zip(batch.column("key").to_pylist(), encoder.encode(texts), strict=True):

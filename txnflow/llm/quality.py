@@ -21,6 +21,7 @@ from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
 from txnflow.llm import boosting
 from txnflow.llm.boosting import Trees
+from txnflow.llm.common import process_memory
 
 SAMPLE = 20_000
 MOST_CODES = 2_000_000
@@ -132,6 +133,7 @@ def score(text: Column, model: Trees) -> Column:
 
     @F.arrow_udf(DoubleType())
     def scored(texts: pa.Array) -> pa.Array:
+        process_memory("")
         rows = [statistics(t.as_py() or b"") for t in texts.cast(pa.binary())]
         x = np.array(rows, np.float32).reshape(-1, len(FEATURES))
         return pa.array(model.score(x), pa.float64())

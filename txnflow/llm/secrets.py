@@ -1,8 +1,9 @@
 """Secret scans with an incremental ledger of blobs.
 
 Every version of a text is addressed by its content (sha256).  The ledger, a folder of two Parquet tables, records
-which (blob, rule version) pairs have been scanned and the spans found.  A scan reads the text of those blobs only for
-which a pair is missing, once per blob however many paths hold it, and the findings are joined back to all paths.
+which (blob, rule version) pairs have been scanned and the spans found.  A scan moves and reads the text of those blobs
+only for which a pair is missing, once per blob however many paths hold it, and the findings are joined back to all
+paths.  A rule whose pattern changes is a new one.
 
 All of it is DataFrame functions.  Texts of one blob are combined before the shuffle, so a blob that a third of all
 paths hold costs one row per task.  Positions come from the lengths of matches and of the text between them.
@@ -13,6 +14,7 @@ A null text is the empty blob.  Repeated paths give repeated rows.  An empty tab
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -36,7 +38,9 @@ class Rule:
 
     @property
     def id(self) -> str:
-        return f"{self.kind}@{self.version}"
+        """Changes with everything that decides what is found."""
+        own = f"{self.pattern}\0{self.least}\0{self.measured}"
+        return f"{self.kind}@{self.version}:{hashlib.sha256(own.encode()).hexdigest()[:16]}"
 
 
 #: Fixed patterns, in the order in which spans of one start are listed.
@@ -99,16 +103,14 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text
     ids = F.array(*[F.lit(r.id) for r in rules])
     blobs = versions.select(blob_id(F.col(text)).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     known = read_ledger(spark, marks, SCANNED).filter(F.array_contains(ids, F.col("rule")))
-    if known.isEmpty():
-        todo = lambda rows: rows.withColumn("todo", ids)
-    else:
-        done = known.groupBy("blob").agg(F.collect_set("rule").alias("done"))
-        left = F.array_except(ids, F.coalesce("done", F.array().cast("array<string>")))
-        todo = lambda rows: rows.join(done, "blob", "left").withColumn("todo", left).filter("size(todo) > 0")
-    unseen = todo(blobs.groupBy("blob").agg(F.first("text").alias("text")))
+    done = known.groupBy("blob").agg(F.collect_set("rule").alias("done"))
+    left = F.array_except(ids, F.coalesce("done", F.array().cast("array<string>")))
+    todo = blobs.select("blob").distinct().join(done, "blob", "left").select("blob", left.alias("todo"))
+    todo = stored(todo.filter("size(todo) > 0"), "blobs-to-scan")
+    unseen = possible_members(blobs, F.col("blob"), todo.select("blob")).filter("_possible")  # texts of others do not move
+    unseen = unseen.groupBy("blob").agg(F.first("text").alias("text")).join(todo, "blob")
     find_spans(unseen, rules).write.mode("append").parquet(findings)
-    new = todo(blobs.select("blob").distinct()).select("blob", F.explode("todo").alias("rule"))
-    new.write.mode("append").parquet(marks)
+    todo.select("blob", F.explode("todo").alias("rule")).write.mode("append").parquet(marks)
 
 
 def findings(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
