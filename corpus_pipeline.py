@@ -24,16 +24,21 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; repeated rows once."""
-    found = stored(near_duplicates.near_duplicates(docs).select("doc_id", "kept"), "near-duplicates")
-    kept = found.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
-    dropped = found.filter("not kept").select("doc_id")
-    rows = possible_members(docs, F.col("doc_id"), dropped)
-    left = rows.filter("_possible").join(kept, "doc_id", "left_semi").select(docs.columns)
-    left = left.unionByName(rows.filter("not _possible").select(docs.columns))  # these are not shuffled
-    if not kept.filter("n > 1").isEmpty():  # ids that stand in several rows
-        left = left.dropDuplicates(["doc_id", "text"])
-    return left
+    """One row of each group of near duplicates: that with the smallest id, then content; all rows of no group."""
+    grouped = near_duplicates.groups(docs).filter("group is not null")
+    texts = stored(grouped.groupBy("group", "key", "content").agg(F.count("*").alias("n")), "near-duplicates")
+    best = texts.groupBy("group").agg(F.min(F.struct("key", "content")).alias("best"))
+    stays = F.struct("key", "content") == F.col("best")
+    texts = texts.join(best, "group").select("key", "content", F.xxhash64("key", "content").alias("mark"), stays.alias("stays"), "n")
+    some_go = stored(texts.filter("not stays or n > 1"), "texts-that-go")  # a row that occurs often stays once
+    content = near_duplicates.content(F.col("text"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key"), content.alias("content"))
+    rows = possible_members(rows, F.xxhash64("key", "content"), some_go.select("mark"))
+    possible = rows.filter("_possible").drop("_possible")
+    left = possible.join(some_go, ["key", "content"], "left_anti")
+    once = possible.join(some_go.filter("stays"), ["key", "content"], "left_semi").dropDuplicates(["key", "content"])
+    rest = rows.filter("not _possible").drop("_possible")  # these are not shuffled
+    return left.unionByName(once).unionByName(rest).select("row.*")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,10 +50,13 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced by a mark."""
     ledger = scratch_table(spark, "secret-ledger")
-    secrets.scan(docs, ledger)
-    found = secrets.findings(docs, ledger).withColumn("text", secrets.redacted(F.col("text"), F.col("_spans")))
-    changed = F.when(F.size("_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumn("n_chars", changed).select(docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
+    secrets.scan(rows, ledger)
+    found = secrets.findings(rows, ledger)
+    size = F.when(F.size("_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    found = found.withColumn("text", secrets.redacted(F.col("text"), F.col("_spans")))
+    changed = {"text": F.col("text"), "n_chars": size}
+    return found.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
