@@ -42,7 +42,7 @@ from txnflow.session import scratch_table, stored
 
 START, END = xxhash.xxh64_intdigest(b"start of a text"), xxhash.xxh64_intdigest(b"end of a text")  # no words: they hold spaces
 FALLBACK = (0.5, 1.0, 1.5)
-SLICE = 16 << 20
+SLICE = 12 << 20
 ESCAPE = 255
 
 
@@ -67,17 +67,17 @@ class Slice:
     def of(cls, texts: list[bytes]) -> Slice:
         ids = LocalIds()
         number = ids.__getitem__
-        own = [np.fromiter(map(number, w), np.int64, len(w)) for w in (t.lower().split() for t in texts)]  # A-Z alone
+        own = [np.fromiter(map(number, w), np.int32, len(w)) for w in (t.lower().split() for t in texts)]  # A-Z alone
         sizes = np.array([len(o) for o in own], np.int64)
-        flat, ends = np.concatenate([*own, np.zeros(0, np.int64)]), np.cumsum(sizes)
+        flat, ends = np.concatenate([*own, np.zeros(0, np.int32)]), np.cumsum(sizes)
         words = np.fromiter((START, END, *map(xxhash.xxh64_intdigest, ids)), np.uint64, len(ids) + 2)
         return cls(words, np.insert(flat, ends - sizes, 0), np.insert(flat, ends, 1), sizes + 1)
 
     def pairs(self, inverse: bool = False) -> tuple:
-        """The distinct pairs (left, right), and how often each occurs or which one each token ends."""
+        """The distinct pairs as places (left, right), and how often each occurs or which one each token ends."""
         n = len(self.words)
-        found = np.unique(self.left * n + self.right, return_counts=not inverse, return_inverse=inverse)
-        return self.words[found[0] // n], self.words[found[0] % n], found[1]
+        found = np.unique(self.left.astype(np.int64) * n + self.right, return_counts=not inverse, return_inverse=inverse)
+        return found[0] // n, found[0] % n, found[1]
 
 
 def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -187,12 +187,8 @@ class Model:
         lower = np.maximum(discounted(before, self.word_discounts), 0) / max(1, self.pairs) + self.word_share / (self.vocabulary + 1)
         with np.errstate(invalid="ignore", divide="ignore"):
             left_over = np.where(context > 0, sum(d * n for d, n in zip(self.pair_discounts, follow, strict=True)) / context, 1.0)
-        left, right, which = part.pairs(inverse=True)
-        counts = self.pair_counts(pair_keys(left, right))
-        n = len(part.words)
-        first = np.zeros(len(counts), np.int64)
-        first[which] = part.left * n + part.right
-        v, w = first // n, first % n
+        v, w, which = part.pairs(inverse=True)
+        counts = self.pair_counts(pair_keys(part.words[v], part.words[w]))
         own = np.maximum(discounted(counts, self.pair_discounts), 0) / np.maximum(context[v], 1)
         logs = np.log10(own + left_over[v] * lower[w])
         known = np.add.reduceat((count[part.right] > 0).astype(np.int64), starts)
@@ -209,7 +205,9 @@ def fit(docs: DataFrame, text: str = "text", shard_bytes: int = 256 << 20) -> Mo
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
-            left, right, n = Slice.of(byte_texts(batch.column("text"))).pairs()
+            part = Slice.of(byte_texts(batch.column("text")))
+            left, right, n = part.pairs()
+            left, right = part.words[left], part.words[right]
             out = [(s, packed(left[at]), packed(right[at]), packed(n[at].astype("<u8"))) for s, at in by_shard(pair_keys(left, right), bits)]
             kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
             columns = zip(*out, strict=True) if out else [[]] * 4

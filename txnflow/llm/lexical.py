@@ -48,7 +48,7 @@ def weight(documents: int, holders: int) -> int:
 
 def length_norm(terms: int, documents: int, all_terms: int) -> int:
     """Ten and ninety times the document's terms over the mean."""
-    return 100 - 90 + 90 * terms * documents // all_terms
+    return 100 - 90 + 90 * terms * documents // max(1, all_terms)
 
 
 def share(count: np.ndarray, norm: np.ndarray) -> np.ndarray:
