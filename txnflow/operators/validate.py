@@ -47,9 +47,9 @@ def valid(validated: DataFrame) -> DataFrame:
     return validated.filter(F.size(REASONS) == 0).drop(REASONS)
 
 
-def dead_letters(validated: DataFrame) -> DataFrame:
+def dead_letters(validated: DataFrame, *carry: str) -> DataFrame:
     """Rejected messages as received, with the reasons."""
-    keep = [c for c in ("key", "value", "loaded_at") if c in validated.columns]
+    keep = [c for c in ("key", "value", "loaded_at", *carry) if c in validated.columns]
     return validated.filter(F.size(REASONS) > 0).select("transaction_id", *keep, REASONS)
 
 

@@ -7,36 +7,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from txnflow.config import DEFAULT_RULES, RuleConfig
-from txnflow.functions import date_key, event_millis, local_time, utc_time
+from txnflow.functions import date_key, utc_time
 from txnflow.operators.context import split_maintenance, tag_context
 from txnflow.operators.dims import dim_calendar, dim_time
 from txnflow.operators.enrich import enrich_customers
 from txnflow.operators.facts import alert_messages, audit_log, fact_alert, fact_txn
-from txnflow.operators.rules import (
-    ACCOUNT,
-    HISTORY,
-    HISTORY_SCHEMA,
-    ID,
-    apply_cascade,
-    has_history,
-    lookback_ms,
-    single_pass,
-)
-from txnflow.operators.tables import (
-    absent_rows,
-    append,
-    archive_raw,
-    has_data,
-    insert_if_absent,
-    insert_new,
-    read_current,
-    read_or_empty,
-    upsert,
-)
-from txnflow.operators.timeblocks import BLOCK, block_length, block_of, first_per_instant
+from txnflow.operators.history import History
+from txnflow.operators.ids import IdIndex, Insert, insert_once
+from txnflow.operators.rules import ID, apply_cascade, single_pass
+from txnflow.operators.tables import archive_raw, insert_new, read_current, read_or_empty, upsert
 from txnflow.operators.validate import dead_letters, dedupe_transactions, keep_rejected_text, valid, validate
 from txnflow.schemas import DIM_CALENDAR, DIM_CUSTOMER, DIM_TIME, FACT_ALERT, FACT_TXN
 from txnflow.session import stored
@@ -64,10 +46,25 @@ class Warehouse:
         return read_or_empty(self.spark, self.path("fact_alert"), FACT_ALERT)
 
     @property
-    def history(self) -> DataFrame:
-        """What the rules read of the rows of earlier runs, by event date."""
-        schema = T.StructType([*HISTORY_SCHEMA.fields, T.StructField("event_date", T.DateType())])
-        return read_or_empty(self.spark, self.path("history"), schema)
+    def history(self) -> History:
+        """What the rules read of the rows of earlier runs."""
+        return History(self.spark, self.path("history"))
+
+    def ids(self, of: str) -> IdIndex:
+        """The ids that tables hold: of ``facts`` (with alerts and audit trail), ``letters``, ``held`` or ``replayed``."""
+        return IdIndex(self.spark, self.path(f"ids_of_{of}"))
+
+    @property
+    def fact_tables(self) -> dict[str, tuple[str, str]]:
+        keys = {"fact": ("fact_txn", ID), "alert": ("fact_alert", "alert_id"), "audit": ("audit_log", "txn_id")}
+        return {kind: (self.path(table), key) for kind, (table, key) in keys.items()}
+
+    @property
+    def letters(self) -> DataFrame:
+        """Dead letters with their position in the table."""
+        rows = self.spark.read.parquet(self.path("dead_letter"))
+        position = F.concat_ws(":", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))
+        return rows.select("*", position.alias("position"))
 
     @property
     def customers(self) -> DataFrame:
@@ -89,74 +86,35 @@ class Warehouse:
 
 
 def store_facts(
-    scored: DataFrame, house: Warehouse, cfg: RuleConfig = DEFAULT_RULES, prune: bool = False
+    scored: DataFrame, house: Warehouse, cfg: RuleConfig = DEFAULT_RULES, audit: bool = False, load: str | None = None
 ) -> None:
-    """Insert facts and alerts that are not there yet; one scored row per id."""
-    options = {"prune": prune, "unique": True}
-    insert_if_absent(fact_txn(scored, cfg), house.path("fact_txn"), "transaction_id", "date_id", **options)
+    """Insert facts and alerts, and their trail, that are not there yet; one scored row per id."""
     alerts = fact_alert(scored).withColumn("detected_date", date_key("detected_at"))
-    insert_if_absent(alerts, house.path("fact_alert"), "alert_id", "detected_date", **options)
+    inserts = [
+        Insert("fact", fact_txn(scored, cfg), ID, house.path("fact_txn"), "date_id"),
+        Insert("alert", alerts, "alert_id", house.path("fact_alert"), "detected_date"),
+    ]
+    if audit:
+        inserts.append(Insert("audit", audit_log(scored), "txn_id", house.path("audit_log"), ids=scored.select(ID)))
+    insert_once(house.ids("facts"), inserts, load, house.fact_tables)
 
 
-def store_dead_letters(dead: DataFrame, path: str) -> None:
+def store_dead_letters(dead: DataFrame, house: Warehouse) -> None:
     """One row per rejected message, equal ones as often as they were sent.
 
-    Copies are counted, here and in the table, and those that are missing are
-    added, so a run on the same messages adds none.
+    ``dead`` has the place of each message (``file``, ``at``).  Equal messages are numbered file by file, and so in
+    many tasks; a letter is known by its digest and number, so a run on the same messages adds none.
     """
     content = F.struct(*[c for c in ("key", "value") if c in dead.columns])
     rows = dead.withColumn("digest", F.sha2(F.to_json(content, {"ignoreNullFields": "false"}), 256))
-    row = F.min(F.struct(*dead.columns)).alias("row")
-    sent = rows.groupBy("digest").agg(F.count("*").alias("n"), row)
-    missing = F.col("n")
-    if has_data(dead.sparkSession, path):
-        held = dead.sparkSession.read.parquet(path).groupBy("digest").agg(F.count("*").alias("held"))
-        sent = sent.join(held, "digest", "left")
-        missing = F.col("n") - F.coalesce("held", F.lit(0))
-    sent = sent.withColumn("missing", missing).filter("missing > 0")
-    append(sent.select("digest", "row", F.explode(F.expr("sequence(1, missing)"))).select("row.*", "digest"), path)
-
-
-def _history_between(house: Warehouse, rows: DataFrame, reach_ms: int) -> DataFrame:
-    """History from ``reach_ms`` before the first of the rows to the last; the scan reads these dates only."""
-    # As text: Python's datetime ends with the year 9999.
-    span = rows.agg(F.min("event_ts").cast("string"), F.max("event_ts").cast("string")).first()
-    first, last = (local_time(text) for text in span)
-    first = first - F.make_dt_interval(secs=F.lit(reach_ms / 1000).cast("decimal(18,6)"))
-    dates = F.col("event_date").between(first.cast("date"), last.cast("date"))
-    return house.history.filter(dates & F.col("event_ts").between(first, last))
-
-
-def earlier_rows(house: Warehouse, rows: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
-    """Rows of earlier runs that verdicts of these rows can depend on.
-
-    Only the accounts and time blocks of the rows, and the blocks before them.
-    """
-    reach = lookback_ms(cfg)
-    block = block_of(event_millis("event_ts"), block_length(reach))
-    touched = rows.filter(has_history()).select(ACCOUNT, F.explode(F.array(block, block - 1)).alias(BLOCK)).distinct()
-    near = _history_between(house, rows, reach).withColumn(BLOCK, block)
-    near = near.join(touched, [ACCOUNT, BLOCK], "left_semi")
-    return near.join(rows.select(ID), ID, "left_anti").select(*HISTORY)
-
-
-def keep_history(house: Warehouse, rows: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> None:
-    """Add the rows to the history, those of an earlier attempt left out.
-
-    Later rows of one instant always fire and tell the rules nothing more.
-    """
-    known = _history_between(house, rows, 0).select(ID)
-    new = rows.filter(has_history()).select(*HISTORY).join(known, ID, "left_anti")
-    keep = max(1, cfg.velocity_count - 1)
-    heads = first_per_instant(new.withColumn("t", event_millis("event_ts")), ACCOUNT, keep).drop("t")
-    append(heads.withColumn("event_date", F.to_date("event_ts")), house.path("history"), "event_date")
-
-
-def store_audit(scored: DataFrame, house: Warehouse) -> None:
-    """Add the trail of transactions that have none yet."""
-    path = house.path("audit_log")
-    keyed = scored.withColumn("txn_id", F.col("transaction_id"))
-    append(audit_log(absent_rows(keyed, path, "txn_id", unique=True)), path)
+    files = rows.groupBy("digest", "file").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("digest").orderBy("file")) - F.col("n")  # a row per file
+    files = files.select("digest", "file", before.alias("before"))
+    own = F.row_number().over(Window.partitionBy("digest", "file").orderBy("at"))
+    rows = rows.withColumn("own", own).join(files, ["digest", "file"])
+    letter = F.concat_ws(":", "digest", (F.col("own") + F.col("before")).cast("string"))
+    rows = rows.withColumn("letter_id", letter).drop("file", "at", "own", "before")
+    insert_once(house.ids("letters"), [Insert("letter", rows, "letter_id", house.of_runs("dead_letter"))])
 
 
 def run_batch(
@@ -183,27 +141,26 @@ def run_batch(
     carry = [c for c in ("key", "loaded_at") if c in arrived.columns]
     checked = stored(keep_rejected_text(validate(parse(arrived, *carry))), "validated")
 
-    store_dead_letters(dead_letters(checked), house.of_runs("dead_letter"))
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")]
+    store_dead_letters(dead_letters(checked.select("*", *place), "file", "at"), house)
 
     good = valid(checked).drop("value", "key")
     accepted = stored(dedupe_transactions(good), "accepted")
-    past = earlier_rows(house, accepted, cfg) if single_pass(cfg) else None
+    past = house.history.before(accepted, cfg) if single_pass(cfg) else None
     judged = apply_cascade(tag_context(accepted, cfg), cfg, past)
     loading = accepted
     if hold_maintenance:
         loading, held = split_maintenance(accepted, cfg)
         judged, _ = split_maintenance(judged, cfg)
-        insert_if_absent(held, house.path("held"), "transaction_id", unique=True)
+        insert_once(house.ids("held"), [Insert("held", held, ID, house.path("held"))])
     archive_raw(loading, house.of_runs("raw"))
 
     scored = stored(enrich_customers(judged, house.customers), "scored")
-    store_facts(scored, house, cfg)
+    store_facts(scored, house, cfg, audit)
     publish = publish or (lambda df: df.select("value").write.mode("append").text(house.of_runs("txn_alert")))
     publish(alert_messages(scored))
-    if audit:
-        store_audit(scored, house)
     if single_pass(cfg):
-        keep_history(house, accepted, cfg)
+        house.history.keep(accepted, cfg)
     return scored
 
 
@@ -228,10 +185,18 @@ def release_late(spark: SparkSession, house: Warehouse, *fields: str) -> DataFra
 def replay(dead: DataFrame, raw_path: str | None = None) -> DataFrame:
     """Dead letters as messages again, key and value untouched.
 
-    With ``raw_path`` they are also appended there for the stream to pick up.
+    With ``raw_path`` they are also added there as rows, for ``sources.messages.letter_messages`` or a stream of them.
     """
     key = F.col("key") if "key" in dead.columns else F.lit(None).cast("string")
-    messages = dead.select(key.alias("key"), "value")
+    messages = dead.select(key.cast("string").alias("key"), "value")
     if raw_path is not None:
-        messages.select("value").write.mode("append").text(raw_path)
+        messages.write.mode("append").parquet(raw_path)
     return messages
+
+
+def replay_once(house: Warehouse, raw_path: str) -> None:
+    """Replay the warehouse's dead letters that no replay has sent yet; each is known by its position in the table."""
+    letters = house.letters
+    key = F.col("key") if "key" in letters.columns else F.lit(None).cast("string")
+    rows = letters.select(key.cast("string").alias("key"), "value", "position")
+    insert_once(house.ids("replayed"), [Insert("replayed", rows, "position", raw_path)])

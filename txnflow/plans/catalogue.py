@@ -348,7 +348,7 @@ def dead_letter_replay(spark, d):
     path, raw = scratch_table(spark, "dead_letter"), scratch_table(spark, "raw")
     validate.dead_letters(_validated(spark, d)).write.parquet(path)
     replay(spark.read.parquet(path), raw)
-    again = validate.validate(messages.parse(messages.file_messages(spark, raw)))
+    again = validate.validate(messages.parse(messages.letter_messages(spark, raw)))
     return again.agg(F.count("*").alias("replayed"), F.count_if(F.size("error_reasons") > 0).alias("rejected"))
 
 
@@ -615,7 +615,7 @@ def idempotent_sink(spark, d):
     scored = _scored(warehouse(spark, d))
     house = Warehouse(spark, scratch_table(spark, "house"))
     store_facts(scored, house)
-    store_facts(scored, house, prune=True)
+    store_facts(scored, house)
     return reports.table_counts({"fact_txn": house.facts, "fact_alert": house.alerts})
 
 

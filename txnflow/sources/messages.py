@@ -56,6 +56,18 @@ def file_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.lit(None).cast("string").alias("key"), "value")
 
 
+#: Messages kept as rows, as replayed letters are: a text may hold line ends, and has its key.
+KEPT = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
+
+
+def letter_messages(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(KEPT).parquet(path)
+
+
+def letter_stream(spark: SparkSession, path: str) -> DataFrame:
+    return spark.readStream.schema(KEPT).parquet(path)
+
+
 def parse(messages: DataFrame, *carry: str) -> DataFrame:
     """Message text to one text column per field; keeps ``value``.
 

@@ -8,31 +8,41 @@ batch result, and a hot account is spread over tasks as in batch.
 Late rows wait in ``late`` for ``plans.batch.release_late``; a batch run then
 judges them next to the rows around them, which are kept by event date.
 
-The history has two alternating slots: batch n reads slot n-1 and overwrites
-slot n, so a batch that is retried finds its input unchanged.  Facts and
-alerts are inserted only if absent; the other outputs have a folder per batch.
+The history is the warehouse's, an append-only log (``operators.history``): a batch reads the blocks its rows touch and
+adds its own rows, and a stream with a new checkpoint goes on from what is there.  What a retried batch left behind
+itself is told by its name and does not count.  Facts and alerts are inserted only if absent; the other outputs have a
+folder per batch.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnflow.config import DEFAULT_RULES, RuleConfig
-from txnflow.functions import event_millis, local_time, utc_time
+from txnflow.functions import local_time, utc_time
 from txnflow.operators.context import tag_context
 from txnflow.operators.enrich import enrich_customers
 from txnflow.operators.facts import alert_messages
-from txnflow.operators.rules import ACCOUNT, HISTORY, HISTORY_SCHEMA, apply_cascade, lookback_ms, single_pass
+from txnflow.operators.ids import Insert, held_ids
+from txnflow.operators.rules import ID, apply_cascade, single_pass
 from txnflow.operators.tables import archive_raw, read_or_empty
-from txnflow.operators.timeblocks import first_per_instant
 from txnflow.operators.validate import dead_letters, dedupe_transactions, keep_rejected_text, valid, validate
-from txnflow.plans.batch import Warehouse, keep_history, store_facts
+from txnflow.plans.batch import Warehouse, store_facts
 from txnflow.sources.messages import parse
 
 #: How far a row's time may lie after its arrival and still move the stream's time on.
 CLOCK_TOLERANCE_MS = 86_400_000
 
+STATE = T.StructType(
+    [
+        T.StructField("newest", T.TimestampNTZType()),
+        T.StructField("query", T.StringType()),
+        T.StructField("slot", T.IntegerType()),
+    ]
+)
+
 
 def _interval(milliseconds: int):
     return F.make_dt_interval(secs=F.lit(milliseconds / 1000).cast("decimal(18,6)"))
@@ -55,8 +65,15 @@ class CascadeSink:
         self.house, self.cfg, self.delay_ms = house, cfg, delay_ms
         self.loaded_at, self.publish = loaded_at, publish
 
-    def _slot(self, batch_id: int) -> str:
-        return self.house.path(f"stream_state/slot{batch_id % 2}")
+    def _state(self, query: str, batch_id: int) -> str:
+        return self.house.path(f"stream_state/query={query}/slot={batch_id % 2}")
+
+    def _newest_before(self, query: str, batch_id: int) -> str | None:
+        """The newest event time before this batch; a new query goes on from those before it."""
+        rows = read_or_empty(self.house.spark, self.house.path("stream_state"), STATE)
+        own = F.col("query") == query
+        mine = own & (F.col("slot") == (batch_id - 1) % 2) if batch_id > 0 else ~own
+        return rows.filter(mine).agg(F.max("newest")).first()[0]
 
     def _batch(self, name: str, batch_id: int) -> str:
         return self.house.path(f"{name}/batch_id={batch_id}")
@@ -77,42 +94,36 @@ class CascadeSink:
         checked = self._stage(keep_rejected_text(validate(parsed)), "validated", batch_id)
         self._write(dead_letters(checked), self._batch("dead_letter", batch_id))
 
-        history = spark.createDataFrame([], HISTORY_SCHEMA)
-        if batch_id > 0:
-            history = read_or_empty(spark, self._slot(batch_id - 1), HISTORY_SCHEMA)
-        newest = newest_time(history)
+        # The same for a batch that is tried again, and another for each checkpoint.
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        run = f"{query}-{batch_id}"
+        newest = self._newest_before(query, batch_id)
         rows = valid(checked).drop("value", "key")
         if newest is not None:
             late = F.col("event_ts") < local_time(newest) - _interval(self.delay_ms)
             self._write(rows.filter(late), self._batch("late", batch_id))
             rows = rows.filter(~late)
         # A message sent again counts once, also across batches.
-        fresh = dedupe_transactions(rows).join(history.select("transaction_id"), "transaction_id", "left_anti")
-        fresh = fresh.withColumn("loaded_at", loaded.cast("timestamp_ntz"))
-        accepted = self._stage(fresh, "accepted", batch_id)
+        once = self._stage(dedupe_transactions(rows), "once", batch_id)
+        keys = Insert("fact", once, ID, house.path("fact_txn")).keys()
+        known = held_ids(house.ids("facts"), keys, house.fact_tables, apart_from=run)
+        if known is not None:
+            once = once.join(known.select(F.col("id").alias(ID)), ID, "left_anti")
+        accepted = self._stage(once.withColumn("loaded_at", loaded.cast("timestamp_ntz")), "accepted", batch_id)
 
         archive_raw(accepted, self._batch("raw", batch_id), mode="overwrite")
-        judged = apply_cascade(tag_context(accepted, cfg), cfg, history)
+        judged = apply_cascade(tag_context(accepted, cfg), cfg, house.history.before(accepted, cfg, run))
         scored = self._stage(enrich_customers(judged, house.customers), "scored", batch_id)
-        store_facts(scored, house, cfg)
+        store_facts(scored, house, cfg, load=run)
         alerts = alert_messages(scored)
         if self.publish is not None:
             self.publish(alerts)
         else:
             alerts.select("value").write.mode("overwrite").text(self._batch("txn_alert", batch_id))
-        keep_history(house, accepted, cfg)
-        self._keep_history(history, accepted, batch_id)
-
-    def _keep_history(self, history: DataFrame, accepted: DataFrame, batch_id: int) -> None:
-        seen = history.unionByName(accepted.select(*HISTORY))
-        newest = newest_time(seen)
-        reach = self.delay_ms + lookback_ms(self.cfg)
-        recent = seen if newest is None else seen.filter(F.col("event_ts") >= local_time(newest) - _interval(reach))
-        # Later rows of one instant always fire and tell the rules nothing more.
-        heads = first_per_instant(
-            recent.withColumn("t", event_millis("event_ts")), ACCOUNT, max(1, self.cfg.velocity_count - 1)
-        )
-        heads.drop("t").write.parquet(self._slot(batch_id), mode="overwrite")
+        house.history.keep(accepted, cfg, run)
+        times = [t for t in (newest, newest_time(accepted)) if t is not None]
+        state = spark.createDataFrame([(max(times, default=None),)], "newest timestamp_ntz").coalesce(1)
+        self._write(state, self._state(query, batch_id))
 
 
 def start_cascade(messages: DataFrame, sink: CascadeSink, checkpoint: str, **trigger):
