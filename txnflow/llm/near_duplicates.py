@@ -14,7 +14,9 @@ similarity (intersection by union) of ``similar`` per cent or more; the result a
 3. Keys that only one class has are dropped.  Every other member of a key is compared with its smallest one,
    and links give components.
 4. Keys whose members still belong to several components are settled: members outside the largest component are
-   compared with all members of other components, in blocks.  A pair is taken up under its first common key only, and
+   compared with all members of other components, in blocks.  This is done twice: first under one
+   key for each member, and only with the nearest partner in each block, which is enough to join most members of a
+   dense group to its component; then every pair that is still between components.  A pair is taken up under its first common key only, and
    only if its signatures differ in at most FAR positions, and finer signatures of 1024 minima, made for the members of
    such keys alone, in at most FINE_FAR (both five standard deviations from what 0.8 gives; the finer ones let pass
    what is nearly as similar as 0.74).  Pairs within a component are never formed.
@@ -34,6 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from txnflow.llm.common import WordHashes, byte_texts, gram_hashes, mix, possible_members, slices
 from txnflow.llm.components import components
@@ -198,8 +201,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     return pairs.groupBy("cell").cogroup(needed.groupBy("home")).applyInArrow(check, "a long, b long")
 
 
-def _across(buckets: DataFrame, labels: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that share a key, belong to different components and have near signatures; each pair once."""
+def _across(buckets: DataFrame, labels: DataFrame, signatures: DataFrame, sets: DataFrame, nearest: bool) -> DataFrame:
+    """The pairs (a, b) that share a key, belong to different components and have near signatures; each pair once.
+
+    With ``nearest``, for each member under one key alone, and only the nearest of its partners in a block.
+    """
     tagged = buckets.join(labels.withColumnRenamed("node", "key"), "key", "left")
     tagged = stored(tagged.select("bucket", "number", "key", F.coalesce("label", "key").alias("label")), "tagged")
     counts = tagged.groupBy("bucket", "label").agg(F.count("*").alias("n"))
@@ -211,9 +217,13 @@ def _across(buckets: DataFrame, labels: DataFrame, signatures: DataFrame, sets:
     known = known.join(_fine(sets.join(rows.select("key").distinct(), "key")), "key")
     rows = rows.join(stored(known, "fine-signatures"), "key").withColumn("outside", F.expr("label <> top"))
     member = F.struct("key", "label", "outside", "signature", "fine")
-    rows = stored(rows.select("bucket", "number", "block", "outside", member.alias("member")), "mixed-members")
+    asks = F.col("outside")
+    if nearest:
+        here = F.when(asks, F.struct("number", "bucket"))
+        asks = asks & (here == F.min(here).over(Window.partitionBy("key")))  # CHUNKS * CHUNK rows at most
+    rows = stored(rows.select("bucket", "number", "block", asks.alias("asks"), member.alias("member")), "mixed-members")
     block = lambda r, name: r.groupBy("bucket", "number", "block").agg(F.collect_list("member").alias(name)).drop("block")
-    joined = block(rows.filter("outside"), "one").join(block(rows, "other"), ["bucket", "number"])
+    joined = block(rows.filter("asks"), "one").join(block(rows, "other"), ["bucket", "number"])
 
     def unpack(members: pa.Array) -> tuple:
         raw = np.frombuffer(b"".join(members.field("signature").to_pylist()), "<u2").reshape(len(members), POSITIONS)
@@ -230,7 +240,13 @@ def _across(buckets: DataFrame, labels: DataFrame, signatures: DataFrame, sets:
                 for j in range(len(a)):
                     fit = (b_label != a_label[j]) & (~b_outside.astype(bool) | (a[j] < b))
                     fit[fit] = (b_own[fit] != a_own[j]).sum(1) <= FAR
-                    fit[fit] = fine_distance(a_fine[j], b_fine[fit]) <= FINE_FAR
+                    far = fine_distance(a_fine[j], b_fine[fit])
+                    if nearest:
+                        fit[fit] = far <= far.min(initial=FINE_FAR)
+                        found_a.append(np.full(int(fit.any()), a[j]))
+                        found_b.append(b[fit][:1])
+                        continue
+                    fit[fit] = far <= FINE_FAR
                     fit[fit] = first_common(np.broadcast_to(a_own[j], (int(fit.sum()), POSITIONS)), b_own[fit]) == number
                     found_a.append(np.full(int(fit.sum()), a[j]))
                     found_b.append(b[fit])
@@ -239,6 +255,17 @@ def _across(buckets: DataFrame, labels: DataFrame, signatures: DataFrame, sets:
     return joined.select("number", "one", "other").mapInArrow(compare, "a long, b long")
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels (node, label) with the components joined that the links (a, b) join."""
+    of = lambda c: F.coalesce(f"{c}_label", c).alias(c)
+    for c in ("a", "b"):
+        links = links.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label")), c, "left")
+    joined = components(links.select(of("a"), of("b")))
+    last = labels.join(joined.select(F.col("node").alias("label"), F.col("label").alias("last")), "label", "left")
+    lone = joined.join(labels, "node", "left_anti")
+    return stored(last.select("node", F.coalesce("last", "label").alias("label")).unionByName(lone), "components")
+
+
 def content(text: Column) -> Column:
     """With the id, names a row's text."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
@@ -255,8 +282,10 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int
     known = described.filter("key is not null and n > 0")
     best = F.min(F.struct("key", "content")).alias("best")
     classes = known.groupBy("digest").agg(best, F.first("signature").alias("signature"))
-    classes = classes.select("digest", "best.*", "signature", F.monotonically_increasing_id().alias("node"))
-    classes = stored(classes, "classes")
+    classes = stored(classes.select("digest", "best.*", "signature"), "classes")
+    # Numbered by their smallest ids, so that the first of a key is the oldest text, of which others are often copies.
+    classes = classes.repartitionByRange("key", "digest").sortWithinPartitions("key", "digest")
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "numbered-classes")
     signatures = classes.select(F.col("node").alias("key"), "signature")
 
     entered = _enter(signatures)
@@ -272,17 +301,12 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int
     star = buckets.filter("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
     links = stored(_confirmed(stored(star, "pairs"), sets, similar), "links")
     labels = components(links)
-    across = stored(_across(buckets, labels, signatures, sets), "pairs")
-    more = _confirmed(across, sets, similar)
-    of = lambda c: F.coalesce(f"{c}_label", c).alias(c)
-    for c in ("a", "b"):
-        more = more.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label")), c, "left")
-    merged = components(more.select(of("a"), of("b")))
-    last = labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("last")), "label", "left")
-    last = last.select("node", F.coalesce("last", "label").alias("group"))
-    lone = merged.join(labels, "node", "left_anti").select("node", F.col("label").alias("group"))
-    grouped = classes.select("digest", "node", "key").join(last.union(lone), "node", "left")
-    grouped = stored(grouped.select("digest", "key", F.coalesce("group", "node").alias("group")), "groups")
+    for nearest in (True, False):
+        across = _across(buckets, labels, signatures, sets, nearest)
+        across = stored(across, "pairs")
+        labels = _merged(labels, _confirmed(across, sets, similar))
+    grouped = classes.select("digest", "node", "key").join(labels, "node", "left")
+    grouped = stored(grouped.select("digest", "key", F.coalesce("label", "node").alias("group")), "groups")
     smallest = grouped.groupBy("group").agg(F.min("key").alias("component_id"))
     known = stored(grouped.select("digest", "group").join(smallest, "group"), "class-groups")
     result = described.select("key", "content", "n", "digest").join(known, "digest", "left")
