@@ -260,6 +260,27 @@ def _eod(day: str) -> str:
 FROM facts WHERE loaded_at::DATE = DATE '{day}'"""
 
 
+# Rules of a document: other thresholds, night hours, holidays and three windows.
+_DOCUMENT = [("<= 60000", "<= 90000"), ("50000000", "20000000"), (">= 22", ">= 21"), ("< 6", "< 5")]
+
+
+def _documented(text: str) -> str:
+    for old, new in _DOCUMENT:
+        text = text.replace(old, new)
+    return text
+
+
+# Accounts that deliver their messages when all others have, and the watermark by then.
+_LATE = """recent AS (
+  SELECT DISTINCT account_masked FROM every WHERE event_ts >= (SELECT max(event_ts) FROM every) - INTERVAL 2 HOURS
+),
+picked AS (
+  SELECT DISTINCT account_masked FROM every
+  WHERE right(account_masked, 1) = '3' AND account_masked NOT IN (SELECT account_masked FROM recent)
+),
+mark AS (
+  SELECT max(t) - 3600000 AS w FROM txn WHERE account_masked NOT IN (SELECT account_masked FROM picked)
+)"""
 _HOUR_AGO = "(SELECT max(loaded_at) FROM facts) - INTERVAL 1 HOUR"
 _SHARE = "count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 1) AS pct"
 
@@ -493,4 +514,55 @@ HAVING time + INTERVAL 1 MINUTE <= (SELECT max(event_ts) FROM txn) - INTERVAL 1
     + f"""SELECT channel, count(*) AS total, count(*) FILTER (WHERE fraud_label = 1) AS fraud,
   {_pct('fraud_label = 1')} AS fraud_pct FROM txn GROUP BY channel""",
     "stream_keyed_cascade": _with(_GOOD, CASCADE_GEO) + "SELECT transaction_id, rule_triggered FROM scored",
+    "customer_csv": _with(CUSTOMERS)
+    + """SELECT customer_id, account_masked, segment, risk_score, home_province, home_lat::DOUBLE AS home_lat,
+  home_lon::DOUBLE AS home_lon FROM dim_customer""",
+    "rule_document": _with(TXN, _documented(CASCADE))
+    + f"""SELECT transaction_id, rule_triggered,
+  (isodow(event_ts) = 7 AND hour(event_ts) BETWEEN 1 AND 3) OR (isodow(event_ts) = 3 AND hour(event_ts) BETWEEN 22 AND 23)
+    OR (event_ts::DATE = DATE '2024-01-15' AND hour(event_ts) BETWEEN 8 AND 11) AS is_maintenance,
+  event_ts::DATE IN (DATE '2024-01-01', DATE '2024-01-20') AS is_holiday, {_documented(_OFF)} AS is_night_large_risk
+FROM scored""",
+    "dead_letter_replay_keyed": _BASE
+    + """SELECT transaction_id AS key, '{"transaction_id": "' || transaction_id || '",' || chr(10) || ' "timestamp": "'
+  || "timestamp" || '"}' AS value, 1::BIGINT AS n FROM txn WHERE n % 7 = 3""",
+    "array_messages": _BASE
+    + """SELECT transaction_id, CASE WHEN n % 11 <> 4 THEN amount END::VARCHAR AS amount, event_ts,
+  CASE WHEN n % 11 = 4 THEN 'amount' ELSE '' END AS error_reasons FROM txn""",
+    "rows_by_prefix_in_order": _HOUSE
+    + """SELECT transaction_id, account_masked, amount, merchant_id, merchant_province, fraud_flag, alert_id, loaded_at
+FROM facts WHERE transaction_id LIKE 'TXN000000%' ORDER BY loaded_at, transaction_id""",
+    "fraud_samples_of_all_kinds": _BASE
+    + " UNION ALL ".join(
+        f"""SELECT * FROM (SELECT "timestamp", transaction_id, account_masked, amount, merchant_province, '{kind}' AS kind
+FROM txn WHERE fraud_label = 1 AND fraud_type = '{kind}' AND {where} ORDER BY "timestamp", transaction_id LIMIT {k})"""
+        for kind, k, where in (
+            *(
+                (
+                    kind,
+                    k,
+                    f"""account_masked = (SELECT account_masked FROM txn WHERE fraud_label = 1 AND fraud_type = '{kind}'
+  ORDER BY "timestamp", transaction_id LIMIT 1)""",
+                )
+                for kind, k in (("velocity", 5), ("geo_anomaly", 4))
+            ),
+            ("off_hours_large", 5, "true"),
+        )
+    ),
+    "load_completeness_of_sent": _HOUSE
+    + " UNION ALL ".join(
+        f"""SELECT count(*) AS arrived, round((epoch_us(max(loaded_at)) - epoch_us(min(loaded_at))) / 1e6, 3) AS elapsed_s,
+  round(count(*) / nullif((epoch_us(max(loaded_at)) - epoch_us(min(loaded_at))) / 1e6, 0), 4) AS rows_per_s,
+  count(*) >= (SELECT count(*) FROM txn) AS complete, '{prefix}' AS prefix
+FROM facts WHERE transaction_id LIKE '{prefix}%'"""
+        for prefix in ("TXN", "TXN00000002")
+    ),
+    "channel_array_files": _BASE + f"SELECT {_MESSAGE} FROM txn",
+    "stream_keyed_late": _with(_GOOD, CASCADE_GEO, _LATE)
+    + """SELECT transaction_id, CASE WHEN NOT late THEN rule_triggered END AS rule_triggered, late FROM (
+  SELECT *, account_masked IN (SELECT account_masked FROM picked) AND t < w AS late FROM scored, mark)""",
+    "stream_minutes_late": _with(_GOOD, _LATE)
+    + """SELECT time, late, count(*) AS value FROM (
+  SELECT date_trunc('minute', event_ts)::TIMESTAMP AS time, account_masked IN (SELECT account_masked FROM picked) AS late FROM txn
+), mark WHERE epoch_ms(time) + 60000 <= w GROUP BY 1, 2""",
 }

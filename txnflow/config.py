@@ -34,6 +34,8 @@ class RuleConfig:
     maintenance_weekday: int = 6
     maintenance_start: int = 1
     maintenance_end: int = 3
+    # Further windows: (weekday or ISO date, first hour, last hour).
+    more_maintenance: tuple[tuple[int | str, int, int], ...] = ()
     holidays: tuple[str, ...] = (
         "2025-01-01",
         "2025-01-28",
@@ -52,6 +54,10 @@ class RuleConfig:
     # False keeps fraud_flag/alert_id of off-hours hits unset in fact_txn.
     off_hours_marks_fact: bool = True
 
+    @property
+    def maintenance_windows(self) -> tuple[tuple[int | str, int, int], ...]:
+        return ((self.maintenance_weekday, self.maintenance_start, self.maintenance_end), *self.more_maintenance)
+
     @property
     def velocity_ms(self) -> int:
         return self.velocity_window_seconds * 1000
@@ -85,10 +91,11 @@ def load_rule_config(spark: SparkSession, path: str, **options) -> RuleConfig:
         values["night_start"] = doc["night_hours"]["start"]
         values["night_end"] = doc["night_hours"]["end"]
     if doc.get("maintenance_windows"):
-        window = doc["maintenance_windows"][0]
-        values["maintenance_weekday"] = window["day_of_week"]
-        values["maintenance_start"] = window["start_hour"]
-        values["maintenance_end"] = window["end_hour"]
+        days = [w["date"] if "date" in w else w["day_of_week"] for w in doc["maintenance_windows"]]
+        windows = [(d, w["start_hour"], w["end_hour"]) for d, w in zip(days, doc["maintenance_windows"])]
+        weekly = next((w for w in windows if isinstance(w[0], int)), (-1, 0, 0))  # no weekday is -1
+        values["maintenance_weekday"], values["maintenance_start"], values["maintenance_end"] = weekly
+        values["more_maintenance"] = tuple(w for w in windows if w != weekly)
     holidays = [day for key in sorted(doc) if key.startswith("holidays") for day in doc[key]]
     if holidays:
         values["holidays"] = tuple(holidays)

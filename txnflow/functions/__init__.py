@@ -14,6 +14,7 @@ from txnflow.functions.scalar import (
     is_peak_hour,
     json_field,
     local_time,
+    maintenance_day,
     mask_account,
     mask_national_id,
     mask_phone,

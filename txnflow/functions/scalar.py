@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -164,10 +166,16 @@ def is_holiday(c: Column | str, cfg: RuleConfig = DEFAULT_RULES) -> Column:
 
 
 def is_maintenance(c: Column | str, cfg: RuleConfig = DEFAULT_RULES) -> Column:
+    """In one of the windows, both its hours included."""
     c = _col(c)
-    return (F.weekday(c) == cfg.maintenance_weekday) & F.hour(c).between(
-        cfg.maintenance_start, cfg.maintenance_end
-    )
+    inside = [maintenance_day(c, day) & F.hour(c).between(start, end) for day, start, end in cfg.maintenance_windows]
+    return reduce(Column.__or__, inside)
+
+
+def maintenance_day(c: Column | str, day: int | str) -> Column:
+    """Is it that weekday, from 0 for Monday, or that date?"""
+    c = _col(c)
+    return F.weekday(c) == day if isinstance(day, int) else F.to_date(c) == F.lit(day).cast("date")
 
 
 def is_night(hour: Column, cfg: RuleConfig = DEFAULT_RULES) -> Column:

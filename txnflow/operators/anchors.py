@@ -10,15 +10,21 @@ anchor before it, its carry:
   inside, or before it, is left with the same last anchor whatever came
   earlier, and that anchor is the next block's carry.
 * Only a block that continues the one before and has no gap passes its own
-  carry on.  For those, one table per block says with which anchor the chain
-  leaves it for every row it could enter at, and a walk over these tables, in
-  order, finds the carries.  Ordinary data has none: it takes a row every
-  window throughout a block.
+  carry on.  It does so by a monotone step function: the anchor it is left with
+  for each carry, kept as the few places where that changes.  Such functions
+  compose to one of their kind, so a tree over the blocks finds all carries: up
+  the tree the functions of FAN neighbours become one, down the tree each gets
+  the carry that reaches it.  A task works on FAN blocks at a time, however many
+  a combination fills.  Ordinary data has no such block, as it takes a row every
+  window throughout a block; then nothing of this runs.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,6 +33,8 @@ from txnflow.operators.timeblocks import block_of
 from txnflow.session import stored
 
 BLOCK_MS = 600_000
+#: Neighbours that a task of the tree works on together.
+FAN = 64
 
 
 def block_exits(t: np.ndarray, first_free: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,10 +55,49 @@ def block_exits(t: np.ndarray, first_free: int, window: int) -> tuple[np.ndarray
     return t[entries], t[leave[entries]]
 
 
+@dataclass
+class Passing:
+    """What a block, or a run of blocks, makes of a carry: ``values[i]`` below ``bounds[i]``, which rise; from the last
+    bound on ``rest``, or the carry itself if that is None."""
+
+    bounds: np.ndarray
+    values: np.ndarray
+    rest: int | None = None
+
+    @classmethod
+    def of_block(cls, t: np.ndarray, first_free: int, window: int) -> Passing:
+        entry, leave = block_exits(t, first_free, window)
+        return cls(entry - window, leave).shortened()
+
+    @classmethod
+    def constant(cls, value: int) -> Passing:
+        return cls(np.zeros(0, np.int64), np.zeros(0, np.int64), value)
+
+    def shortened(self) -> Passing:
+        last = np.flatnonzero(np.diff(self.values, append=self.values[-1:] - 1))
+        return Passing(self.bounds[last], self.values[last], self.rest)
+
+    def __call__(self, carry: int) -> int:
+        i = int(np.searchsorted(self.bounds, carry, side="right"))
+        if i < len(self.bounds):
+            return int(self.values[i])
+        return int(carry) if self.rest is None else self.rest
+
+    def then(self, after: Passing) -> Passing:
+        i = np.searchsorted(after.bounds, self.values, side="right")
+        beyond = self.values if after.rest is None else np.full(len(i), after.rest)
+        found = np.append(after.values, 0)[i]
+        values = np.where(i < len(after.bounds), found, beyond)
+        if self.rest is not None:
+            return Passing(self.bounds, values, after(self.rest)).shortened()
+        more = np.searchsorted(after.bounds, self.bounds[-1], side="right") if len(self.bounds) else 0
+        bounds = np.concatenate([self.bounds, after.bounds[more:]])
+        return Passing(bounds, np.concatenate([values, after.values[more:]]), after.rest).shortened()
+
+
 def passed_on(carry: float, entry: np.ndarray, leave: np.ndarray, window: int) -> int:
     """The anchor a block is left with when ``carry`` is the last one before it."""
-    i = int(np.searchsorted(entry, carry + window, side="right"))
-    return int(leave[i] if i < len(entry) else carry)
+    return Passing(entry - window, leave)(carry)
 
 
 def _last_anchor(instants: Column, window_ms: int) -> Column:
@@ -87,10 +134,9 @@ def duplicate_anchors(
 ) -> DataFrame:
     """Ids of the anchor rows.  ``rows``: transaction_id, t and non-null keys.
 
-    Runs a job: the blocks are written to the shared folder.
+    Blocks are as long as the window at least.  Runs jobs: the blocks are written to the shared folder.
     """
-    if window_ms > block_ms:
-        raise ValueError("a block must be at least as long as the window")
+    block_ms = max(block_ms, window_ms)
     keys = list(keys)
     key_block = [*keys, "_block"]
     key_ddl = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
@@ -122,40 +168,91 @@ def duplicate_anchors(
         .withColumn("carry", F.when(~F.lag("open").over(along), F.lag("last_anchor").over(along)))
     )
 
-    def exits(batches):
+    through = _passed_on(blocks, edges, keys, key_ddl, window_ms, block_ms)
+    carries = edges.filter("continues").select(*key_block, "carry")
+    if through is not None:
+        carries = carries.join(through, key_block, "left").select(*key_block, F.coalesce("carry", "_passed").alias("carry"))
+    marked = blocks.join(carries, key_block, "left")
+    return marked.select(F.explode(_anchor_ids(inst, F.col("carry"), window_ms)).alias("transaction_id"))
+
+
+_MEMBER = "struct<n:bigint,bounds:array<bigint>,values:array<bigint>,rest:bigint>"
+
+
+def _passings(members) -> list[tuple[int, Passing]]:
+    """(number, function) of the members of a group, in order."""
+    rows = sorted(members, key=lambda m: m["n"])
+    as_array = lambda x: np.array(x, np.int64)
+    return [(m["n"], Passing(as_array(m["bounds"]), as_array(m["values"]), m["rest"])) for m in rows]
+
+
+def _passed_on(
+    blocks: DataFrame, edges: DataFrame, keys: list[str], key_ddl: str, window_ms: int, block_ms: int
+) -> DataFrame | None:
+    """(keys, _block, _passed): the carry that an open block hands to the next one; None without open blocks."""
+    key_block = [*keys, "_block"]
+    open_blocks = stored(edges.filter("open").select(*key_block, "carry"), "open-blocks")
+    span = open_blocks.agg(F.min("_block"), F.max("_block")).first()
+    if span[0] is None:
+        return None
+
+    def functions(batches):
+        for pdf in batches:
+            found = []
+            for t, block, carry in zip(pdf.pop("t"), pdf["n"], pdf.pop("carry")):
+                own = Passing.of_block(np.asarray(t), (block + span[0]) * block_ms + window_ms, window_ms)
+                # The first of a run of open blocks knows its carry.
+                found.append(own if pd.isna(carry) else Passing.constant(own(int(carry))))
+            yield pdf.assign(bounds=[f.bounds for f in found], values=[f.values for f in found], rest=pd.array([f.rest for f in found], "Int64"))
+
+    def compose(batches):
         for pdf in batches:
-            found = [
-                block_exits(t, block * block_ms + window_ms, window_ms)
-                for t, block in zip(pdf.pop("t"), pdf["_block"])
-            ]
-            tables = {"entry": [e for e, _ in found], "leave": [x for _, x in found]}
-            yield pdf.assign(carry=pdf["carry"].astype("float64"), **tables)
-
-    def walk(batches):
-        # Rows come by combination and block; a row without a carry of its own
-        # continues the one before it.
-        last = None
+            found = []
+            for members in pdf.pop("members"):
+                (_, whole), *others = _passings(members)
+                for _, f in others:
+                    whole = whole.then(f)
+                found.append(whole)
+            yield pdf.assign(bounds=[f.bounds for f in found], values=[f.values for f in found], rest=pd.array([f.rest for f in found], "Int64"))
+
+    def hand_down(batches):
         for pdf in batches:
             out = []
-            for carry, entry, leave in zip(pdf["carry"], pdf.pop("entry"), pdf.pop("leave")):
-                last = passed_on(last if carry != carry else carry, entry, leave, window_ms)
-                out.append(last)
-            yield pdf.assign(carry=out)
-
-    through = (
-        blocks.join(edges.filter("open").select(*key_block, "carry"), key_block)
-        .select(*key_block, "carry", inst["t"].alias("t"))
-        .mapInPandas(exits, f"{key_ddl}, `_block` bigint, carry double, entry array<bigint>, leave array<bigint>")
-        .repartition(*keys)
-        .sortWithinPartitions(*key_block)
-        .mapInPandas(walk, f"{key_ddl}, `_block` bigint, carry bigint")
-        .select(*keys, (F.col("_block") + 1).alias("_block"), F.col("carry").alias("_passed"))
-    )
-    carries = (
-        edges.filter("continues")
-        .select(*key_block, "carry")
-        .join(through, key_block, "left")
-        .select(*key_block, F.coalesce("carry", "_passed").alias("carry"))
-    )
-    marked = blocks.join(carries, key_block, "left")
-    return marked.select(F.explode(_anchor_ids(inst, F.col("carry"), window_ms)).alias("transaction_id"))
+            for row in pdf.itertuples(index=False):
+                at = None if pd.isna(row.carry) else int(row.carry)
+                for n, f in _passings(row.members):
+                    out.append((*row[: len(keys)], n, at))
+                    # Only at the start of a combination is there no carry; there the function is constant.
+                    at = f.rest if at is None else f(at)
+            yield pd.DataFrame(out, columns=[*keys, "n", "carry"]).astype({"carry": "Int64"})
+
+    ddl = f"{key_ddl}, n bigint, bounds array<bigint>, values array<bigint>, rest bigint"
+    inst = blocks.select(*key_block, F.col("inst.t").alias("t"))
+    level = inst.join(open_blocks, key_block).select(*keys, (F.col("_block") - span[0]).alias("n"), "t", "carry")
+    level = level.mapInPandas(functions, ddl)
+    groups, width = [], span[1] - span[0] + 1
+    while True:
+        member = F.struct("n", "bounds", "values", "rest").cast(_MEMBER)
+        grouped = level.groupBy(*keys, F.floor(F.col("n") / FAN).alias("g")).agg(F.collect_list(member).alias("members"))
+        groups.append(stored(grouped, "block-groups"))
+        width = -(-width // FAN)
+        if width <= 1:
+            break
+        level = groups[-1].withColumnRenamed("g", "n").mapInPandas(compose, ddl)
+    carries = groups[-1].select(*keys, "g", F.lit(None).cast("bigint").alias("carry"))
+    for grouped in reversed(groups):
+        known = grouped.join(carries, [*keys, "g"]).select(*keys, "carry", "members")
+        carries = known.mapInPandas(hand_down, f"{key_ddl}, n bigint, carry bigint").withColumnRenamed("n", "g")
+    # What reaches a block is what the one before it, if that is open, handed on; the last of a run hands on, too.
+    last = groups[0].select(*keys, F.inline("members")).select(*keys, F.col("n").alias("g"), "bounds", "values", "rest")
+
+    def apply(batches):
+        for pdf in batches:
+            out = []
+            for bounds, values, rest, carry in zip(pdf.pop("bounds"), pdf.pop("values"), pdf.pop("rest"), pdf.pop("carry")):
+                f = Passing(np.asarray(bounds, np.int64), np.asarray(values, np.int64), None if pd.isna(rest) else int(rest))
+                out.append(f.rest if pd.isna(carry) else f(int(carry)))
+            yield pdf.assign(_passed=out)
+
+    passed = last.join(carries, [*keys, "g"]).mapInPandas(apply, f"{key_ddl}, g bigint, _passed bigint")
+    return passed.select(*keys, (F.col("g") + span[0] + 1).alias("_block"), "_passed")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow.config import DEFAULT_RULES, RuleConfig
-from txnflow.functions import date_key, is_business_minute, is_peak_hour, period_label
+from txnflow.functions import date_key, is_business_minute, is_peak_hour, maintenance_day, period_label
 from txnflow.schemas import DIM_CALENDAR, DIM_CUSTOMER, DIM_TIME
 from txnflow.sources.series import HOLIDAY_NAMES, days_between, holidays, minutes_of_day
 
@@ -37,7 +39,7 @@ def calendar_of(days: DataFrame, names=HOLIDAY_NAMES, cfg: RuleConfig = DEFAULT_
             "day_of_week": weekday,
             "is_weekend": weekday >= 5,
             "is_holiday": F.col("holiday_name").isNotNull(),
-            "is_maintenance": weekday == cfg.maintenance_weekday,
+            "is_maintenance": reduce(Column.__or__, [maintenance_day("full_date", day) for day, _, _ in cfg.maintenance_windows]),
         }
     ).select(*DIM_CALENDAR.names)
 

@@ -51,13 +51,12 @@ class Warehouse:
         return History(self.spark, self.path("history"))
 
     def ids(self, of: str) -> IdIndex:
-        """The ids that tables hold: of ``facts`` (with alerts and audit trail), ``letters``, ``held`` or ``replayed``."""
+        """The ids that tables hold: of ``facts`` (with alerts), ``audit``, ``letters``, ``held`` or ``replayed``."""
         return IdIndex(self.spark, self.path(f"ids_of_{of}"))
 
     @property
     def fact_tables(self) -> dict[str, tuple[str, str]]:
-        keys = {"fact": ("fact_txn", ID), "alert": ("fact_alert", "alert_id"), "audit": ("audit_log", "txn_id")}
-        return {kind: (self.path(table), key) for kind, (table, key) in keys.items()}
+        return {"fact": (self.path("fact_txn"), ID), "alert": (self.path("fact_alert"), "alert_id")}
 
     @property
     def letters(self) -> DataFrame:
@@ -86,19 +85,23 @@ class Warehouse:
 
 
 def store_facts(
-    scored: DataFrame, house: Warehouse, cfg: RuleConfig = DEFAULT_RULES, audit: bool = False, load: str | None = None
+    scored: DataFrame, house: Warehouse, cfg: RuleConfig = DEFAULT_RULES, load: str | None = None
 ) -> None:
-    """Insert facts and alerts, and their trail, that are not there yet; one scored row per id."""
+    """Insert facts and alerts that are not there yet; one scored row per id."""
     alerts = fact_alert(scored).withColumn("detected_date", date_key("detected_at"))
     inserts = [
         Insert("fact", fact_txn(scored, cfg), ID, house.path("fact_txn"), "date_id"),
         Insert("alert", alerts, "alert_id", house.path("fact_alert"), "detected_date"),
     ]
-    if audit:
-        inserts.append(Insert("audit", audit_log(scored), "txn_id", house.path("audit_log"), ids=scored.select(ID)))
     insert_once(house.ids("facts"), inserts, load, house.fact_tables)
 
 
+def store_audit(scored: DataFrame, house: Warehouse) -> None:
+    """Add the trail of transactions that have none yet; called when its last stage has ended."""
+    trail = Insert("audit", audit_log(scored), "txn_id", house.path("audit_log"), ids=scored.select(ID))
+    insert_once(house.ids("audit"), [trail])
+
+
 def store_dead_letters(dead: DataFrame, house: Warehouse) -> None:
     """One row per rejected message, equal ones as often as they were sent.
 
@@ -156,9 +159,11 @@ def run_batch(
     archive_raw(loading, house.of_runs("raw"))
 
     scored = stored(enrich_customers(judged, house.customers), "scored")
-    store_facts(scored, house, cfg, audit)
+    store_facts(scored, house, cfg)
     publish = publish or (lambda df: df.select("value").write.mode("append").text(house.of_runs("txn_alert")))
     publish(alert_messages(scored))
+    if audit:
+        store_audit(scored, house)
     if single_pass(cfg):
         house.history.keep(accepted, cfg)
     return scored

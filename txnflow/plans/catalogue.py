@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.config import DEFAULT_RULES, DUPLICATE, GEO_ORDER, VELOCITY
+from txnflow.config import DEFAULT_RULES, DUPLICATE, GEO, GEO_ORDER, OFF_HOURS, VELOCITY, load_rule_config
 from txnflow.functions import (
     clamp_to_thousand,
     date_key,
@@ -20,8 +20,16 @@ from txnflow.functions import (
 )
 from txnflow.operators import context, dims, enrich, facts, normalise, rules, tables, validate
 from txnflow.plans import reports
-from txnflow.plans.batch import Warehouse, release_held, release_late, replay, run_batch, store_facts
-from txnflow.schemas import GENERATED_TXN, MESSAGE_FIELDS
+from txnflow.plans.batch import (
+    Warehouse,
+    release_held,
+    release_late,
+    replay,
+    replay_once,
+    run_batch,
+    store_facts,
+)
+from txnflow.schemas import CUSTOMER_CSV, GENERATED_TXN, JSON_CHANNELS, MESSAGE_FIELDS
 from txnflow.session import ROCKSDB_PROVIDER, scratch_table, stored
 from txnflow.sources import demo, files, messages
 from txnflow.streaming import cascade, keyed, windows
@@ -236,6 +244,37 @@ def token_accounts(spark, d):
     return raw.select("customer_id", token_account("account_number").alias("account_token"))
 
 
+def customer_csv(spark, d):
+    """Customers through a CSV file with clear and masked personal data; only the dimension's columns are kept."""
+    path = scratch_table(spark, "customers_csv")
+    clear = demo.customers_raw(spark, d)
+    masked = context.mask_pii(clear).select("customer_id", "account_masked", "phone_masked", "national_id_masked")
+    wide = clear.join(masked, "customer_id").withColumn("avg_txn_multiplier", F.lit(1.5))
+    wide.select(*CUSTOMER_CSV.names).write.csv(path, header=True)
+    return _plain(files.read_customers(spark, path), home_lat="double", home_lon="double")
+
+
+RULE_DOCUMENT = """{
+  "night_hours": {"start": 21, "end": 5},
+  "maintenance_windows": [
+    {"day_of_week": 6, "start_hour": 1, "end_hour": 3},
+    {"day_of_week": 2, "start_hour": 22, "end_hour": 23},
+    {"date": "2024-01-15", "start_hour": 8, "end_hour": 11}
+  ],
+  "holidays_2024": ["2024-01-01", "2024-01-20"],
+  "thresholds": {"off_hours_large_txn_vnd": 20000000, "velocity_window_seconds": 90}
+}"""
+
+
+def rule_document(spark, d):
+    """Rules and windows from a document: verdicts, and which rows its three maintenance windows hold."""
+    path = scratch_table(spark, "rule_document")
+    spark.createDataFrame([(RULE_DOCUMENT,)], "value string").coalesce(1).write.text(path)
+    cfg = load_rule_config(spark, path)
+    judged = rules.apply_cascade(context.tag_context(demo.transactions(spark, d), cfg), cfg)
+    return judged.select("transaction_id", "rule_triggered", "is_maintenance", "is_holiday", "is_night_large_risk")
+
+
 def home_distance(spark, d):
     """Distance of each transaction from its customer's home."""
     rows = enrich.enrich_customers(demo.transactions(spark, d), demo.customers(spark, d))
@@ -352,6 +391,40 @@ def dead_letter_replay(spark, d):
     return again.agg(F.count("*").alias("replayed"), F.count_if(F.size("error_reasons") > 0).alias("rejected"))
 
 
+def dead_letter_replay_keyed(spark, d):
+    """Letters with a key and line ends in their text, replayed twice: each comes back whole, and once."""
+    house, raw = Warehouse(spark, scratch_table(spark, "house")), scratch_table(spark, "raw")
+    house.seed(demo.customers(spark, d))
+    lines = F.concat(
+        F.lit('{"transaction_id": "'), "transaction_id", F.lit('",\n "timestamp": "'), "timestamp", F.lit('"}')
+    )
+    sent = demo.transactions(spark, d).filter(_number() % 7 == 3)
+    sent = sent.select(F.col("transaction_id").alias("key"), lines.alias("value"))
+    run_batch(sent, house, audit=False)
+    for _ in range(2):
+        replay_once(house, raw)
+    back = messages.letter_messages(spark, raw)
+    return back.groupBy("key", "value").agg(F.count("*").alias("n"))
+
+
+def array_messages(spark, d):
+    """Messages that are arrays of one to five transactions, some elements broken."""
+    n = _number()
+    body = F.struct(
+        "transaction_id",
+        "timestamp",
+        "account_masked",
+        "channel",
+        F.when(n % 11 != 4, F.col("amount")).alias("amount"),
+        "currency",
+        "status",
+    )
+    sent = demo.transactions(spark, d).groupBy(F.floor(n / 5)).agg(F.to_json(F.collect_list(body)).alias("value"))
+    checked = validate.validate(messages.parse(sent.select(F.lit(None).cast("string").alias("key"), "value")))
+    reasons = F.array_join("error_reasons", ",").alias("error_reasons")
+    return checked.select("transaction_id", "amount", "event_ts", reasons).withColumn("amount", F.col("amount").cast("string"))
+
+
 def dedupe_redelivered(spark, d):
     """Every message delivered twice counts once."""
     txn = demo.transactions(spark, d)
@@ -508,6 +581,11 @@ def rows_by_id_pattern(spark, d):
     return reports.by_id_pattern(warehouse(spark, d).facts, "TXN%005")
 
 
+def rows_by_prefix_in_order(spark, d):
+    """Every row whose id has a prefix, oldest first."""
+    return reports.recent_by_prefix(warehouse(spark, d).facts, "TXN000000", n=None)
+
+
 def holiday_fraud_rate(spark, d):
     house = warehouse(spark, d)
     return reports.fraud_by_calendar(house.facts, house.calendar, "is_holiday", "is_weekend")
@@ -551,6 +629,15 @@ def fraud_samples(spark, d):
     return reports.fraud_samples(demo.transactions(spark, d), VELOCITY, 5)
 
 
+def fraud_samples_of_all_kinds(spark, d):
+    """Five rows of the first account for velocity, four for geo, the five first rows of all for off-hours."""
+    txn, out = demo.transactions(spark, d), None
+    for kind, k, one_account in ((VELOCITY, 5, True), (GEO, 4, True), (OFF_HOURS, 5, False)):
+        part = reports.fraud_samples(txn, kind, k, one_account).withColumn("kind", F.lit(kind))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def sorted_dataset(spark, d):
     """Normal and labelled rows in one table, in time order."""
     txn = demo.transactions(spark, d)
@@ -579,6 +666,16 @@ def load_completeness(spark, d):
     return reports.load_completeness(warehouse(spark, d).facts, "TXN", expected=1)
 
 
+def load_completeness_of_sent(spark, d):
+    """Against the number of messages sent: all have arrived, but of one range of ids only that range."""
+    house, sent = warehouse(spark, d), demo.transactions(spark, d).count()
+    parts = [
+        reports.load_completeness(house.facts, prefix, sent).withColumn("prefix", F.lit(prefix))
+        for prefix in ("TXN", "TXN00000002")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def kpi_status(spark, d):
     house = warehouse(spark, d)
     return reports.kpi_status(house.facts, house.alerts, _validated(spark, d), _newest(house.alerts, "detected_at"))
@@ -602,6 +699,26 @@ def channel_files(spark, d):
     return normalise.normalise_channels({c: (t, {}) for c, t in read.items()})
 
 
+def channel_array_files(spark, d):
+    """As ``channel_files``, but mobile and internet deliver files of one pretty-printed array each."""
+    folder = scratch_table(spark, "channels")
+    rows = _labelled(spark, d)
+    wide = rows.select(
+        *[
+            (F.col(f.name) if f.name in rows.columns else F.lit("x").cast(f.dataType).alias(f.name))
+            for f in GENERATED_TXN.fields
+        ]
+    )
+    tables.export_channels(wide, folder)
+    for channel in JSON_CHANNELS:
+        own = wide.filter(F.col("channel") == channel)
+        part = F.floor(_number() / 5000).alias("part")
+        arrays = own.groupBy(part).agg(F.to_json(F.collect_list(F.struct("*")), {"pretty": "true"}).alias("value"))
+        arrays.write.mode("overwrite").partitionBy("part").text(files.channel_path(folder, channel))
+    read = files.read_channel_files(spark, folder, arrays=True)
+    return normalise.normalise_channels({c: (t, {}) for c, t in read.items()})
+
+
 def raw_archive(spark, d):
     path = scratch_table(spark, "raw")
     tables.archive_raw(demo.transactions(spark, d), path)
@@ -663,24 +780,33 @@ def stream_cascade_with_geo(spark, d):
     return _streamed_house(spark, d, WITH_GEO).alerts.select("transaction_id", "rule_triggered", "alert_id")
 
 
+def _late_accounts(spark, d):
+    """Messages, and the accounts that deliver theirs when all others have: none has one in the last two hours."""
+    sent = demo_messages(spark, d)
+    end = local_time(sent.agg(F.max("event_ts")).first()[0]) - F.expr("interval 2 hours")
+    recent = sent.filter(F.col("event_ts") >= end).select("account_masked").distinct()
+    picked = sent.filter(F.right("account_masked", F.lit(1)) == "3").join(recent, "account_masked", "left_anti")
+    return sent, picked.select("account_masked").distinct()
+
+
+def _late_deliveries(spark, d, start):
+    sent, accounts = _late_accounts(spark, d)
+    folder = scratch_table(spark, "topic")
+    for part in ("left_anti", "left_semi"):
+        sent.join(accounts, "account_masked", part).select("value").write.mode("append").text(folder)
+        _run(start(messages.file_stream(spark, folder)))
+
+
 def stream_late_rows(spark, d):
     """Accounts whose messages arrive hours late: set aside by the stream, then loaded by a batch run.
 
     Accounts with a message in the last two hours arrive in time; verdicts are
     per account, so all are as if everything had.
     """
-    house, folder = Warehouse(spark, scratch_table(spark, "house")), scratch_table(spark, "topic")
+    house = Warehouse(spark, scratch_table(spark, "house"))
     house.seed(demo.customers(spark, d))
     sink = cascade.CascadeSink(house)
-    sent = demo_messages(spark, d)
-    end = local_time(sent.agg(F.max("event_ts")).first()[0]) - F.expr("interval 2 hours")
-    recent = sent.filter(F.col("event_ts") >= end).select("account_masked").distinct()
-    picked = sent.filter(F.right("account_masked", F.lit(1)) == "3").join(recent, "account_masked", "left_anti")
-    accounts = picked.select("account_masked").distinct()
-    for part in ("left_anti", "left_semi"):
-        sent.join(accounts, "account_masked", part).select("value").write.mode("append").text(folder)
-        stream = messages.file_stream(spark, folder)
-        _run(cascade.start_cascade(stream, sink, house.path("checkpoint"), availableNow=True))
+    _late_deliveries(spark, d, lambda s: cascade.start_cascade(s, sink, house.path("checkpoint"), availableNow=True))
     run_batch(release_late(spark, house), house, audit=False)
     return _fact_verdicts(house)
 
@@ -727,29 +853,43 @@ def stream_totals_by_channel(spark, d):
     return spark.read.parquet(out).groupBy("channel").agg(latest.alias("last")).select("channel", "last.*")
 
 
-def stream_keyed_cascade(spark, d):
-    """The stateful operator; its state store must be RocksDB.
-
-    A backlog read in one go is fine: its accounts are split by time.
-    """
+def _stateful(spark, d, operator, deliver):
+    """The output of a stateful operator, whose state store must be RocksDB."""
     out, checkpoint = scratch_table(spark, "verdicts"), scratch_table(spark, "checkpoint")
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
 
     def start(stream):
-        verdicts = keyed.keyed_cascade(windows.accepted(stream), WITH_GEO)
-        writer = verdicts.writeStream.outputMode("append").format("parquet").option("path", out)
-        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        writer = operator(windows.accepted(stream)).writeStream.outputMode("append").format("parquet")
+        writer = writer.option("path", out).option("checkpointLocation", checkpoint)
+        return writer.trigger(availableNow=True).start()
 
     spark.conf.set(provider, ROCKSDB_PROVIDER)
     try:
-        _stream_into(spark, d, start)
+        deliver(spark, d, start)
     finally:
         spark.conf.set(provider, before)
-    verdicts = spark.read.parquet(out)
+    return spark.read.parquet(out)
+
+
+def stream_keyed_cascade(spark, d):
+    """The stateful operator.  A backlog read in one go is fine: its accounts are split by time."""
+    verdicts = _stateful(spark, d, lambda rows: keyed.keyed_cascade(rows, WITH_GEO), _stream_into)
     return verdicts.select("transaction_id", "rule_triggered")
 
 
+def stream_keyed_late(spark, d):
+    """The same where some accounts deliver hours late: their rows come out as late."""
+    verdicts = _stateful(spark, d, lambda rows: keyed.keyed_cascade(rows, WITH_GEO), _late_deliveries)
+    return verdicts.select("transaction_id", "rule_triggered", "late")
+
+
+def stream_minutes_late(spark, d):
+    """Closed minutes, and how many rows of a closed minute came later."""
+    counts = _stateful(spark, d, windows.minutes_and_late, _late_deliveries)
+    return counts.groupBy("time", "late").agg(F.sum("value").alias("value"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -777,6 +917,8 @@ QUERIES = {
         time_keys,
         mask_pii,
         token_accounts,
+        customer_csv,
+        rule_document,
         home_distance,
         normalise_channels,
         type_rows,
@@ -784,6 +926,8 @@ QUERIES = {
         validate_records,
         dead_letters,
         dead_letter_replay,
+        dead_letter_replay_keyed,
+        array_messages,
         dedupe_redelivered,
         error_rate,
         dq_report,
@@ -811,6 +955,7 @@ QUERIES = {
         recent_duplicate_alerts,
         recent_by_prefix,
         rows_by_id_pattern,
+        rows_by_prefix_in_order,
         holiday_fraud_rate,
         period_fraud_rate,
         segment_fraud_rate,
@@ -820,12 +965,15 @@ QUERIES = {
         hour_label_matrix,
         amount_histogram,
         fraud_samples,
+        fraud_samples_of_all_kinds,
         sorted_dataset,
         table_counts,
         latency_percentiles,
         load_completeness,
+        load_completeness_of_sent,
         kpi_status,
         channel_files,
+        channel_array_files,
         raw_archive,
         idempotent_sink,
         stream_cascade,
@@ -835,5 +983,7 @@ QUERIES = {
         stream_volume_every_minute,
         stream_totals_by_channel,
         stream_keyed_cascade,
+        stream_keyed_late,
+        stream_minutes_late,
     )
 }

@@ -258,12 +258,12 @@ def amount_histogram(txn: DataFrame, bins: int = 50) -> DataFrame:
     )
 
 
-def fraud_samples(txn: DataFrame, kind: str, k: int) -> DataFrame:
-    """First k rows by time of one labelled kind, for its first account."""
+def fraud_samples(txn: DataFrame, kind: str, k: int, one_account: bool = True) -> DataFrame:
+    """First k rows by time of one labelled kind, for its first account or for all."""
     rows = txn.filter((F.col("fraud_label") == 1) & (F.col("fraud_type") == kind))
     account = rows.agg(F.min_by("account_masked", F.struct("timestamp", "transaction_id"))).scalar()
     return (
-        rows.filter(F.col("account_masked") == account)
+        (rows.filter(F.col("account_masked") == account) if one_account else rows)
         .select("timestamp", "transaction_id", "account_masked", "amount", "merchant_province")
         .orderBy("timestamp", "transaction_id")
         .limit(k)

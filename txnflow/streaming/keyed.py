@@ -22,8 +22,8 @@ from txnflow.functions.scalar import EARTH_RADIUS_KM
 from txnflow.operators.rules import ACCOUNT, lookback_ms, rule_input, single_pass, velocity_applies
 from txnflow.operators.timeblocks import BLOCK, IN_CORE, block_length, with_halo
 
-VERDICT_DDL = "transaction_id string, account_masked string, t bigint, rule_triggered string, dist_km double"
-COLUMNS = ["transaction_id", "account_masked", "t", "rule_triggered", "dist_km"]
+VERDICT_DDL = "transaction_id string, account_masked string, t bigint, rule_triggered string, dist_km double, late boolean"
+COLUMNS = ["transaction_id", "account_masked", "t", "rule_triggered", "dist_km", "late"]
 
 
 def distance_km(a: tuple[float, float], b: tuple[float, float]) -> float:
@@ -48,8 +48,12 @@ class CascadeProcessor(StatefulProcessor):
         self.last = handle.getMapState("last", "amount bigint, merchant string", "t bigint")
 
     def handleInputRows(self, key, rows, timerValues):
-        heads = None
+        heads, passed = None, timerValues.getCurrentWatermarkInMs()
         for chunk in rows:
+            # The state these rows would need may be gone; the caller gives them to a batch run.
+            late = chunk["t"] < passed
+            yield self._verdicts(key, chunk[late], None, True)
+            chunk = chunk[~late]
             if self.cfg.rule_order[0] == OFF_HOURS:
                 yield self._verdicts(key, chunk[chunk["off_hours"]], OFF_HOURS)
                 chunk = chunk[~chunk["off_hours"]]
@@ -63,9 +67,9 @@ class CascadeProcessor(StatefulProcessor):
         # The block is complete, and its state of no use, when the watermark has passed it.
         self.handle.registerTimer((key[1] + 1) * self.block_ms)
 
-    def _verdicts(self, key, rows: pd.DataFrame, rule: str) -> pd.DataFrame:
+    def _verdicts(self, key, rows: pd.DataFrame, rule: str | None, late: bool = False) -> pd.DataFrame:
         core = rows[rows["core"]]
-        out = core[["transaction_id", "t"]].assign(account_masked=key[0], rule_triggered=rule, dist_km=None)
+        out = core[["transaction_id", "t"]].assign(account_masked=key[0], rule_triggered=rule, dist_km=None, late=late)
         return out[COLUMNS]
 
     def _score(self, key, heads: pd.DataFrame) -> pd.DataFrame:
@@ -91,7 +95,7 @@ class CascadeProcessor(StatefulProcessor):
                         rule = name
                         break
             if row.core:
-                verdicts.append((row.transaction_id, key[0], row.t, rule, km if rule == GEO else None))
+                verdicts.append((row.transaction_id, key[0], row.t, rule, km if rule == GEO else None, False))
         self._save(recent, place, last, int(heads["t"].iloc[-1]))
         return pd.DataFrame(verdicts, columns=COLUMNS)
 
@@ -133,8 +137,20 @@ class CascadeProcessor(StatefulProcessor):
         pass
 
 
+def kept_when_late(rows: DataFrame, delay: str) -> DataFrame:
+    """The rows under a watermark on ``event_ts``, none of which the engine drops.
+
+    The engine drops rows by the column that has the watermark.  That is ``mark`` here: a copy of each row has the
+    time in it, moves the watermark, and ends here; the row itself has null and is never too late.  So the operator
+    sees it, and compares its time with the watermark itself.
+    """
+    times = F.array(F.col("event_ts"), F.lit(None).cast("timestamp"))
+    marked = rows.withColumn("mark", F.explode(times)).drop("event_ts").withWatermark("mark", delay)
+    return marked.filter(F.col("mark").isNull())
+
+
 def keyed_cascade(rows: DataFrame, cfg: RuleConfig = DEFAULT_RULES, delay: str = "1 hour") -> DataFrame:
-    """Verdict per row of a stream of accepted transactions.
+    """Verdict per row of a stream of accepted transactions, or ``late``: older than the watermark, and not judged.
 
     Rows without an account have no state and are left to ``off_hours_large``.
     """
@@ -142,7 +158,7 @@ def keyed_cascade(rows: DataFrame, cfg: RuleConfig = DEFAULT_RULES, delay: str =
         raise ValueError("the stream needs velocity first and windows that allow a single pass")
     block_ms = block_length(lookback_ms(cfg))
     narrow = rule_input(rows, F.col("event_ts"), off_hours_large(cfg=cfg).alias("off_hours"))
-    narrow = narrow.filter(velocity_applies()).withWatermark("event_ts", delay)
+    narrow = kept_when_late(narrow.filter(velocity_applies()), delay)
     blocked = with_halo(narrow, lookback_ms(cfg), block_ms).withColumnRenamed(IN_CORE, "core")
     return blocked.groupBy(ACCOUNT, BLOCK).transformWithStateInPandas(
         statefulProcessor=CascadeProcessor(cfg, block_ms),

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
-from txnflow.functions import event_millis, percent, utc_time
+from txnflow.functions import event_millis, millis_time, percent, utc_time
 from txnflow.operators.validate import valid, validate
 from txnflow.sources.messages import parse
+from txnflow.streaming.keyed import kept_when_late
 
+MINUTE_MS, SALTS = 60_000, 16
 WATERMARK = "1 hour"
 
 
@@ -25,6 +29,46 @@ def volume_per_minute(rows: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return counts.select(utc_time(F.col("window.start")).alias("time"), "value")
 
 
+class MinuteCounts(StatefulProcessor):
+    """Counts one minute (a part of it); rows that come when it is closed are given as late."""
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.count = handle.getValueState("count", "n bigint")
+
+    def handleInputRows(self, key, rows, timerValues):
+        n, end = sum(len(chunk) for chunk in rows), int(key[0]) + MINUTE_MS
+        if end <= timerValues.getCurrentWatermarkInMs():
+            yield pd.DataFrame({"minute": [int(key[0])], "value": [n], "late": [True]})
+        else:
+            self.count.update((n + (self.count.get()[0] if self.count.exists() else 0),))
+            self.handle.registerTimer(end)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield pd.DataFrame({"minute": [int(key[0])], "value": [self.count.get()[0]], "late": [False]})
+        self.count.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def minutes_and_late(rows: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """(time, value, late): counts of closed minutes, and of rows that came later; to be summed by time and late.
+
+    A minute is counted in SALTS parts, so a busy one is many tasks' work.
+    """
+    t = F.unix_millis("event_ts")
+    parts = kept_when_late(rows.select("transaction_id", "event_ts", (t - F.pmod(t, F.lit(MINUTE_MS))).alias("minute")), delay)
+    salt = F.pmod(F.xxhash64("transaction_id"), F.lit(SALTS)).alias("salt")
+    counts = parts.select("minute", salt, "mark").groupBy("minute", "salt").transformWithStateInPandas(
+        statefulProcessor=MinuteCounts(),
+        outputStructType="minute bigint, value bigint, late boolean",
+        outputMode="append",
+        timeMode="EventTime",
+    )
+    return counts.select(millis_time("minute").alias("time"), "value", "late")
+
+
 def rest_per_minute(rows: DataFrame, closed: DataFrame) -> DataFrame:
     """What the stream has not given: open minutes and rows later than the watermark; ``rows`` is all that was delivered."""
     given = closed.groupBy("time").agg(F.sum("value").alias("given"))
