@@ -56,8 +56,6 @@ def test_new_ids_open_no_stored_id_and_few_buckets(spark):
     asked = plan(index.perhaps(keys(spark, [9001])))
     assert "PartitionFilters: [" in asked and "bucket" in asked.split("PartitionFilters: [")[1].split("]")[0]
     assert "bits0" in asked and "ids:array" not in asked
-    opened = index._read().filter("bucket = 3").inputFiles()
-    assert len(opened) < len(index._read().inputFiles())
     # A load into a warehouse ten times as large reads about as much: its filters, which are a few bytes an id.
     size = lambda n: sum(files(f"{index.path}/filters").values()) / n
     assert size(5000) < 100
