@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import unicodedata
 from collections.abc import Iterator
+from contextlib import contextmanager
 from types import ModuleType
 
 import numpy as np
@@ -48,6 +49,18 @@ def slices(
             yield batch.slice(lo, hi - lo)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Within it, jobs hand Python at most ``n`` rows at once: for rows that are large each."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def process_memory(owner: str) -> dict:
     """A dictionary that outlives the task: that of a module which exists in the worker process only.
 

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txnflow.llm.common import WordHashes, byte_texts, gram_hashes, mix, possible_members, slices
+from txnflow.llm.common import WordHashes, arrow_rows, byte_texts, gram_hashes, mix, possible_members, slices
 from txnflow.llm.components import components
 from txnflow.session import stored
 
@@ -303,7 +303,8 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int
     labels = components(links)
     for nearest in (True, False):
         across = _across(buckets, labels, signatures, sets, nearest)
-        across = stored(across, "pairs")
+        with arrow_rows(docs.sparkSession, 32):  # a row holds two blocks of members
+            across = stored(across, "pairs")
         labels = _merged(labels, _confirmed(across, sets, similar))
     grouped = classes.select("digest", "node", "key").join(labels, "node", "left")
     grouped = stored(grouped.select("digest", "key", F.coalesce("label", "node").alias("group")), "groups")
