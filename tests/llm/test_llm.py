@@ -145,6 +145,35 @@ def test_top_k(spark, sf_dir):
     assert set(got.query_id) == {v for v in p.vec_id if v % 20 == 0}
 
 
+def test_top_k_of_many_blocks(spark, monkeypatch):
+    """Pivots with more blocks than one key of the join of blocks, one of them with a third of all rows."""
+    monkeypatch.setattr(top_k, "BLOCK", 4)
+    monkeypatch.setattr(top_k, "PIVOTS", 3)
+    monkeypatch.setattr(top_k, "SHARE", 4)
+    own = np.random.default_rng(3)
+    x = own.normal(size=(600, 6))
+    x[:200] = x[0] + own.normal(scale=0.05, size=(200, 6))
+    ids = own.permutation(600)
+    rows = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    got = top_k.top_k(rows, F.col("vec_id") % 20 == 0, k=7).toPandas()
+    whole = np.floor(64 * x).astype(np.int64)
+    for i in np.flatnonzero(ids % 20 == 0):
+        scores = whole @ whole[i]
+        best = [j for j in np.lexsort((ids, -scores)) if j != i][:7]
+        mine = got[got.query_id == ids[i]].sort_values("rank")
+        assert mine.vec_id.tolist() == ids[best].tolist() and mine.score.tolist() == scores[best].tolist()
+
+
+def test_top_k_roots_beyond_a_broadcast(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(top_k, "BLOCK", 8)
+    rows = table(spark, sf_dir, "embeddings").limit(300)
+    want = top_k.top_k(rows, F.col("vec_id") % 20 == 0, k=5).toPandas()
+    monkeypatch.setattr(top_k, "MOST_ROOTS", 0)
+    got = top_k.top_k(rows, F.col("vec_id") % 20 == 0, k=5).toPandas()
+    order = ["query_id", "rank"]
+    assert len(got) and got.sort_values(order).values.tolist() == want.sort_values(order).values.tolist()
+
+
 def test_top_k_odd_rows(spark):
     same = [0.5, 0.25]
     rows = [(i, same) for i in range(30)] + [(40, [float("nan"), 1.0]), (60, None), (80, [None, 1.0]), (None, same), (0, same)]

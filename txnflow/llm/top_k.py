@@ -10,8 +10,8 @@ group have so far, so nothing that belongs to a result is lost; equal scores are
   the shuffle, and so a vector that a third of all rows share costs k + 1 rows per task.
 * Blocks are formed with PIVOTS points taken by hash, a fixed number; a pivot's points are dealt by hash to as many
   blocks of about BLOCK points as they need.
-* Every query block first meets a block of its own pivot, which gives the k-th scores.  Then the bound at the roots
-  chooses the candidate blocks it has to meet: blocks, not points, are paired.
+* Every query block first meets a block of its own pivot, which gives the k-th scores.  Then the bound chooses first
+  the pivots and, under them, the candidate blocks it has to meet: blocks, not points, are paired.
 
 Vectors that are null or have null or non-finite components take no part; neither do null ids.  Vectors are compared
 with those of their own length only.  A row that is repeated counts once.
@@ -33,6 +33,7 @@ from pyspark.sql.window import Window
 from txnflow.session import stored
 
 PIVOTS, BLOCK, LEAF = 64, 4096, 24
+SHARE, MOST_ROOTS = 16, 4096
 NOTHING = -(2**62)  # below every score
 
 
@@ -202,6 +203,43 @@ def _search(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.select("dim", "pivot", "part", "query_tree", "tree", "least").mapInArrow(run, made)
 
 
+def _dot(a, b) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+
+def _norm(a) -> Column:
+    return F.sqrt(_dot(a, a))
+
+
+def _most(centre: str, radius: str, other: str, reach: str) -> Column:
+    """``bound`` as a column."""
+    r, s = F.col(radius), F.col(reach)
+    most = _dot(centre, other) + r * _norm(other) + s * _norm(centre) + r * s
+    return most + 1e-6 * (1 + F.abs(most))
+
+
+def _pairs(heads: DataFrame, data: DataFrame) -> DataFrame:
+    """(dim, pivot, part, c_pivot, c_part): the blocks that each query block has to meet besides its first one.
+
+    The blocks of a pivot have a common root, and a query block first meets the roots: one per pivot and, for lengths
+    without a pivot, one per length.  Only under a root that may matter is it paired with blocks, SHARE of them a key,
+    so a pivot's blocks are many tasks' work however many it has.
+    """
+    blocks = data.select("dim", F.col("pivot").alias("c_pivot"), F.col("part").alias("c_part"), F.col("centre").alias("c_centre"), F.col("radius").alias("c_radius"))
+    first = blocks.groupBy("dim", "c_pivot").agg(F.min_by("c_centre", "c_part").alias("root"), F.max("c_part").alias("last"))
+    gap = F.zip_with("c_centre", "root", lambda x, y: x - y)
+    reach = F.max(_norm(gap) + F.col("c_radius")) * (1 + 1e-9)
+    reach = blocks.join(first, ["dim", "c_pivot"]).groupBy("dim", "c_pivot").agg(reach.alias("reach"))
+    roots = stored(first.join(reach, ["dim", "c_pivot"]), "roots")
+    few = roots.count() <= MOST_ROOTS  # beyond, lengths are many and deal the join
+    near = heads.join(F.broadcast(roots) if few else roots, "dim").filter(_most("centre", "radius", "root", "reach") >= F.col("worst"))
+    shares = F.sequence(F.lit(0).cast("long"), F.floor(F.col("last") / SHARE))
+    near = near.drop("root", "reach").withColumn("share", F.explode(shares))
+    met = near.join(blocks.withColumn("share", F.floor(F.col("c_part") / SHARE)), ["dim", "c_pivot", "share"])
+    met = met.filter("not (pivot = c_pivot and c_part = 0)").filter(_most("centre", "radius", "c_centre", "c_radius") >= F.col("worst"))
+    return met.select("dim", "pivot", "part", "c_pivot", "c_part")
+
+
 def top_k(rows: DataFrame, is_query: Column, k: int = 20, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
     """(query_id, rank, key, score): each query row's k largest inner products with the other rows."""
     points = rows.select(F.col(key).cast("long").alias("id"), integer_vector(F.col(vector)).alias("vector"), is_query.alias("asked"))
@@ -222,15 +260,10 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, vector: str = "embeddi
 
     least = F.min(F.when(F.size("scores") > k, F.element_at("scores", -1)).otherwise(F.lit(NOTHING)))
     so_far = begun.groupBy("dim", "pivot", "part").agg(least.alias("worst"), F.max("least").alias("least"))
-    heads = own.select("dim", "pivot", "part", "centre", "radius").join(so_far, ["dim", "pivot", "part"])
-    other = data.select("dim", *[F.col(c).alias(f"c_{c}") for c in ("pivot", "part", "centre", "radius")])
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    norm = lambda a: F.sqrt(dot(a, a))
-    most = dot("centre", "c_centre") + F.col("radius") * norm("c_centre") + F.col("c_radius") * norm("centre")
-    most = most + F.col("radius") * F.col("c_radius")
-    pairs = heads.join(other, "dim").filter("not (pivot = c_pivot and c_part = 0)")
-    pairs = pairs.filter(most + 1e-6 * (1 + F.abs(most)) >= F.col("worst")).select("dim", "pivot", "part", "least", "c_pivot", "c_part")
-    pairs = pairs.join(own.select("dim", "pivot", "part", "query_tree"), ["dim", "pivot", "part"])
+    heads = own.select("dim", "pivot", "part", "centre", "radius").join(so_far.drop("least"), ["dim", "pivot", "part"])
+    pairs = _pairs(heads, data)
+    asking = own.select("dim", "pivot", "part", "query_tree").join(so_far.drop("worst"), ["dim", "pivot", "part"])
+    pairs = pairs.join(asking, ["dim", "pivot", "part"])
     trees = data.select("dim", F.col("pivot").alias("c_pivot"), F.col("part").alias("c_part"), "tree")
     more = _search(pairs.join(trees, ["dim", "c_pivot", "c_part"]), k + 1)
 
