@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from txnflow.config import VELOCITY
 from txnflow.operators import ids
 from txnflow.operators.ids import IdIndex, Insert, insert_once, stored_ids
-from txnflow.plans.batch import replay_once, run_batch
+from txnflow.plans import reports
+from txnflow.plans.batch import Warehouse, replay_once, run_batch, store_facts
+from txnflow.plans.catalogue import warehouse
 from txnflow.session import ROCKSDB_PROVIDER, scratch_table
 from txnflow.sources import messages
 from txnflow.streaming import cascade, keyed, windows
@@ -169,3 +171,61 @@ def test_late_rows_of_stateful_operators_come_out(spark, operator):
     else:
         got = {(r["time"], r["late"]): r["n"] for r in rows.groupBy("time", "late").agg(F.sum("value").alias("n")).collect()}
         assert got == {(T0, False): 3, (T0 - timedelta(hours=6), True): 1}
+
+
+# ---- reports of a day and an hour -------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def days(spark, sf_dir):
+    """A warehouse of three days of loading, the last two around a midnight; the newest load is at 0:20."""
+    scored = spark.read.parquet(warehouse(spark, sf_dir).path("scored")).limit(1500)
+    n = F.pmod(F.xxhash64("transaction_id"), F.lit(1500))
+    minutes = F.when(n < 500, n).otherwise(6 * 1440 + 20 - n % 90)
+    when = (F.lit("2026-03-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=minutes)).cast("timestamp_ntz")
+    house = Warehouse(spark, scratch_table(spark, "days"))
+    store_facts(scored.withColumn("loaded_at", when).withColumn("event_ts", when), house)
+    return house
+
+
+AS_OF = "2026-03-07 00:20:00"
+
+
+def day_reports(facts, alerts):
+    return {
+        "day": lambda: reports.end_of_day(facts, alerts, "2026-03-06"),
+        "latency": lambda: reports.alert_latency(alerts, AS_OF),
+        "hour": lambda: reports.volume_per_minute(facts, AS_OF),
+        "fraud": lambda: reports.volume_per_minute(facts, AS_OF, fraud_only=True),
+    }
+
+
+def partition_filters(df):
+    return [line.split("PartitionFilters: ")[1] for line in plan(df).splitlines() if line.startswith("PartitionFilters: ")]
+
+
+def test_reports_of_folders_equal_those_of_the_whole_table(days):
+    whole, folders = day_reports(days.facts, days.alerts), day_reports(days.dated_facts, days.dated_alerts)
+    for name in whole:
+        want = whole[name]().collect()
+        assert want == folders[name]().collect(), name
+        assert want and want[0][0] is not None
+    hour = [r["time"] for r in folders["hour"]().collect()]
+    assert min(hour).day == 6 and max(hour).day == 7  # both sides of midnight
+
+
+def test_reports_open_the_folders_of_their_days_only(spark, days):
+    """Beside them lie files that are no Parquet: a report that opened them would fail."""
+    for table, column in (("fact_txn", "loaded_date"), ("fact_alert", "detected_date")):
+        for day in (20260215, 20260301):
+            folder = f"{days.path(table)}/{column}={day}" + (f"/date_id={day}" if table == "fact_txn" else "")
+            os.makedirs(folder, exist_ok=True)
+            with open(f"{folder}/part-0.parquet", "w") as file:
+                file.write("not a table")
+    folders = day_reports(days.dated_facts, days.dated_alerts)
+    for name, report in folders.items():
+        report().collect()
+        filters = partition_filters(report())
+        assert filters and all("_date#" in f for f in filters), (name, filters)
+    with pytest.raises(Exception, match="part-0.parquet|Parquet"):
+        days.facts.agg(F.sum("amount")).collect()

@@ -158,7 +158,7 @@ class Insert:
     rows: DataFrame
     key: str
     path: str
-    partition: str | None = None
+    partition: tuple[str, ...] = ()
     ids: DataFrame | None = None
 
     def keys(self) -> DataFrame:
@@ -185,5 +185,5 @@ def insert_once(index: IdIndex, inserts: list[Insert], load: str | None = None,
         if found is not None:
             own = found.filter(F.col("kind") == i.kind).select(F.col("id").alias("_id"))
             rows = rows.join(own, F.col(i.key).cast("string") == F.col("_id"), "left_anti")
-        append(rows, i.path, i.partition)
+        append(rows, i.path, *i.partition)
     index.confirm(begun)

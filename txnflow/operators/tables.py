@@ -73,17 +73,17 @@ def absent_rows(
     return rows.join(existing.select(key), key, "left_anti")
 
 
-def append(rows: DataFrame, path: str, partition: str | None = None) -> None:
+def append(rows: DataFrame, path: str, *partition: str) -> None:
     if partition:
         # Few, evenly sized files per partition value; a large one is split.
-        rows = rows.hint("rebalance", partition)
-        rows.write.partitionBy(partition).parquet(path, mode="append")
+        rows = rows.hint("rebalance", *partition)
+        rows.write.partitionBy(*partition).parquet(path, mode="append")
     else:
         rows.write.parquet(path, mode="append")
 
 
 def insert_if_absent(incoming: DataFrame, path: str, key: str, partition: str | None = None, **options) -> None:
-    append(absent_rows(incoming, path, key, partition, **options), path, partition)
+    append(absent_rows(incoming, path, key, partition, **options), path, *([partition] if partition else []))
 
 
 # ---- versioned tables -------------------------------------------------------

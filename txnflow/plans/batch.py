@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.window import Window
 
 from txnflow.config import DEFAULT_RULES, RuleConfig
@@ -20,7 +21,7 @@ from txnflow.operators.ids import IdIndex, Insert, insert_once
 from txnflow.operators.rules import ID, apply_cascade, single_pass
 from txnflow.operators.tables import archive_raw, insert_new, read_current, read_or_empty, upsert
 from txnflow.operators.validate import dead_letters, dedupe_transactions, keep_rejected_text, valid, validate
-from txnflow.schemas import DIM_CALENDAR, DIM_CUSTOMER, DIM_TIME, FACT_ALERT, FACT_TXN
+from txnflow.schemas import DETECTED_DATE, DIM_CALENDAR, DIM_CUSTOMER, DIM_TIME, FACT_ALERT, FACT_TXN, LOADED_DATE
 from txnflow.session import stored
 from txnflow.sources.messages import parse
 
@@ -45,6 +46,18 @@ class Warehouse:
     def alerts(self) -> DataFrame:
         return read_or_empty(self.spark, self.path("fact_alert"), FACT_ALERT)
 
+    @property
+    def dated_facts(self) -> DataFrame:
+        """Facts with ``loaded_date``, the folder they lie in: reports of days and hours open only theirs."""
+        schema = StructType([*FACT_TXN.fields, StructField(LOADED_DATE, IntegerType())])
+        return read_or_empty(self.spark, self.path("fact_txn"), schema)
+
+    @property
+    def dated_alerts(self) -> DataFrame:
+        """Alerts with ``detected_date``, the folder they lie in."""
+        schema = StructType([*FACT_ALERT.fields, StructField(DETECTED_DATE, IntegerType())])
+        return read_or_empty(self.spark, self.path("fact_alert"), schema)
+
     @property
     def history(self) -> History:
         """What the rules read of the rows of earlier runs."""
@@ -88,10 +101,11 @@ def store_facts(
     scored: DataFrame, house: Warehouse, cfg: RuleConfig = DEFAULT_RULES, load: str | None = None
 ) -> None:
     """Insert facts and alerts that are not there yet; one scored row per id."""
-    alerts = fact_alert(scored).withColumn("detected_date", date_key("detected_at"))
+    facts = fact_txn(scored, cfg).withColumn(LOADED_DATE, date_key("loaded_at"))
+    alerts = fact_alert(scored).withColumn(DETECTED_DATE, date_key("detected_at"))
     inserts = [
-        Insert("fact", fact_txn(scored, cfg), ID, house.path("fact_txn"), "date_id"),
-        Insert("alert", alerts, "alert_id", house.path("fact_alert"), "detected_date"),
+        Insert("fact", facts, ID, house.path("fact_txn"), (LOADED_DATE, "date_id")),
+        Insert("alert", alerts, "alert_id", house.path("fact_alert"), (DETECTED_DATE,)),
     ]
     insert_once(house.ids("facts"), inserts, load, house.fact_tables)
 

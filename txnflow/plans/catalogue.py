@@ -498,12 +498,12 @@ REPORT_DAY = "2024-01-15"
 
 def eod_report(spark, d):
     house = warehouse(spark, d)
-    return reports.end_of_day(house.facts, house.alerts, REPORT_DAY)
+    return reports.end_of_day(house.dated_facts, house.dated_alerts, REPORT_DAY)
 
 
 def eod_report_empty_day(spark, d):
     house = warehouse(spark, d)
-    return _plain(reports.end_of_day(house.facts, house.alerts, "2031-01-01"), fraud_count="double")
+    return _plain(reports.end_of_day(house.dated_facts, house.dated_alerts, "2031-01-01"), fraud_count="double")
 
 
 def total_transactions(spark, d):
@@ -519,7 +519,7 @@ def fraud_rate(spark, d):
 
 
 def alert_latency(spark, d):
-    alerts = warehouse(spark, d).alerts
+    alerts = warehouse(spark, d).dated_alerts
     return reports.alert_latency(alerts, _newest(alerts, "detected_at"))
 
 
@@ -536,7 +536,7 @@ def volume_per_minute(spark, d):
 
 
 def volume_last_hour(spark, d):
-    table = warehouse(spark, d).facts
+    table = warehouse(spark, d).dated_facts
     return reports.volume_per_minute(table, _newest(table, "loaded_at"))
 
 
@@ -545,7 +545,7 @@ def fraud_per_minute(spark, d):
 
 
 def fraud_last_hour(spark, d):
-    table = warehouse(spark, d).facts
+    table = warehouse(spark, d).dated_facts
     return reports.volume_per_minute(table, _newest(table, "loaded_at"), fraud_only=True)
 
 

@@ -1,7 +1,9 @@
 """Report queries over the warehouse tables.
 
 ``facts`` and ``alerts`` are fact_txn and fact_alert.  Where a report looks at
-a trailing hour, ``as_of`` stands for now.
+a trailing hour, ``as_of`` stands for now.  Reports of a day or an hour open
+only the folders of their days if the tables come with the column of the
+folder, as ``Warehouse.dated_facts`` and ``dated_alerts`` do.
 """
 
 from __future__ import annotations
@@ -9,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.functions import local_time, percent
+from txnflow.functions import date_key, local_time, percent
+from txnflow.schemas import DETECTED_DATE, LOADED_DATE
+
+FOLDERS = {"loaded_at": LOADED_DATE, "detected_at": DETECTED_DATE}
 
 
 def _count(condition: Column | None = None) -> Column:
@@ -28,19 +33,35 @@ def trailing_hour(column: str, as_of) -> Column:
     return F.col(column) > local_time(as_of) - F.expr("interval 1 hour")
 
 
+def of_day(rows: DataFrame, column: str, day) -> DataFrame:
+    """Rows of a day, from its folder."""
+    folder = FOLDERS[column]
+    if folder in rows.columns:
+        rows = rows.filter(F.col(folder) == date_key(F.lit(day).cast("date")))
+    return rows.filter(on_day(column, day))
+
+
+def of_last_hour(rows: DataFrame, column: str, as_of) -> DataFrame:
+    """Rows of the trailing hour, from the folders of its day or days on."""
+    folder = FOLDERS[column]
+    if folder in rows.columns:
+        rows = rows.filter(F.col(folder) >= date_key(local_time(as_of) - F.expr("interval 1 hour")))
+    return rows.filter(trailing_hour(column, as_of))
+
+
 # ---- end of day -------------------------------------------------------------
 
 
 def end_of_day(facts: DataFrame, alerts: DataFrame, day) -> DataFrame:
     """One row; fraud_count is null on a day without transactions."""
-    summary = facts.filter(on_day("loaded_at", day)).agg(
+    summary = of_day(facts, "loaded_at", day).agg(
         F.count("*").alias("total_txns"),
         F.coalesce(F.sum("amount"), F.lit(0).cast("bigint")).alias("total_amount_vnd"),
         F.sum(F.col("fraud_flag").cast("bigint")).alias("fraud_count"),
         F.countDistinct("channel").alias("channels_active"),
         F.countDistinct("customer_id").alias("unique_customers"),
     )
-    day_alerts = alerts.filter(on_day("detected_at", day)).agg(F.count("*")).scalar()
+    day_alerts = of_day(alerts, "detected_at", day).agg(F.count("*")).scalar()
     return summary.withColumn("alert_count", day_alerts)
 
 
@@ -58,7 +79,7 @@ def fraud_rate(facts: DataFrame) -> DataFrame:
 def alert_latency(alerts: DataFrame, as_of) -> DataFrame:
     """Mean seconds from detection to creation over the trailing hour."""
     micros = latency_micros()
-    return alerts.filter(trailing_hour("detected_at", as_of)).agg(
+    return of_last_hour(alerts, "detected_at", as_of).agg(
         F.round(F.avg(micros) / 1e6, 2).alias("value")
     )
 
@@ -80,7 +101,7 @@ def masking_violations(facts: DataFrame) -> DataFrame:
 def volume_per_minute(facts: DataFrame, as_of=None, fraud_only: bool = False) -> DataFrame:
     rows = facts.filter("fraud_flag") if fraud_only else facts
     if as_of is not None:
-        rows = rows.filter(trailing_hour("loaded_at", as_of))
+        rows = of_last_hour(rows, "loaded_at", as_of)
     minute = F.date_trunc("minute", F.col("loaded_at")).cast("timestamp_ntz")
     return rows.groupBy(minute.alias("time")).agg(F.count("*").alias("value")).orderBy("time")
 

@@ -101,6 +101,8 @@ DIM_CALENDAR = _schema(
     ("holiday_name", _str),
     ("is_maintenance", _bool),
 )
+# The folders of the fact tables: the day a fact was loaded (and, below it, its date_id), the day an alert was detected.
+LOADED_DATE, DETECTED_DATE = "loaded_date", "detected_date"
 FACT_TXN = _schema(
     ("transaction_id", _str),
     ("account_masked", _str),
