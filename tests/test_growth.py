@@ -229,3 +229,22 @@ def test_reports_open_the_folders_of_their_days_only(spark, days):
         assert filters and all("_date#" in f for f in filters), (name, filters)
     with pytest.raises(Exception, match="part-0.parquet|Parquet"):
         days.facts.agg(F.sum("amount")).collect()
+
+
+def test_long_sides_of_joins_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Files of ids compress well; what is broadcast is decided by the number of ids."""
+    own = spark.range(5000).select(F.lit("a").alias("kind"), F.col("id").cast("string").alias("id"))
+    index = IdIndex(spark, str(tmp_path / "index"))
+    index.confirm(index.begin(own))
+    monkeypatch.setattr(ids, "FEW_KEYS", 1000)
+    sides = []
+    monkeypatch.setattr(F, "broadcast", lambda df, real=F.broadcast: sides.append(df) or real(df))
+    table = str(tmp_path / "table")
+    more = spark.range(2500, 7500).select(F.col("id").cast("string").alias("key"))
+    rows = Insert("a", more, "key", table)
+    insert_once(index, [rows], tables={"a": (table, "key")})
+    assert spark.read.parquet(table).count() == 2500
+    assert all(side.count() <= 1000 for side in sides) and sides
+    before = files(table)
+    insert_once(index, [rows], tables={"a": (table, "key")})
+    assert files(table) == before  # a repeated load writes nothing

@@ -22,6 +22,7 @@ from txnflow.functions import event_millis, millis_time
 from txnflow.operators.rules import ACCOUNT, HISTORY, HISTORY_SCHEMA, ID, has_history, lookback_ms
 from txnflow.operators.tables import append
 from txnflow.operators.timeblocks import block_length, block_of, first_per_instant
+from txnflow.session import by_shuffle
 
 #: A folder holds whole blocks, about this time.
 FOLDER_MS = 6 * 3_600_000
@@ -79,8 +80,8 @@ class History:
             near = near.filter(F.coalesce(F.col("run") != run, F.lit(True)))
         length = block_length(lookback_ms(cfg))
         near = near.withColumn("block", block_of(event_millis("event_ts"), length))
-        near = near.join(touched, [ACCOUNT, "block"], "left_semi")
-        return near.join(rows.select(ID), ID, "left_anti").select(*HISTORY)
+        near = near.join(by_shuffle(touched), [ACCOUNT, "block"], "left_semi")
+        return near.join(by_shuffle(rows.select(ID)), ID, "left_anti").select(*HISTORY)
 
     def keep(self, rows: DataFrame, cfg: RuleConfig = DEFAULT_RULES, run: str | None = None) -> None:
         """Add the rows, those of an earlier attempt left out.
@@ -89,7 +90,7 @@ class History:
         """
         root, _, folder = self._root(cfg)
         known, _ = self._near(rows, cfg, 0)
-        new = rows.filter(has_history()).select(*HISTORY).join(known.select(ID), ID, "left_anti")
+        new = rows.filter(has_history()).select(*HISTORY).join(by_shuffle(known.select(ID)), ID, "left_anti")
         heads = first_per_instant(new.withColumn("t", event_millis("event_ts")), ACCOUNT, max(1, cfg.velocity_count - 1))
         heads = heads.withColumn("folder", block_of(F.col("t"), folder)).drop("t")
         append(heads.withColumn("run", F.lit(run).cast("string")), root, "folder")

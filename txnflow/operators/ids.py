@@ -27,10 +27,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow.operators.tables import append, has_data
-from txnflow.session import stored
+from txnflow.session import by_shuffle, stored
 
 BUCKETS, HASHES, PER_FILTER, BITS = 16, 4, 4096, 32_768
 KEY = ["kind", "id"]
+#: A side of a join with at most so many rows, or filters, is broadcast (about 10 MB); sizes of files would mislead.
+FEW_KEYS, FEW_FILTERS = 100_000, 512
 FILTER = ["bucket", "filters", "number", "load"]
 _BITMAPS = [f"bits{i}" for i in range(HASHES)]
 _SCHEMA = (
@@ -40,6 +42,11 @@ _SCHEMA = (
 )
 
 
+def _side(df: DataFrame, n: int, few: int | None = None) -> DataFrame:
+    """The right side of a join, of ``n`` rows."""
+    return F.broadcast(df) if n <= (FEW_KEYS if few is None else few) else by_shuffle(df)
+
+
 def _hash(salt: int) -> Column:
     return F.xxhash64(*KEY, F.lit(salt))
 
@@ -103,10 +110,12 @@ class IdIndex:
         own = F.pmod(_hash(0), F.lit(BUCKETS)).cast("int")
         touched = [r[0] for r in keys.select(own.alias("bucket")).distinct().collect()]  # of BUCKETS
         rows = self._read().filter(F.col("bucket").isin(touched))
-        sizes = [r[0] for r in rows.select("filters").distinct().collect()]  # powers of two
+        counted = rows.groupBy("filters").agg(F.count("*").alias("n")).collect()
+        sizes = [r["filters"] for r in counted]  # powers of two
         sized = keys.withColumn("filters", F.explode(F.lit(sizes).cast("array<int>")))
         asked = _placed(sized).withColumns({f"at{i}": _position(i) for i in range(HASHES)})
-        met = asked.join(rows.select(*FILTER, *_BITMAPS), ["bucket", "filters", "number"])
+        bitmaps = _side(rows.select(*FILTER, *_BITMAPS), sum(r["n"] for r in counted), FEW_FILTERS)
+        met = asked.join(bitmaps, ["bucket", "filters", "number"])
         hit = reduce(Column.__and__, [_is_set(b, F.col(f"at{i}")) for i, b in enumerate(_BITMAPS)])
         return met.filter(hit).select(*KEY, *FILTER)
 
@@ -127,19 +136,22 @@ class IdIndex:
         if apart_from is not None:
             perhaps = perhaps.filter(~F.startswith("load", F.lit(f"{apart_from}/")))
         perhaps = stored(perhaps, "perhaps-stored")
-        where = perhaps.groupBy("bucket").agg(F.count("*")).collect()
+        where = perhaps.groupBy("bucket").agg(F.count("*").alias("n")).collect()
         if not where:
             return None
         ids = self._read().filter(F.col("bucket").isin([r["bucket"] for r in where]))
-        ids = ids.join(perhaps.select(*FILTER).distinct(), FILTER, "left_semi").select("load", F.inline("ids"))
-        hits = stored(perhaps.select(*KEY, "load").join(ids, [*KEY, "load"], "left_semi"), "stored-ids")
-        sure = hits.join(self.confirmed(), "load", "left_semi").select(*KEY).distinct()
-        broken = hits.join(self.confirmed(), "load", "left_anti").select(*KEY).distinct()
+        # A row per PER_FILTER ids.
+        ids = ids.join(F.broadcast(perhaps.select(*FILTER).distinct()), FILTER, "left_semi").select("load", F.inline("ids"))
+        asked = _side(perhaps.select(*KEY, "load"), sum(r["n"] for r in where))
+        hits = stored(ids.join(asked, [*KEY, "load"], "left_semi").select(*KEY, "load"), "stored-ids")
+        confirmed = F.broadcast(self.confirmed())  # a row per load
+        sure = hits.join(confirmed, "load", "left_semi").select(*KEY).distinct()
+        broken = hits.join(confirmed, "load", "left_anti").select(*KEY).distinct()
         if broken.isEmpty():
             return sure
         for kind, table in tables.items():
             own = table().toDF("id").select(F.lit(kind).alias("kind"), F.col("id").cast("string").alias("id"))
-            sure = sure.unionByName(broken.join(own, KEY, "left_semi"))
+            sure = sure.unionByName(broken.join(by_shuffle(own), KEY, "left_semi"))
         return sure.distinct()
 
 
@@ -175,15 +187,22 @@ def held_ids(index: IdIndex, keys: DataFrame, tables: Tables, apart_from: str |
     return index.held(keys, own, apart_from)
 
 
+def _per_kind(keys: DataFrame) -> dict[str, int]:
+    return {r["kind"]: r["n"] for r in keys.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+
+
 def insert_once(index: IdIndex, inserts: list[Insert], load: str | None = None, tables: Tables | None = None) -> None:
     """Add the rows whose key their table does not hold, and their keys to the index."""
     keys = reduce(DataFrame.unionByName, [i.keys() for i in inserts])
     found = held_ids(index, keys, tables or {i.kind: (i.path, i.key) for i in inserts})
-    begun = index.begin(keys if found is None else keys.join(found, KEY, "left_anti"), load)
+    held = _per_kind(found) if found is not None else {}
+    if held and held == _per_kind(keys):
+        return  # as when a run is repeated
+    begun = index.begin(keys if not held else keys.join(_side(found, sum(held.values())), KEY, "left_anti"), load)
     for i in inserts:
         rows = i.rows
-        if found is not None:
+        if n := held.get(i.kind, 0):
             own = found.filter(F.col("kind") == i.kind).select(F.col("id").alias("_id"))
-            rows = rows.join(own, F.col(i.key).cast("string") == F.col("_id"), "left_anti")
+            rows = rows.join(_side(own, n), F.col(i.key).cast("string") == F.col("_id"), "left_anti")
         append(rows, i.path, *i.partition)
     index.confirm(begun)

@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from txnflow.operators.normalise import type_rows
 from txnflow.schemas import CSV_CHANNELS, JSON_CHANNELS, MESSAGE_FIELDS
+from txnflow.session import by_shuffle
 from txnflow.sources.files import channel_path
 
 
@@ -70,7 +71,7 @@ def absent_rows(
         # One value per calendar day in the batch.
         touched = [r[0] for r in incoming.select(partition).distinct().collect()]
         existing = existing.filter(F.col(partition).isin(touched))
-    return rows.join(existing.select(key), key, "left_anti")
+    return rows.join(by_shuffle(existing.select(key)), key, "left_anti")
 
 
 def append(rows: DataFrame, path: str, *partition: str) -> None:
@@ -112,14 +113,14 @@ def upsert(incoming: DataFrame, path: str, key: str, *order: str) -> int:
     """Insert, or replace every column of, the rows with the given keys."""
     latest = first_per_key(incoming, key, *order)
     existing = read_current(incoming.sparkSession, path, incoming.schema)
-    kept = existing.join(latest.select(key), key, "left_anti")
+    kept = existing.join(by_shuffle(latest.select(key)), key, "left_anti")
     return write_version(kept.unionByName(latest), path)
 
 
 def insert_new(incoming: DataFrame, path: str, key: str) -> int:
     """Insert rows with new keys, keep the others as they are."""
     existing = read_current(incoming.sparkSession, path, incoming.schema)
-    new = first_per_key(incoming, key).join(existing.select(key), key, "left_anti")
+    new = first_per_key(incoming, key).join(by_shuffle(existing.select(key)), key, "left_anti")
     return write_version(existing.unionByName(new), path)
 
 

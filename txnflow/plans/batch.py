@@ -22,7 +22,7 @@ from txnflow.operators.rules import ID, apply_cascade, single_pass
 from txnflow.operators.tables import archive_raw, insert_new, read_current, read_or_empty, upsert
 from txnflow.operators.validate import dead_letters, dedupe_transactions, keep_rejected_text, valid, validate
 from txnflow.schemas import DETECTED_DATE, DIM_CALENDAR, DIM_CUSTOMER, DIM_TIME, FACT_ALERT, FACT_TXN, LOADED_DATE
-from txnflow.session import stored
+from txnflow.session import by_shuffle, stored
 from txnflow.sources.messages import parse
 
 
@@ -128,7 +128,7 @@ def store_dead_letters(dead: DataFrame, house: Warehouse) -> None:
     before = F.sum("n").over(Window.partitionBy("digest").orderBy("file")) - F.col("n")  # a row per file
     files = files.select("digest", "file", before.alias("before"))
     own = F.row_number().over(Window.partitionBy("digest", "file").orderBy("at"))
-    rows = rows.withColumn("own", own).join(files, ["digest", "file"])
+    rows = rows.withColumn("own", own).join(by_shuffle(files), ["digest", "file"])
     letter = F.concat_ws(":", "digest", (F.col("own") + F.col("before")).cast("string"))
     rows = rows.withColumn("letter_id", letter).drop("file", "at", "own", "before")
     insert_once(house.ids("letters"), [Insert("letter", rows, "letter_id", house.of_runs("dead_letter"))])
@@ -185,7 +185,7 @@ def run_batch(
 
 def _as_messages(house: Warehouse, rows: DataFrame, fields: tuple[str, ...] = ()) -> DataFrame:
     """Rows that are not loaded yet as messages for the next run."""
-    waiting = rows.join(house.facts.select(ID), ID, "left_anti")
+    waiting = rows.join(by_shuffle(house.facts.select(ID)), ID, "left_anti")
     body = F.to_json(F.struct(*(fields or [c for c in rows.columns if c not in ("event_ts", "loaded_at", "batch_id")])))
     arrived = [c for c in ("loaded_at",) if c in rows.columns]
     return waiting.select(F.lit(None).cast("string").alias("key"), body.alias("value"), *arrived)

@@ -55,6 +55,11 @@ def scratch_table(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """The side of a join that may be as long as the other: never broadcast, however small its compressed files look."""
+    return df.hint("merge")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table once, so its readers do not recompute it."""
     path = scratch_table(df.sparkSession, name)
