@@ -2,6 +2,7 @@ import json
 import random
 from datetime import timedelta
 
+import pandas as pd
 import pytest
 from helpers import HA_NOI, HO_CHI_MINH, T0, frame, simulate, txn
 
@@ -268,3 +269,45 @@ def test_minutes_that_the_stream_left_out(spark):
     closed = every.filter(F.col("time") != F.lit(still_open)).withColumn("value", F.col("value") - (F.col("time") == F.lit(late)).cast("int"))
     rest = {r.time: r.value for r in windows.rest_per_minute(rows, closed).collect()}
     assert rest == {late: 1, still_open: counts[still_open]}
+
+
+def test_keyed_cascade_state_is_a_row_per_account_of_a_group():
+    """A key costs milliseconds whatever it holds: the accounts of a group share one, and one read and write of state."""
+    calls = []
+
+    class States:
+        rows = []
+
+        def get(self):
+            calls.append("get")
+            return iter(self.rows)
+
+        def put(self, rows):
+            calls.append("put")
+            self.rows = rows
+
+    class Handle:
+        def getListState(self, name, schema):
+            return States()
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    processor = keyed.CascadeProcessor(WITH_GEO, 3_600_000)
+    processor.init(Handle())
+
+    def fed(second):
+        names = ["transaction_id", "account_masked", "t", "amount", "merchant_id", "merchant_lat", "merchant_lon"]
+        rows = [(f"T{a}-{second}", f"****{a:04d}", second * 1000, 5, "MER1", 21.0, 105.0 + 10 * (a % 2) * second) for a in range(100)]
+        chunk = pd.DataFrame(rows, columns=names).assign(off_hours=False, core=True)
+        out = pd.concat(processor.handleInputRows((0, 0), iter([chunk[:40], chunk[40:]]), Times()))
+        return out.groupby("rule_triggered", dropna=False).size().to_dict()
+
+    assert list(fed(1).values()) == [100]
+    assert fed(2) == {"geo_anomaly": 50, "duplicate": 50}
+    assert fed(3) == {"velocity": 100}
+    assert calls == ["get", "put", "timer"] * 3
