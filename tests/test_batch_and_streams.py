@@ -311,3 +311,47 @@ def test_keyed_cascade_state_is_a_row_per_account_of_a_group():
     assert fed(2) == {"geo_anomaly": 50, "duplicate": 50}
     assert fed(3) == {"velocity": 100}
     assert calls == ["get", "put", "timer"] * 3
+
+
+def test_an_hour_of_minutes_is_one_key_with_one_timer():
+    timers = []
+
+    class State:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return State()
+
+        def registerTimer(self, at):
+            timers.append(at // 60_000)
+
+    class Times:
+        def __init__(self, minute):
+            self.now = minute * 60_000
+
+        def getCurrentWatermarkInMs(self):
+            return self.now
+
+    counter = windows.MinuteCounts()
+    counter.init(Handle())
+    chunk = lambda *minutes: iter([pd.DataFrame({"minute": [m * 60_000 for m in minutes]})])
+    told = lambda frames: {(r.minute // 60_000, r.late): r.value for f in frames for r in f.itertuples()}
+    assert told(counter.handleInputRows((0, 0), chunk(3, 3, 5, 7), Times(0))) == {}
+    assert told(counter.handleInputRows((0, 0), chunk(1, 5, 9), Times(2))) == {(1, True): 1}
+    assert told(counter.handleExpiredTimer((0, 0), Times(6), None)) == {(3, False): 2, (5, False): 2}
+    assert told(counter.handleInputRows((0, 0), chunk(5, 9), Times(6))) == {(5, True): 1}
+    assert told(counter.handleExpiredTimer((0, 0), Times(10), None)) == {(7, False): 1, (9, False): 2}
+    assert not counter.open.exists() and timers == [4, 4, 8, 8]

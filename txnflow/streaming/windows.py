@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +15,7 @@ from txnflow.operators.validate import valid, validate
 from txnflow.sources.messages import parse
 from txnflow.streaming.keyed import kept_when_late
 
-MINUTE_MS, SALTS = 60_000, 16
+MINUTE_MS, HOUR_MS, SALTS = 60_000, 3_600_000, 16
 WATERMARK = "1 hour"
 
 
@@ -30,23 +33,47 @@ def volume_per_minute(rows: DataFrame, delay: str = WATERMARK) -> DataFrame:
 
 
 class MinuteCounts(StatefulProcessor):
-    """Counts one minute (a part of it); rows that come when it is closed are given as late."""
+    """Counts the minutes of one hour (a part of it); rows that come when their minute is closed are given as late.
+
+    A key costs some milliseconds whatever it holds, so it is an hour, with one timer at a time: the end of its first
+    open minute.  All minutes that the watermark has closed come out together.
+    """
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.count = handle.getValueState("count", "n bigint")
+        self.open = handle.getValueState("open", "counts string")
 
-    def handleInputRows(self, key, rows, timerValues):
-        n, end = sum(len(chunk) for chunk in rows), int(key[0]) + MINUTE_MS
-        if end <= timerValues.getCurrentWatermarkInMs():
-            yield pd.DataFrame({"minute": [int(key[0])], "value": [n], "late": [True]})
+    def _counts(self) -> dict[int, int]:
+        return {int(m): n for m, n in json.loads(self.open.get()[0]).items()} if self.open.exists() else {}
+
+    def _keep(self, counts: dict[int, int]) -> None:
+        if counts:
+            self.open.update((json.dumps(counts),))
+            self.handle.registerTimer(min(counts) + MINUTE_MS)
         else:
-            self.count.update((n + (self.count.get()[0] if self.count.exists() else 0),))
-            self.handle.registerTimer(end)
+            self.open.clear()
+
+    def _rows(self, counts: dict[int, int], late: bool) -> pd.DataFrame:
+        return pd.DataFrame({"minute": list(counts), "value": list(counts.values()), "late": late})
+
+    def handleInputRows(self, key, rows, timerValues):
+        found, passed = Counter(), timerValues.getCurrentWatermarkInMs()
+        for chunk in rows:
+            found.update(chunk["minute"].value_counts().to_dict())
+        late = {int(m): int(n) for m, n in found.items() if m + MINUTE_MS <= passed}
+        if late:
+            yield self._rows(late, True)
+        if len(late) < len(found):
+            counts = Counter(self._counts())
+            counts.update({int(m): int(n) for m, n in found.items() if m not in late})
+            self._keep(counts)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield pd.DataFrame({"minute": [int(key[0])], "value": [self.count.get()[0]], "late": [False]})
-        self.count.clear()
+        counts, passed = self._counts(), timerValues.getCurrentWatermarkInMs()
+        closed = {m: n for m, n in counts.items() if m + MINUTE_MS <= passed}
+        if closed:
+            yield self._rows(closed, False)
+            self._keep({m: n for m, n in counts.items() if m not in closed})
 
     def close(self) -> None:
         pass
@@ -55,12 +82,13 @@ class MinuteCounts(StatefulProcessor):
 def minutes_and_late(rows: DataFrame, delay: str = WATERMARK) -> DataFrame:
     """(time, value, late): counts of closed minutes, and of rows that came later; to be summed by time and late.
 
-    A minute is counted in SALTS parts, so a busy one is many tasks' work.
+    An hour is counted in SALTS parts, so a busy one is many tasks' work.
     """
     t = F.unix_millis("event_ts")
     parts = kept_when_late(rows.select("transaction_id", "event_ts", (t - F.pmod(t, F.lit(MINUTE_MS))).alias("minute")), delay)
     salt = F.pmod(F.xxhash64("transaction_id"), F.lit(SALTS)).alias("salt")
-    counts = parts.select("minute", salt, "mark").groupBy("minute", "salt").transformWithStateInPandas(
+    hour = F.floor(F.col("minute") / HOUR_MS).alias("hour")
+    counts = parts.select("minute", hour, salt, "mark").groupBy("hour", "salt").transformWithStateInPandas(
         statefulProcessor=MinuteCounts(),
         outputStructType="minute bigint, value bigint, late boolean",
         outputMode="append",
