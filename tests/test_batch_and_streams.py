@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from txnflow.config import DEFAULT_RULES, DUPLICATE, GEO_ORDER, OFF_HOURS, VELOCITY
 from txnflow.operators.facts import fact_alert
 from txnflow.operators.rules import apply_cascade
+from txnflow.operators.tables import archive_raw
 from txnflow.plans.batch import Warehouse, release_held, release_late, replay, run_batch
 from txnflow.schemas import DIM_CUSTOMER
 from txnflow.session import ROCKSDB_PROVIDER, scratch_table
@@ -355,3 +356,11 @@ def test_an_hour_of_minutes_is_one_key_with_one_timer():
     assert told(counter.handleInputRows((0, 0), chunk(5, 9), Times(6))) == {(5, True): 1}
     assert told(counter.handleExpiredTimer((0, 0), Times(10), None)) == {(7, False): 1, (9, False): 2}
     assert not counter.open.exists() and timers == [4, 4, 8, 8]
+
+
+def test_archive_is_compressed_and_whole(spark, tmp_path):
+    rows = [txn(f"Z{i}") for i in range(50)]
+    archive_raw(frame(spark, rows), str(tmp_path / "raw"))
+    names = [p.name for p in tmp_path.glob("raw/*/*/part-*")]
+    assert names and all(n.endswith(".json.gz") for n in names)
+    assert {r[0] for r in spark.read.json(str(tmp_path / "raw")).select("transaction_id").collect()} == {r["transaction_id"] for r in rows}

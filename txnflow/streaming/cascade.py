@@ -119,7 +119,7 @@ class CascadeSink:
         if self.publish is not None:
             self.publish(alerts)
         else:
-            alerts.select("value").write.mode("overwrite").text(self._batch("txn_alert", batch_id))
+            alerts.select("value").write.mode("overwrite").text(self._batch("txn_alert", batch_id), compression="gzip")
         house.history.keep(accepted, cfg, run)
         times = [t for t in (newest, newest_time(accepted)) if t is not None]
         state = spark.createDataFrame([(max(times, default=None),)], "newest timestamp_ntz").coalesce(1)
