@@ -248,3 +248,16 @@ def test_long_sides_of_joins_are_not_broadcast(spark, tmp_path, monkeypatch):
     before = files(table)
     insert_once(index, [rows], tables={"a": (table, "key")})
     assert files(table) == before  # a repeated load writes nothing
+
+
+def test_bitmaps_of_the_id_index_are_not_shuffled(spark, monkeypatch):
+    """A task that reads ids makes no bitmap of each filter: those would be tasks times filters."""
+    monkeypatch.setattr(ids, "PER_FILTER", 10)
+    index = IdIndex(spark, scratch_table(spark, "ids"))
+    moved = [part for part in plan(index.built(keys(spark, range(100)), 64, "load")).split("\n\n") if ") Exchange\n" in part]
+    assert len(moved) == 1 and "hashpartitioning(bucket" in moved[0] and "buf" not in moved[0]
+    index.confirm(index.begin(keys(spark, range(20_000))))  # 128 filters a bucket, of four tasks each
+    rows = spark.read.parquet(f"{index.path}/filters")
+    assert rows.agg(F.sum(F.size("ids"))).first()[0] == 20_000
+    assert rows.groupBy("bucket", "number").count().filter("count > 1").isEmpty()
+    assert len(files(f"{index.path}/filters")) <= 64

@@ -31,6 +31,8 @@ from txnflow.session import by_shuffle, stored
 
 BUCKETS, HASHES, PER_FILTER, BITS = 16, 4, 4096, 32_768
 KEY = ["kind", "id"]
+#: Filters of a bucket that one task builds, and that lie in one file.
+TOGETHER = 32
 #: A side of a join with at most so many rows, or filters, is broadcast (about 10 MB); sizes of files would mislead.
 FEW_KEYS, FEW_FILTERS = 100_000, 512
 FILTER = ["bucket", "filters", "number", "load"]
@@ -95,11 +97,21 @@ class IdIndex:
             return None
         load = f"{load or ''}/{uuid.uuid4().hex}"
         filters = 1 << (-(-n // (BUCKETS * PER_FILTER)) - 1).bit_length()
+        self.built(keys, filters, load).write.partitionBy("bucket").parquet(self._filters, mode="append")
+        return load
+
+    def built(self, keys: DataFrame, filters: int, load: str) -> DataFrame:
+        """The filters of a load.
+
+        Its ids meet before they are aggregated, so a bitmap is made once, by the task that writes it: made by every task
+        that reads some ids, there would be bitmaps by tasks times filters, the square of the load.
+        """
         rows = _placed(keys.select(*KEY, F.lit(filters).alias("filters")))
+        rows = rows.select("*", F.floor(F.col("number") / TOGETHER).alias("share"))
+        rows = rows.repartition(max(1, BUCKETS * filters // TOGETHER), "bucket", "share")
         bitmaps = [F.bitmap_construct_agg(_position(i)).alias(b) for i, b in enumerate(_BITMAPS)]
-        rows = rows.groupBy("bucket", "filters", "number").agg(*bitmaps, F.collect_list(F.struct(*KEY)).alias("ids"))
-        append(rows.withColumn("load", F.lit(load)), self._filters, "bucket")
-        return load
+        rows = rows.groupBy("bucket", "share", "filters", "number").agg(*bitmaps, F.collect_list(F.struct(*KEY)).alias("ids"))
+        return rows.drop("share").withColumn("load", F.lit(load))
 
     def confirm(self, load: str | None) -> None:
         if load is not None:
