@@ -1,3 +1,5 @@
+import contextlib
+import io
 import json
 from datetime import datetime
 
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from txnflow import functions as fn
 from txnflow.config import DEFAULT_RULES, load_rule_config
 from txnflow.operators import context, dims, enrich, facts, normalise, rules, tables, validate
+from txnflow.operators.rules import apply_cascade
 from txnflow.plans import reports
 from txnflow.schemas import DIM_CUSTOMER, FACT_ALERT, FACT_TXN, MESSAGE_FIELDS
 from txnflow.session import scratch_table
@@ -167,6 +170,22 @@ def test_lookup_with_hot_null_and_missing_keys(spark, limit):
     assert out.filter("account_masked <> '****0001'").count() == 0
 
 
+def test_lookup_of_judged_rows_moves_them_once(spark):
+    """Only ids and keys go to a large dimension; the rows of the cascade are neither computed twice nor shuffled by key."""
+    rows = [txn(f"H{i}", customer_id="hot") for i in range(300)] + [txn(f"N{i}", customer_id=None) for i in range(50)]
+    rows = frame(spark, rows + [txn(f"C{i}", customer_id=f"c{i}") for i in range(300)])
+    dim = customers(spark, ["hot"] + [f"c{i}" for i in range(200)])
+    judged = apply_cascade(rows)
+    plain = enrich.enrich_customers(judged, dim, broadcast_bytes=-1)
+    out = enrich.enrich_customers(judged, dim, broadcast_bytes=-1, source=rows)
+    columns = plain.columns
+    assert sorted(map(str, out.select(columns).collect())) == sorted(map(str, plain.collect()))
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        out.explain("formatted")
+    moved = [part for part in text.getvalue().split("\n\n") if ") Exchange\n" in part and "merchant_province" in part]
+    assert len(moved) == 1 and "hashpartitioning(transaction_id" in moved[0]
+
+
 def test_upsert_and_insert_new(spark):
     path = scratch_table(spark, "dim")
     read = lambda: {r["customer_id"]: r["risk_score"] for r in tables.read_current(spark, path, DIM_CUSTOMER).collect()}

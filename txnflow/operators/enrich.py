@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txnflow.session import by_shuffle
+
 BROADCAST_BYTES = 10 * 1024 * 1024
 HOT_SHARE = 1000
 SALTS = 4096
@@ -18,7 +20,12 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def lookup(
-    rows: DataFrame, dim: DataFrame, key: str, spread: str, broadcast_bytes: int = BROADCAST_BYTES
+    rows: DataFrame,
+    dim: DataFrame,
+    key: str,
+    spread: str,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a dimension with one row per ``key``.
 
@@ -27,9 +34,16 @@ def lookup(
     rows: there are under 1000 of those, so their dimension rows are broadcast
     and the rows they match are spread by ``spread``, a column of many values.
     Null keys, which match nothing, are spread the same way.
+
+    ``source`` is what ``rows`` were made of: the same values of ``spread``, each once, with the same keys, but cheap to
+    read again.  Then only these two columns are shuffled by key, and ``rows`` meet what they found by ``spread``.
     """
     if estimated_bytes(dim) <= broadcast_bytes:
         return rows.join(F.broadcast(dim), key, "left")
+    if source is not None:
+        pairs = source.filter(F.col(key).isNotNull()).select(spread, key)
+        found = lookup(pairs, dim.withColumn("_found", F.lit(True)), key, spread, broadcast_bytes)
+        return rows.join(by_shuffle(found.filter("_found").drop("_found", key)), spread, "left")
     added = [c for c in dim.columns if c != key]
     counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()

@@ -172,7 +172,7 @@ def run_batch(
         insert_once(house.ids("held"), [Insert("held", held, ID, house.path("held"))])
     archive_raw(loading, house.of_runs("raw"))
 
-    scored = stored(enrich_customers(judged, house.customers), "scored")
+    scored = stored(enrich_customers(judged, house.customers, source=loading), "scored")
     store_facts(scored, house, cfg)
     publish = publish or (lambda df: df.select("value").write.mode("append").text(house.of_runs("txn_alert"), compression="gzip"))
     publish(alert_messages(scored))

@@ -140,8 +140,9 @@ def warehouse(spark: SparkSession, d: str) -> Warehouse:
     if key not in _houses:
         house = Warehouse(spark, scratch_table(spark, "warehouse"))
         house.seed(demo.customers(spark, d))
-        judged = rules.apply_cascade(context.tag_context(demo.transactions(spark, d)))
-        scored = enrich.enrich_customers(judged, house.customers)
+        txn = demo.transactions(spark, d)
+        judged = rules.apply_cascade(context.tag_context(txn))
+        scored = enrich.enrich_customers(judged, house.customers, source=txn)
         scored.write.parquet(house.path("scored"))
         store_facts(spark.read.parquet(house.path("scored")), house)
         _houses[key] = house

@@ -113,7 +113,7 @@ class CascadeSink:
 
         archive_raw(accepted, self._batch("raw", batch_id), mode="overwrite")
         judged = apply_cascade(tag_context(accepted, cfg), cfg, house.history.before(accepted, cfg, run))
-        scored = self._stage(enrich_customers(judged, house.customers), "scored", batch_id)
+        scored = self._stage(enrich_customers(judged, house.customers, source=accepted), "scored", batch_id)
         store_facts(scored, house, cfg, load=run)
         alerts = alert_messages(scored)
         if self.publish is not None:
