@@ -61,7 +61,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences."""
-    pieces = packing.pack(docs, public_tokenizers.path(TOKENIZER))
+    # Earlier stages leave several worker processes an executor, and each in turn gets a dictionary of its own.
+    pieces = packing.pack(docs, public_tokenizers.path(TOKENIZER), memory=100_000)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 

@@ -226,6 +226,15 @@ def test_sum_of_squares(sizes):
     assert {i: sorted(x) for i, x in seen.items()} == {i: list(range(n)) for i, n in enumerate(sizes)}
 
 
+def test_waiting_pieces_hold_no_whole_documents():
+    """What waits in open sequences is bounded by them, not by the documents it was cut from."""
+    packer = packing.SumOfSquares(2048)
+    for doc in range(50):
+        list(packer.add(doc, np.zeros(100 * 2048 + 7 + doc, np.uint32)))
+    waiting = [ids for level in packer.open.values() for pieces in level for _, _, ids in pieces]
+    assert waiting and sum((ids if ids.base is None else ids.base).nbytes for ids in waiting) <= 4 * 2048 * packer.n_open
+
+
 def test_encoder_on_odd_texts():
     texts = ["ΟΔΟΣ. ΣΑΣ, Σ", "İ. Å! H̱ ẖ? don't x'll, 12.5 ² ½. ..", "<|endoftext|> <|ENDOFTEXT|>. a\x1cb \x1f x\x1fy", "日本語。👍🏽. ſK ẞß. ǅ", ""]
     plain = Tokenizer.from_file(TOKENIZER)

@@ -71,6 +71,7 @@ def process_memory(owner: str) -> dict:
     if memory is None or memory.owner != owner:
         memory = sys.modules["_txnflow_memory"] = ModuleType("_txnflow_memory")
         memory.owner = owner
+        pa.default_memory_pool().release_unused()
     return memory.__dict__
 
 

@@ -77,7 +77,8 @@ class SumOfSquares:
                 start = cut
         if start < size:
             level = self.best_level(size - start)
-            pieces = [*(self._take(level) if level else []), (doc, start, ids[start:])]
+            rest = ids[start:].copy() if start else ids  # a view would keep the whole document while it waits
+            pieces = [*(self._take(level) if level else []), (doc, start, rest)]
             if level + size - start == self.capacity:
                 yield pieces
             else:
