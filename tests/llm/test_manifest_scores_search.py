@@ -185,6 +185,21 @@ def test_language_model_on_odd_rows(spark):
     assert same_scores(scored(spark, rows), brute_scores(rows))
 
 
+def test_pair_counts_come_back_and_take_little_room():
+    rng = random.Random(5)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7))}" for _ in range(200)).encode() for _ in range(200)]
+    part = kneser_ney.Slice.of(texts)
+    left, right, n = part.pairs()
+    left, right = part.words[left], part.words[right]
+    found = [kneser_ney.read_pairs(*block) for _, *block in kneser_ney.pair_blocks(part, 2)]
+    pairs = lambda parts: sorted(tuple(map(int, p)) for block in parts for p in zip(*block, strict=True))
+    assert pairs(found) == pairs([(left, right, n)])
+    plain = 0
+    for _, at in kneser_ney.by_shard(kneser_ney.pair_keys(left, right), 2):
+        plain += sum(len(kneser_ney.zstandard.ZstdCompressor(level=1).compress(x[at].tobytes())) for x in (left, right, n))
+    assert sum(len(b) for _, *block in kneser_ney.pair_blocks(part, 2) for b in block) < 0.9 * plain
+
+
 @pytest.mark.parametrize("rows", [[], [(42, "held out alone")], [(1, None)]])
 def test_language_model_of_few_rows(spark, rows):
     assert same_scores(scored(spark, rows), brute_scores(rows))

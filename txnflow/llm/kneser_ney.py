@@ -93,13 +93,42 @@ def by_shard(keys: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(shard[order[lo]]), order[lo:hi]
 
 
-def packed(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
+def packed(a: np.ndarray, rises: bool = False) -> bytes:
+    """Compressed, all first bytes first, then all second ones; of numbers that rise the differences."""
+    a = np.ascontiguousarray(np.diff(a, prepend=a.dtype.type(0)) if rises else a)
+    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes())
 
 
-def unpacked(column: pa.ChunkedArray, kind: str) -> np.ndarray:
-    own = zstandard.ZstdDecompressor()
-    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(own.decompress(b.as_py()), kind) for b in column)])
+def unpacked(block: bytes, kind: str, rises: bool = False) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.uint8)
+    a = np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+    return np.cumsum(a, dtype=kind) if rises else a
+
+
+def pair_blocks(part: Slice, bits: int) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
+    """(shard, words, left, right, n) of the distinct pairs of a slice.
+
+    A block has each of its words once, in order of the hashes; left and right are places there.
+    """
+    left, right, n = part.pairs()
+    keys = pair_keys(part.words[left], part.words[right])
+    order = np.argsort(part.words)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    left, right = rank[left], rank[right]
+    in_order = np.lexsort((right, left))
+    keys, left, right, n = keys[in_order], left[in_order], right[in_order], n[in_order]
+    for shard, at in by_shard(keys, bits):
+        own, places = np.unique(np.concatenate([left[at], right[at]]), return_inverse=True)
+        v, w = places[: len(at)].astype("<u4"), places[len(at) :].astype("<u4")
+        words = part.words[order[own]].astype("<u8")
+        yield shard, packed(words, rises=True), packed(v, rises=True), packed(w), packed(n[at].astype("<u8"))
+
+
+def read_pairs(words: bytes, left: bytes, right: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the left and right words of a block, and the counts."""
+    own = unpacked(words, "<u8", rises=True)
+    return own[unpacked(left, "<u4", rises=True)], own[unpacked(right, "<u4")], unpacked(n, "<u8")
 
 
 def summed(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
@@ -205,14 +234,11 @@ def fit(docs: DataFrame, text: str = "text", shard_bytes: int = 256 << 20) -> Mo
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
-            part = Slice.of(byte_texts(batch.column("text")))
-            left, right, n = part.pairs()
-            left, right = part.words[left], part.words[right]
-            out = [(s, packed(left[at]), packed(right[at]), packed(n[at].astype("<u8"))) for s, at in by_shard(pair_keys(left, right), bits)]
-            kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
-            columns = zip(*out, strict=True) if out else [[]] * 4
+            out = list(pair_blocks(Slice.of(byte_texts(batch.column("text"))), bits))
+            kinds = (pa.int32(), *[pa.binary()] * 4)
+            columns = zip(*out, strict=True) if out else [[]] * 5
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["shard", "left", "right", "n"])
+            yield pa.RecordBatch.from_arrays(arrays, ["shard", "words", "left", "right", "n"])
 
     kinds = [("shard", pa.int32()), ("file", pa.string()), ("size", pa.int64()), ("large", pa.int64()), ("counts", pa.list_(pa.int64()))]
     kinds += [("words", pa.binary()), ("stats", pa.binary())]
@@ -220,7 +246,8 @@ def fit(docs: DataFrame, text: str = "text", shard_bytes: int = 256 << 20) -> Mo
 
     def merge(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
-        left, right, n = (unpacked(table.column(c), "<u8") for c in ("left", "right", "n"))
+        blocks = zip(*(table.column(c) for c in ("words", "left", "right", "n")), strict=True)
+        left, right, n = (np.concatenate(c) for c in zip(*(read_pairs(*(x.as_py() for x in b)) for b in blocks), strict=True))
         keys = pair_keys(left, right)
         order = np.argsort(keys)
         keys, left, right, n = keys[order], left[order], right[order], n[order]
@@ -234,20 +261,19 @@ def fit(docs: DataFrame, text: str = "text", shard_bytes: int = 256 << 20) -> Mo
         both = [np.r_[a, b] for a, b in ((n, none), (one, none), *((none, f) for f in follow))]
         words, *stats = summed(np.r_[right, left], *both)
         for s, at in by_shard(words, bits):
-            out.append((s, None, 0, 0, None, packed(words[at]), packed(np.concatenate([x[at] for x in stats]))))
+            out.append((s, None, 0, 0, None, packed(words[at].astype("<u8"), rises=True), packed(np.concatenate([x[at] for x in stats]).astype("<u8"))))
         return pa.table([pa.array(c, k) for c, (_, k) in zip(zip(*out, strict=True), kinds, strict=True)], names=[k for k, _ in kinds])
 
     def merge_words(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
-        own = zstandard.ZstdDecompressor()
-        words = [np.frombuffer(own.decompress(b), "<u8") for b in table.column("words").to_pylist()]
-        stats = [np.frombuffer(own.decompress(b), "<u8").reshape(5, -1) for b in table.column("stats").to_pylist()]
+        words = [unpacked(b, "<u8", rises=True) for b in table.column("words").to_pylist()]
+        stats = [unpacked(b, "<u8").reshape(5, -1) for b in table.column("stats").to_pylist()]
         words, *stats = summed(np.concatenate(words), *np.concatenate(stats, 1))
         file = mapped.write(folder, f"words-{shard}", [a.astype("<u8") for a in (words, *stats)])
         sums = [int(stats[0].sum()), int((stats[0] > 0).sum()), int(stats[1].sum()), *counts_of(stats[1])]
         return pa.table([pa.array(c, k) for c, (_, k) in zip([[shard], [file], [len(words)], [0], [sums]], kinds, strict=False)], names=[k for k, _ in kinds[:5]])
 
-    pairs = stored(rows.mapInArrow(count, "shard int, left binary, right binary, n binary").groupBy("shard").applyInArrow(merge, names), "pair-shards")
+    pairs = stored(rows.mapInArrow(count, "shard int, words binary, left binary, right binary, n binary").groupBy("shard").applyInArrow(merge, names), "pair-shards")
     of_words = pairs.filter("words is not null").groupBy("shard").applyInArrow(merge_words, names.split(", words")[0])
     pair_rows = pairs.filter("file is not null").select("shard", "file", "size", "large", "counts").collect()  # a row per shard
     word_rows = stored(of_words, "word-shards").collect()
