@@ -1,6 +1,7 @@
 import contextlib
 import io
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -145,6 +146,20 @@ def test_files(spark):
     assert files.read_text_csv(spark, f"{folder}/c", rows=2).count() == 2
 
 
+def test_exported_channels_are_small_and_come_back_whole(spark):
+    folder = scratch_table(spark, "channels")
+    rows = [txn(f"T{i:04d}", i, channel=c, merchant_province="Ha Noi, Nội Bài") for i in range(200) for c in ("ATM", "mobile")]
+    rows = frame(spark, rows).drop("event_ts")
+    tables.export_channels(rows, folder)
+    for name, n in (("txn_atm.csv", 200), ("txn_mobile.json", 200), ("txn_all.csv", 400)):
+        parts = [f for f in os.listdir(f"{folder}/{name}") if f.startswith("part")]
+        assert parts and all(f.endswith(f".{name[-4:].lstrip('.')}.gz") for f in parts)
+        read = spark.read.json if name.endswith("json") else lambda path: spark.read.csv(path, header=True)
+        back = read(f"{folder}/{name}")
+        assert back.count() == n
+        assert {r[0] for r in back.select("merchant_province").collect()} == {"Ha Noi, Nội Bài"}
+
+
 def test_kafka_options():
     options = messages.kafka_options("b:9092", messages.RAW_TOPIC, per_trigger=500)
     assert options["startingOffsets"] == "latest" and options["maxOffsetsPerTrigger"] == "500"

@@ -128,15 +128,16 @@ def insert_new(incoming: DataFrame, path: str, key: str) -> int:
 
 
 def export_channels(rows: DataFrame, folder: str) -> None:
-    """CSV for ATM and POS, JSON lines for mobile and internet, one CSV of all.
+    """CSV for ATM and POS, JSON lines for mobile and internet, one CSV of all; gzip, which readers tell by the names.
 
     The combined table is sorted by time in ranges, not in one task.
     """
+    how = {"mode": "overwrite", "compression": "gzip"}
     for channel in CSV_CHANNELS:
-        rows.filter(F.col("channel") == channel).write.csv(channel_path(folder, channel), header=True, mode="overwrite")
+        rows.filter(F.col("channel") == channel).write.csv(channel_path(folder, channel), header=True, **how)
     for channel in JSON_CHANNELS:
-        rows.filter(F.col("channel") == channel).write.json(channel_path(folder, channel), mode="overwrite")
-    rows.orderBy("timestamp", "transaction_id").write.csv(f"{folder}/txn_all.csv", header=True, mode="overwrite")
+        rows.filter(F.col("channel") == channel).write.json(channel_path(folder, channel), **how)
+    rows.orderBy("timestamp", "transaction_id").write.csv(f"{folder}/txn_all.csv", header=True, **how)
 
 
 def archive_raw(rows: DataFrame, path: str, mode: str = "append") -> None:

@@ -715,7 +715,7 @@ def channel_array_files(spark, d):
         own = wide.filter(F.col("channel") == channel)
         part = F.floor(_number() / 5000).alias("part")
         arrays = own.groupBy(part).agg(F.to_json(F.collect_list(F.struct("*")), {"pretty": "true"}).alias("value"))
-        arrays.write.mode("overwrite").partitionBy("part").text(files.channel_path(folder, channel))
+        arrays.write.mode("overwrite").partitionBy("part").text(files.channel_path(folder, channel), compression="gzip")
     read = files.read_channel_files(spark, folder, arrays=True)
     return normalise.normalise_channels({c: (t, {}) for c, t in read.items()})
 
