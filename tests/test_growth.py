@@ -15,9 +15,9 @@ from txnflow.operators import ids
 from txnflow.operators.ids import IdIndex, Insert, insert_once, stored_ids
 from txnflow.plans import reports
 from txnflow.plans.batch import Warehouse, replay_once, run_batch, store_facts
-from txnflow.plans.catalogue import warehouse
+from txnflow.plans.catalogue import demo_messages, text_rows, warehouse
 from txnflow.session import ROCKSDB_PROVIDER, scratch_table
-from txnflow.sources import messages
+from txnflow.sources import demo, messages
 from txnflow.streaming import cascade, keyed, windows
 
 
@@ -261,3 +261,12 @@ def test_bitmaps_of_the_id_index_are_not_shuffled(spark, monkeypatch):
     assert rows.agg(F.sum(F.size("ids"))).first()[0] == 20_000
     assert rows.groupBy("bucket", "number").count().filter("count > 1").isEmpty()
     assert len(files(f"{index.path}/filters")) <= 64
+
+
+@pytest.mark.parametrize("texts", [demo_messages, text_rows])
+def test_texts_are_made_by_many_tasks_whatever_the_row_groups(spark, sf_dir, monkeypatch, texts):
+    want = sorted(map(str, texts(spark, sf_dir).collect()))
+    monkeypatch.setattr(demo, "TASK_BYTES", 1000)
+    dealt = texts(spark, sf_dir)
+    assert dealt.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+    assert sorted(map(str, dealt.collect())) == want
