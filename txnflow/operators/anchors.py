@@ -17,6 +17,10 @@ anchor before it, its carry:
   the carry that reaches it.  A task works on FAN blocks at a time, however many
   a combination fills.  Ordinary data has no such block, as it takes a row every
   window throughout a block; then nothing of this runs.
+
+Blocks continue each other only where both reach the border between them to a
+window.  Only such blocks are compared, and only those with a row in their first
+window meet a carry; the others, most of ordinary data, are never shuffled again.
 """
 
 from __future__ import annotations
@@ -142,7 +146,7 @@ def duplicate_anchors(
     key_ddl = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
 
     # One row per instant: at most one per millisecond, whatever the input.
-    instants = rows.groupBy(*keys, "t").agg(F.min("transaction_id").alias("id"))
+    instants = rows.groupBy("t", *keys).agg(F.min("transaction_id").alias("id"))
     inst = F.col("inst")
     blocks = (
         instants.withColumn("_block", block_of(F.col("t"), block_ms))
@@ -159,20 +163,27 @@ def duplicate_anchors(
     # The steps below all read the blocks; without this each would compute them anew.
     blocks = stored(blocks, "blocks")
 
+    starts = F.col("_block") * F.lit(block_ms)
+    early = F.col("first_t") < starts + F.lit(window_ms)
+    late = F.col("last_t") >= starts + F.lit(block_ms - window_ms)
     along = Window.partitionBy(*keys).orderBy("_block")
     continues = F.coalesce(F.col("first_t") - F.lag("last_t").over(along) <= window_ms, F.lit(False))
     edges = (
-        blocks.drop("inst")
+        blocks.filter(early | late)
+        .drop("inst")
         .withColumn("continues", continues)
         .withColumn("open", F.col("continues") & ~F.col("has_gap"))
         .withColumn("carry", F.when(~F.lag("open").over(along), F.lag("last_anchor").over(along)))
     )
+    edges = stored(edges.filter("continues").select(*key_block, "open", "carry"), "edges")
 
-    through = _passed_on(blocks, edges, keys, key_ddl, window_ms, block_ms)
-    carries = edges.filter("continues").select(*key_block, "carry")
+    reached = blocks.filter(early)
+    through = _passed_on(reached, edges, keys, key_ddl, window_ms, block_ms)
+    carries = edges.select(*key_block, "carry")
     if through is not None:
         carries = carries.join(through, key_block, "left").select(*key_block, F.coalesce("carry", "_passed").alias("carry"))
-    marked = blocks.join(carries, key_block, "left")
+    marked = reached.join(carries, key_block, "left").select("inst", "carry")
+    marked = marked.unionByName(blocks.filter(~early).select("inst", F.lit(None).cast("bigint").alias("carry")))
     return marked.select(F.explode(_anchor_ids(inst, F.col("carry"), window_ms)).alias("transaction_id"))
 
 
@@ -191,7 +202,7 @@ def _passed_on(
 ) -> DataFrame | None:
     """(keys, _block, _passed): the carry that an open block hands to the next one; None without open blocks."""
     key_block = [*keys, "_block"]
-    open_blocks = stored(edges.filter("open").select(*key_block, "carry"), "open-blocks")
+    open_blocks = edges.filter("open").select(*key_block, "carry")
     span = open_blocks.agg(F.min("_block"), F.max("_block")).first()
     if span[0] is None:
         return None

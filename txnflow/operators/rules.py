@@ -313,8 +313,8 @@ def _join_verdicts(txn: DataFrame, cfg: RuleConfig, history: DataFrame | None) -
 def _rule_by_rule(txn: DataFrame, cfg: RuleConfig) -> DataFrame:
     """Any order and any thresholds: each rule sees what the earlier ones left.
 
-    Each step is checkpointed to shared storage, else every rule would compute
-    all earlier ones again.
+    Each step but the last is checkpointed to shared storage, else every rule
+    would compute all earlier ones again.
     """
     ensure_checkpoint_dir(txn.sparkSession)
     tagged = txn.select(*HISTORY).withColumns(
@@ -330,9 +330,10 @@ def _rule_by_rule(txn: DataFrame, cfg: RuleConfig) -> DataFrame:
             .withColumn(RULE, F.coalesce(RULE, "_rule"))
             .withColumn("dist_km", F.coalesce("dist_km", "_dist"))
             .drop("_rule", "_dist")
-            .checkpoint()
         )
-    return txn.join(tagged.select(ID, RULE, "dist_km"), ID, "left")
+        if rule != cfg.rule_order[-1]:
+            tagged = tagged.checkpoint()
+    return txn.join(by_shuffle(tagged.select(ID, RULE, "dist_km")), ID, "left")
 
 
 def _by_rule(values) -> Column:
