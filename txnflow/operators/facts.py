@@ -10,8 +10,8 @@ from txnflow.functions import date_key, time_key
 from txnflow.schemas import AUDIT_LOG, FACT_ALERT, FACT_TXN
 
 
-def fact_txn(scored: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
-    """Expects event_ts, loaded_at and the cascade's columns."""
+def fact_txn(scored: DataFrame, cfg: RuleConfig = DEFAULT_RULES, *extra: str) -> DataFrame:
+    """Expects event_ts, loaded_at and the cascade's columns; ``extra`` ones follow as they are."""
     flagged = F.col("fraud_flag")
     if not cfg.off_hours_marks_fact:
         flagged = flagged & (F.col("rule_triggered") != OFF_HOURS)
@@ -23,7 +23,7 @@ def fact_txn(scored: DataFrame, cfg: RuleConfig = DEFAULT_RULES) -> DataFrame:
         "date_id": date_key("event_ts"),
     }
     return scored.select(
-        *[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in FACT_TXN.fields]
+        *[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in FACT_TXN.fields], *extra
     )
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow.operators.tables import append, has_data
-from txnflow.session import by_shuffle, stored
+from txnflow.session import COMPRESSION, by_shuffle, stored
 
 BUCKETS, HASHES, PER_FILTER, BITS = 16, 4, 4096, 32_768
 KEY = ["kind", "id"]
@@ -57,11 +57,13 @@ def _position(i: int) -> Column:
     return F.pmod(_hash(i + 1), F.lit(BITS))
 
 
+def _number() -> Column:
+    return F.pmod(F.shiftrightunsigned(_hash(0), 16), F.col("filters"))
+
+
 def _placed(keys: DataFrame) -> DataFrame:
     """With the bucket, and the number of the filter in it out of ``filters``."""
-    own = _hash(0)
-    number = F.pmod(F.shiftrightunsigned(own, 16), F.col("filters"))
-    return keys.withColumn("bucket", F.pmod(own, F.lit(BUCKETS)).cast("int")).withColumn("number", number)
+    return keys.withColumn("bucket", F.pmod(_hash(0), F.lit(BUCKETS)).cast("int")).withColumn("number", _number())
 
 
 def _is_set(bits: str, position: Column) -> Column:
@@ -97,7 +99,9 @@ class IdIndex:
             return None
         load = f"{load or ''}/{uuid.uuid4().hex}"
         filters = 1 << (-(-n // (BUCKETS * PER_FILTER)) - 1).bit_length()
-        self.built(keys, filters, load).write.partitionBy("bucket").parquet(self._filters, mode="append")
+        self.built(keys, filters, load).write.partitionBy("bucket").parquet(
+            self._filters, mode="append", compression=COMPRESSION
+        )
         return load
 
     def built(self, keys: DataFrame, filters: int, load: str) -> DataFrame:
@@ -107,8 +111,10 @@ class IdIndex:
         that reads some ids, there would be bitmaps by tasks times filters, the square of the load.
         """
         rows = _placed(keys.select(*KEY, F.lit(filters).alias("filters")))
-        rows = rows.select("*", F.floor(F.col("number") / TOGETHER).alias("share"))
+        rows = rows.select(*KEY, "bucket", F.floor(F.col("number") / TOGETHER).alias("share"))
         rows = rows.repartition(max(1, BUCKETS * filters // TOGETHER), "bucket", "share")
+        rows = rows.select("bucket", "share", *KEY, F.lit(filters).alias("filters"))
+        rows = rows.withColumn("number", _number())
         bitmaps = [F.bitmap_construct_agg(_position(i)).alias(b) for i, b in enumerate(_BITMAPS)]
         rows = rows.groupBy("bucket", "share", "filters", "number").agg(*bitmaps, F.collect_list(F.struct(*KEY)).alias("ids"))
         return rows.drop("share").withColumn("load", F.lit(load))
@@ -125,10 +131,10 @@ class IdIndex:
         counted = rows.groupBy("filters").agg(F.count("*").alias("n")).collect()
         sizes = [r["filters"] for r in counted]  # powers of two
         sized = keys.withColumn("filters", F.explode(F.lit(sizes).cast("array<int>")))
-        asked = _placed(sized).withColumns({f"at{i}": _position(i) for i in range(HASHES)})
+        asked = _placed(sized)
         bitmaps = _side(rows.select(*FILTER, *_BITMAPS), sum(r["n"] for r in counted), FEW_FILTERS)
         met = asked.join(bitmaps, ["bucket", "filters", "number"])
-        hit = reduce(Column.__and__, [_is_set(b, F.col(f"at{i}")) for i, b in enumerate(_BITMAPS)])
+        hit = reduce(Column.__and__, [_is_set(b, _position(i)) for i, b in enumerate(_BITMAPS)])
         return met.filter(hit).select(*KEY, *FILTER)
 
     def held(
@@ -153,12 +159,13 @@ class IdIndex:
             return None
         ids = self._read().filter(F.col("bucket").isin([r["bucket"] for r in where]))
         # A row per PER_FILTER ids.
-        ids = ids.join(F.broadcast(perhaps.select(*FILTER).distinct()), FILTER, "left_semi").select("load", F.inline("ids"))
-        asked = _side(perhaps.select(*KEY, "load"), sum(r["n"] for r in where))
-        hits = stored(ids.join(asked, [*KEY, "load"], "left_semi").select(*KEY, "load"), "stored-ids")
-        confirmed = F.broadcast(self.confirmed())  # a row per load
-        sure = hits.join(confirmed, "load", "left_semi").select(*KEY).distinct()
-        broken = hits.join(confirmed, "load", "left_anti").select(*KEY).distinct()
+        ids = ids.join(F.broadcast(perhaps.select(*FILTER).distinct()), FILTER, "left_semi")
+        confirmed = F.broadcast(self.confirmed().withColumn("sure", F.lit(True)))  # a row per load
+        ids = ids.join(confirmed, "load", "left").select(F.coalesce("sure", F.lit(False)).alias("sure"), F.inline("ids"))
+        # Whatever load an id is of, its filter answers "perhaps"; so the load need not be compared, nor be shuffled.
+        hits = ids.join(_side(perhaps.select(*KEY), sum(r["n"] for r in where)), KEY, "left_semi")
+        hits = stored(hits.groupBy(*KEY).agg(F.max("sure").alias("sure")), "stored-ids")
+        sure, broken = hits.filter("sure").select(*KEY), hits.filter(~F.col("sure")).select(*KEY)
         if broken.isEmpty():
             return sure
         for kind, table in tables.items():
@@ -167,30 +174,35 @@ class IdIndex:
         return sure.distinct()
 
 
-def stored_ids(spark: SparkSession, path: str, key: str) -> DataFrame:
+def stored_ids(spark: SparkSession, path: str, key: str | Column) -> DataFrame:
     """The ids in a table, or none."""
     if has_data(spark, path):
         return spark.read.parquet(path).select(key)
-    return spark.createDataFrame([], f"{key} string")
+    return spark.createDataFrame([], f"{key if isinstance(key, str) else 'id'} string")
 
 
 @dataclass(frozen=True)
 class Insert:
-    """Rows to be added to a table if their ``key`` is absent: one per key, unless ``ids`` has the keys, each once."""
+    """Rows to be added to a table if their ``key`` is absent: one per key, unless ``ids`` has the keys, each once.
+
+    ``made`` and ``without`` are those of ``tables.append``.
+    """
 
     kind: str
     rows: DataFrame
-    key: str
+    key: str | Column
     path: str
     partition: tuple[str, ...] = ()
     ids: DataFrame | None = None
+    made: dict[str, Column] | None = None
+    without: tuple[str, ...] = ()
 
     def keys(self) -> DataFrame:
         own = (self.rows.select(self.key) if self.ids is None else self.ids).toDF("id")
         return own.select(F.lit(self.kind).alias("kind"), F.col("id").cast("string").alias("id"))
 
 
-Tables = dict[str, tuple[str, str]]
+Tables = dict[str, tuple[str, str | Column]]
 
 
 def held_ids(index: IdIndex, keys: DataFrame, tables: Tables, apart_from: str | None = None) -> DataFrame | None:
@@ -215,6 +227,7 @@ def insert_once(index: IdIndex, inserts: list[Insert], load: str | None = None,
         rows = i.rows
         if n := held.get(i.kind, 0):
             own = found.filter(F.col("kind") == i.kind).select(F.col("id").alias("_id"))
-            rows = rows.join(_side(own, n), F.col(i.key).cast("string") == F.col("_id"), "left_anti")
-        append(rows, i.path, *i.partition)
+            key = F.col(i.key) if isinstance(i.key, str) else i.key
+            rows = rows.join(_side(own, n), key.cast("string") == F.col("_id"), "left_anti")
+        append(rows, i.path, *i.partition, made=i.made, without=i.without)
     index.confirm(begun)

@@ -30,7 +30,7 @@ from txnflow.plans.batch import (
     store_facts,
 )
 from txnflow.schemas import CUSTOMER_CSV, GENERATED_TXN, JSON_CHANNELS, MESSAGE_FIELDS
-from txnflow.session import ROCKSDB_PROVIDER, scratch_table, stored
+from txnflow.session import COMPRESSION, ROCKSDB_PROVIDER, scratch_table, stored
 from txnflow.sources import demo, files, messages
 from txnflow.streaming import cascade, keyed, windows
 
@@ -141,9 +141,9 @@ def warehouse(spark: SparkSession, d: str) -> Warehouse:
         house = Warehouse(spark, scratch_table(spark, "warehouse"))
         house.seed(demo.customers(spark, d))
         txn = demo.transactions(spark, d)
-        judged = rules.apply_cascade(context.tag_context(txn))
+        judged = context.tag_context(rules.apply_cascade(txn))
         scored = enrich.enrich_customers(judged, house.customers, source=txn)
-        scored.write.parquet(house.path("scored"))
+        scored.write.parquet(house.path("scored"), compression=COMPRESSION)
         store_facts(spark.read.parquet(house.path("scored")), house)
         _houses[key] = house
     return _houses[key]

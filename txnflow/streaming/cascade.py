@@ -106,13 +106,13 @@ class CascadeSink:
         # A message sent again counts once, also across batches.
         once = self._stage(dedupe_transactions(rows), "once", batch_id)
         keys = Insert("fact", once, ID, house.path("fact_txn")).keys()
-        known = held_ids(house.ids("facts"), keys, house.fact_tables, apart_from=run)
+        known = held_ids(house.ids("facts_and_alerts"), keys, house.fact_tables, apart_from=run)
         if known is not None:
             once = once.join(known.select(F.col("id").alias(ID)), ID, "left_anti")
         accepted = self._stage(once.withColumn("loaded_at", loaded.cast("timestamp_ntz")), "accepted", batch_id)
 
         archive_raw(accepted, self._batch("raw", batch_id), mode="overwrite")
-        judged = apply_cascade(tag_context(accepted, cfg), cfg, house.history.before(accepted, cfg, run))
+        judged = tag_context(apply_cascade(accepted, cfg, house.history.before(accepted, cfg, run)), cfg)
         scored = self._stage(enrich_customers(judged, house.customers, source=accepted), "scored", batch_id)
         store_facts(scored, house, cfg, load=run)
         alerts = alert_messages(scored)
