@@ -102,7 +102,7 @@ def store_facts(
 ) -> None:
     """Insert facts and alerts that are not there yet; one scored row per id.
 
-    Alert ids, two fifths of an alert's bytes and a quarter of a fact's, are made again by the tasks that write.
+    Alert ids, some three fifths of an alert's shuffled bytes and a fifth of a fact's, are made again by the tasks that write.
     """
     facts = fact_txn(scored, cfg, RULE).withColumn(LOADED_DATE, date_key("loaded_at"))
     alerts = fact_alert(scored).withColumn(DETECTED_DATE, date_key("detected_at"))
