@@ -311,7 +311,7 @@ def test_checks_run_in_generated_code(spark):
     assert some == {(), ("timestamp",), ("amount",), ("amount", "currency", "status"), ("json", *validate.REQUIRED_FIELDS)}
 
 
-@pytest.mark.parametrize("query", ["batch_load"])
+@pytest.mark.parametrize("query", ["batch_load", "batch_in_parts"])
 def test_messages_of_several_runs_are_made_once(spark, monkeypatch, query):
     seen = []
     monkeypatch.setattr(catalogue, "run_batch", lambda sent, *_, **__: seen.append(plan(sent)))
