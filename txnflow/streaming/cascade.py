@@ -26,10 +26,11 @@ from txnflow.operators.context import tag_context
 from txnflow.operators.enrich import enrich_customers
 from txnflow.operators.facts import alert_messages
 from txnflow.operators.ids import Insert, held_ids
-from txnflow.operators.rules import ID, apply_cascade, single_pass
+from txnflow.operators.rules import ID, apply_cascade, crowded, single_pass
 from txnflow.operators.tables import archive_raw, read_or_empty
-from txnflow.operators.validate import dead_letters, dedupe_transactions, keep_rejected_text, valid, validate
+from txnflow.operators.validate import dead_letters, dedupe_stored, keep_rejected_text, valid, validate
 from txnflow.plans.batch import Warehouse, store_facts
+from txnflow.session import COMPRESSION, GZIP
 from txnflow.sources.messages import parse
 
 #: How far a row's time may lie after its arrival and still move the stream's time on.
@@ -83,16 +84,16 @@ class CascadeSink:
         return self._write(df, self.house.path(f"stream_stage/{name}{batch_id % 2}"))
 
     def _write(self, df: DataFrame, path: str) -> DataFrame:
-        df.write.parquet(path, mode="overwrite")
+        df.write.parquet(path, mode="overwrite", compression=COMPRESSION)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
         house, cfg = self.house, self.cfg
         spark = messages.sparkSession
         loaded = utc_time(F.current_timestamp()) if self.loaded_at is None else self.loaded_at
-        parsed = parse(messages, "key")
-        checked = self._stage(keep_rejected_text(validate(parsed)), "validated", batch_id)
-        self._write(dead_letters(checked), self._batch("dead_letter", batch_id))
+        checked = keep_rejected_text(validate(parse(messages, "key"))).withColumn("loaded_at", loaded.cast("timestamp_ntz"))
+        checked = self._stage(checked, "validated", batch_id)
+        self._write(dead_letters(checked.drop("loaded_at")), self._batch("dead_letter", batch_id))
 
         # The same for a batch that is tried again, and another for each checkpoint.
         query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
@@ -101,26 +102,27 @@ class CascadeSink:
         rows = valid(checked).drop("value", "key")
         if newest is not None:
             late = F.col("event_ts") < local_time(newest) - _interval(self.delay_ms)
-            self._write(rows.filter(late), self._batch("late", batch_id))
+            self._write(rows.filter(late).drop("loaded_at"), self._batch("late", batch_id))
             rows = rows.filter(~late)
         # A message sent again counts once, also across batches.
-        once = self._stage(dedupe_transactions(rows), "once", batch_id)
-        keys = Insert("fact", once, ID, house.path("fact_txn")).keys()
+        accepted = dedupe_stored(rows, lambda df: self._stage(df, "once", batch_id))
+        keys = Insert("fact", accepted, ID, house.path("fact_txn")).keys()
         known = held_ids(house.ids("facts_and_alerts"), keys, house.fact_tables, apart_from=run)
-        if known is not None:
-            once = once.join(known.select(F.col("id").alias(ID)), ID, "left_anti")
-        accepted = self._stage(once.withColumn("loaded_at", loaded.cast("timestamp_ntz")), "accepted", batch_id)
+        if known is not None and not known.isEmpty():
+            accepted = self._stage(accepted.join(known.select(F.col("id").alias(ID)), ID, "left_anti"), "accepted", batch_id)
 
         archive_raw(accepted, self._batch("raw", batch_id), mode="overwrite")
-        judged = tag_context(apply_cascade(accepted, cfg, house.history.before(accepted, cfg, run)), cfg)
+        crowds = crowded(accepted, cfg)
+        past = house.history.before(accepted, cfg, run)
+        judged = tag_context(apply_cascade(accepted, cfg, past, crowds), cfg)
         scored = self._stage(enrich_customers(judged, house.customers, source=accepted), "scored", batch_id)
         store_facts(scored, house, cfg, load=run)
         alerts = alert_messages(scored)
         if self.publish is not None:
             self.publish(alerts)
         else:
-            alerts.select("value").write.mode("overwrite").text(self._batch("txn_alert", batch_id), compression="gzip")
-        house.history.keep(accepted, cfg, run)
+            alerts.select("value").write.mode("overwrite").options(**GZIP).text(self._batch("txn_alert", batch_id))
+        house.history.keep(accepted, cfg, run, crowds)
         times = [t for t in (newest, newest_time(accepted)) if t is not None]
         state = spark.createDataFrame([(max(times, default=None),)], "newest timestamp_ntz").coalesce(1)
         self._write(state, self._state(query, batch_id))
